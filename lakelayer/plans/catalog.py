@@ -13,9 +13,25 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.money import as_double
-from ..operators.orders import flag_against_status, new_user_status, order_calendar
+from ..operators.orders import (
+    enrich_province,
+    enrich_user,
+    flag_against_status,
+    flag_first_order,
+    new_user_status,
+    order_calendar,
+)
+from ..operators.cdc import route_array_feed, route_row_feed
+from ..operators.dau import start_log_calendar
+from ..operators.dedup import first_seen, latest_per_key
+from ..operators.dims import DIM_SPECS, append_changes, read_dim
 from ..operators.stats import trademark_stat, trademark_total
+from ..session import scratch_path
+from ..sinks.docs import read_daily_docs, write_daily_docs
+from ..sinks.topics import to_topic, write_topics
+from ..sources import feeds
 from ..sources import fixtures as fx
+from ..sources.decode import ORDER_INFO_SCHEMA, decode
 from . import warehouse as W
 from .oracle import money_out, round_cents_sql, sql
 
@@ -127,8 +143,6 @@ def order_first_vs_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("order_first_flag", """
 SELECT id, user_id, strftime(create_time, '%Y-%m-%d %H:%M:%S') AS create_time, if_first_order FROM order_first""")
 def order_first_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.orders import flag_first_order
-
     o = flag_first_order(fx.order_infos(spark, sf_dir), fx.user_statuses(spark, sf_dir))
     return o.select("id", "user_id", _t("create_time"), "if_first_order")
 
@@ -136,8 +150,6 @@ def order_first_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("user_status_new", """
 SELECT CAST(user_id AS VARCHAR) AS user_id, '1' AS if_consumed FROM order_first WHERE if_first_order = '1'""")
 def user_status_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.orders import flag_first_order
-
     o = flag_first_order(fx.order_infos(spark, sf_dir), fx.user_statuses(spark, sf_dir))
     return new_user_status(o)
 
@@ -147,8 +159,6 @@ SELECT o.id, o.province_id, p.name AS province_name, p.area_code AS province_are
        p.iso_code AS province_iso_code
 FROM order_info o LEFT JOIN province_info p ON p.id = CAST(o.province_id AS VARCHAR)""")
 def order_enrich_province(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.orders import enrich_province
-
     o = enrich_province(fx.order_infos(spark, sf_dir), fx.provinces(spark, sf_dir))
     return o.select("id", "province_id", "province_name", "province_area_code", "province_iso_code")
 
@@ -157,8 +167,6 @@ def order_enrich_province(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o.id, o.user_id, u.age_group AS user_age_group, u.gender_name AS user_gender
 FROM order_info o LEFT JOIN user_dim u ON u.id = CAST(o.user_id AS VARCHAR)""")
 def order_enrich_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.orders import enrich_user
-
     o = enrich_user(fx.order_infos(spark, sf_dir), W.user_dim(spark, sf_dir))
     return o.select("id", "user_id", "user_age_group", "user_gender")
 
@@ -202,6 +210,163 @@ def date_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------------ ODS: change feeds
+
+_ARRAY_ROUTED = """
+SELECT 'ods_order_info' AS topic, CAST(o_orderkey AS VARCHAR) AS id, 7 AS n_fields FROM orders
+ WHERE (o_orderkey // 3) % 4 = 0
+UNION ALL SELECT 'ods_order_detail', CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), 12
+ FROM lineitem WHERE (l_orderkey + l_linenumber) % 4 = 0
+UNION ALL SELECT 'ods_sku_info', CAST(p_partkey AS VARCHAR), 7 FROM part WHERE (p_partkey // 3) % 4 = 0
+UNION ALL SELECT 'ods_base_province', CAST(n_nationkey AS VARCHAR), 4 FROM nation WHERE (n_nationkey // 3) % 4 = 0"""
+
+_ROW_ROUTED = """
+SELECT 'ods_order_info' AS topic, CAST(o_orderkey AS VARCHAR) AS id, 7 AS n_fields FROM orders
+ WHERE o_orderkey % 4 = 0
+UNION ALL SELECT 'ods_order_detail', CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), 12
+ FROM lineitem WHERE (l_orderkey + l_linenumber) % 4 = 0
+UNION ALL SELECT 'ods_sku_info', CAST(p_partkey AS VARCHAR), 7 FROM part WHERE p_partkey % 4 <> 3
+UNION ALL SELECT 'ods_base_province', CAST(n_nationkey AS VARCHAR), 4 FROM nation WHERE n_nationkey % 4 <> 3"""
+
+
+def _routed_out(routed: DataFrame) -> DataFrame:
+    return routed.select(
+        "topic",
+        F.get_json_object(F.col("value"), "$.id").alias("id"),
+        F.size(F.json_object_keys(F.col("value"))).cast("bigint").alias("n_fields"),
+    )
+
+
+@register("cdc_route_array", _ARRAY_ROUTED)
+def cdc_route_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routed_out(route_array_feed(feeds.array_feed(spark, sf_dir)))
+
+
+@register("cdc_route_row", _ROW_ROUTED)
+def cdc_route_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routed_out(route_row_feed(feeds.row_feed(spark, sf_dir)))
+
+
+@register("cdc_topic_counts", f"SELECT topic, COUNT(*) AS n FROM ({_ROW_ROUTED}) GROUP BY topic")
+def cdc_topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routed rows written one folder per topic, then counted back per topic."""
+    path = scratch_path(spark, "topics")
+    write_topics(route_row_feed(feeds.row_feed(spark, sf_dir)), path=path, fmt="parquet")
+    back = spark.read.parquet(path)
+    return back.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("to_topic_json", """
+SELECT 'dwd_order_detail' AS topic, CAST(id AS VARCHAR) AS key,
+       CAST(to_json(struct_pack(id := id, order_id := order_id, sku_id := sku_id, order_price := order_price,
+                                sku_num := sku_num, sku_name := sku_name,
+                                create_time := strftime(create_time, '%Y-%m-%d %H:%M:%S'))) AS VARCHAR) AS value
+FROM order_detail""")
+def to_topic_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = fx.order_details(spark, sf_dir).select(
+        "id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", _t("create_time"))
+    return to_topic(d, "dwd_order_detail", key="id")
+
+
+@register("json_decode", """
+SELECT id, province_id, order_status, user_id, CAST(final_total_amount AS DOUBLE) AS final_total_amount,
+       CAST(benefit_reduce_amount AS DOUBLE) AS benefit_reduce_amount,
+       CAST(original_total_amount AS DOUBLE) AS original_total_amount, CAST(feight_fee AS DOUBLE) AS feight_fee,
+       strftime(expire_time, '%Y-%m-%d %H:%M:%S') AS expire_time,
+       strftime(create_time, '%Y-%m-%d %H:%M:%S') AS create_time,
+       strftime(operate_time, '%Y-%m-%d %H:%M:%S') AS operate_time
+FROM order_info""")
+def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders published as text with every value quoted and upper-case keys, decoded back."""
+    o = fx.order_infos(spark, sf_dir)
+    text = o.select(F.to_json(F.struct(*[
+        (D.time_text(F.col(c)) if dict(o.dtypes)[c] == "timestamp_ntz" else F.col(c).cast("string")).alias(c.upper())
+        for c in o.columns])).alias("value"))
+    good, _bad = decode(text, ORDER_INFO_SCHEMA)
+    return good.select(
+        "id", "province_id", "order_status", "user_id",
+        *[as_double(c).alias(c) for c in ("final_total_amount", "benefit_reduce_amount",
+                                          "original_total_amount", "feight_fee")],
+        _t("expire_time"), _t("create_time"), _t("operate_time"),
+    )
+
+
+# ------------------------------------------------------------------ DAU
+
+@register("start_log_calendar", """
+SELECT mid, ts, event_id, strftime(dt, '%Y-%m-%d') AS dt, CAST(hr AS BIGINT) AS hr FROM start_log""")
+def start_log_calendar_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = start_log_calendar(fx.start_logs(spark, sf_dir))
+    return s.select(F.col("common.mid").alias("mid"), "ts", "event_id",
+                    F.date_format("dt", D.DATE_PATTERN).alias("dt"), F.col("hr").cast("bigint").alias("hr"))
+
+
+_DAU_OUT = "mid, uid, ar, ch, vc, dt, hr, mi, ts"
+
+
+@register("dau_first_seen", f"SELECT {_DAU_OUT} FROM dau_docs")
+def dau_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.dau_docs(spark, sf_dir)
+
+
+@register("daily_doc_index", f"SELECT dt AS day, {_DAU_OUT} FROM dau_docs")
+def daily_doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DAU documents indexed per day; batch 0 is delivered twice and batch 1 repeats it."""
+    docs = W.dau_docs(spark, sf_dir)
+    path = scratch_path(spark, "dau-index")
+    for batch_id in (0, 0, 1):
+        write_daily_docs(docs, "dt", "mid", path, batch_id)
+    return read_daily_docs(spark, path).select("day", *_DAU_OUT.split(", "))
+
+
+# ------------------------------------------------------------------ dimension store
+
+_SKU_COLS = "id, spu_id, price, sku_name, tm_id, category3_id, create_time, category3_name, spu_name, tm_name"
+
+
+@register("dim_upsert_latest", f"""
+SELECT {_SKU_COLS}, version FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC) AS rn FROM (
+    SELECT id, spu_id, price, sku_name || ' v' || CAST(version AS VARCHAR) AS sku_name, tm_id, category3_id,
+           create_time, category3_name, spu_name, tm_name, version
+    FROM (SELECT *, unnest([1, 2, 3]) AS version FROM sku_dim)
+    WHERE (CAST(id AS BIGINT) + version) % 4 <> 0))
+WHERE rn = 1""")
+def dim_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = W.dim_versions(W.sku_dim(spark, sf_dir), "sku_name")
+    spec = DIM_SPECS["sku_info"]
+    return latest_per_key(versions.select(*spec.columns, "version"), [spec.key], ["version"])
+
+
+@register("dim_scan", """
+SELECT id, user_level, birthday, gender, age_group, gender_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC) AS rn FROM (
+    SELECT id, user_level || ' v' || CAST(version AS VARCHAR) AS user_level, birthday, gender, age_group,
+           gender_name, version
+    FROM (SELECT *, unnest([1, 2, 3]) AS version FROM user_dim)
+    WHERE (CAST(id AS BIGINT) + version) % 4 <> 0))
+WHERE rn = 1""")
+def dim_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User dimension written to its change log in three batches, then scanned as the latest view."""
+    spec = DIM_SPECS["user_info"]
+    versions = W.dim_versions(W.user_dim(spark, sf_dir), "user_level")
+    path = scratch_path(spark, "dim-user")
+    for v in (1, 2, 3):
+        append_changes(versions.where(F.col("version") == v), spec, path, batch_id=v)
+    return read_dim(spark, spec, path)
+
+
+# ------------------------------------------------------------------ DWS de-duplication
+
+@register("order_wide_dedup", f"SELECT {_WIDE_OUT} FROM wide_window")
+def order_wide_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines delivered twice (every id divisible by 7 once more) still give one wide row each."""
+    details = fx.order_details(spark, sf_dir)
+    again = details.where(F.col("id") % 7 == 0)
+    w = W.wide_rows(spark, sf_dir, within_s=20, extra_details=again)
+    return wide_out(first_seen(w, ["order_id", "order_detail_id"], ["create_time"]))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -133,7 +133,7 @@ SELECT *, CASE
   ELSE share0 END AS final_detail_amount
 FROM split_sums"""),
     ("start_log", """
-SELECT epoch_ms(ts) AS ts, event_id, 'mid_' || CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
+SELECT epoch_us(ts) // 1000 AS ts, event_id, 'mid_' || CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
        'ar_' || CAST(user_id % 10 AS VARCHAR) AS ar, event_type AS ch, 'v1.' || CAST(user_id % 3 AS VARCHAR) AS vc,
        CAST(ts AS DATE) AS dt, hour(ts) AS hr
 FROM events"""),

@@ -7,7 +7,9 @@ split) -> ADS (trademark sums), as DataFrame functions of (spark, sf_dir).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.dau import dau_document, dau_first, start_log_calendar
 from ..operators.dims import derive_user, enrich_sku
 from ..operators.orders import (
     enrich_details,
@@ -57,3 +59,18 @@ def wide_rows(spark: SparkSession, sf_dir: str, within_s: int | None = None,
 def paid_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every order with its share of the paid amount."""
     return split_payment(wide_rows(spark, sf_dir, within_s=None))
+
+
+def dau_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First start per device per day, as DAU documents."""
+    return dau_document(dau_first(start_log_calendar(fx.start_logs(spark, sf_dir))))
+
+
+def dim_versions(dim: DataFrame, changed: str, versions=(1, 2, 3)) -> DataFrame:
+    """Several versions per key (test input for upserts): ``changed`` gets a ' v<N>' suffix.
+
+    Version N of key K exists unless (K + N) is divisible by 4.
+    """
+    out = dim.withColumn("version", F.explode(F.array(*[F.lit(v) for v in versions])))
+    out = out.where((F.col("id").cast("bigint") + F.col("version")) % 4 != 0)
+    return out.withColumn(changed, F.concat(F.col(changed), F.lit(" v"), F.col("version").cast("string")))
