@@ -95,3 +95,17 @@ def calendar_columns(ts_col, date_name: str = "create_date", hour_name: str = "c
         F.date_format(c, DATE_PATTERN).alias(date_name),
         F.hour(c).cast("string").alias(hour_name),
     ]
+
+
+def event_time(col) -> Column:
+    """Wall-clock timestamp_ntz (read as UTC) -> instant, for watermarks and event-time windows.
+
+    Streaming watermarks need a TIMESTAMP (instant); going through epoch
+    microseconds keeps the result independent of the session time zone.
+    """
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(col)))
+
+
+def utc_wallclock(col) -> Column:
+    """Instant -> its UTC wall-clock time as timestamp_ntz (inverse of ``event_time``)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), F.expr(_EPOCH_NTZ))

@@ -85,10 +85,13 @@ BATCH_COL = "_batch"
 ORDER_COL = "_ord"
 
 
+def _spec_cols(df: DataFrame, spec: DimSpec):
+    return [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in spec.columns]
+
+
 def spec_columns(df: DataFrame, spec: DimSpec) -> DataFrame:
     """Project a row set onto the spec's columns, in sink order (missing ones as null)."""
-    cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in spec.columns]
-    return df.select(*cols)
+    return df.select(*_spec_cols(df, spec))
 
 
 def append_changes(df: DataFrame, spec: DimSpec, path: str, batch_id: int, order_col: str | None = None) -> None:
@@ -97,9 +100,9 @@ def append_changes(df: DataFrame, spec: DimSpec, path: str, batch_id: int, order
     The batch's folder is replaced as a whole, so a replayed batch rewrites the
     same rows instead of adding copies.
     """
-    out = spec_columns(df, spec).withColumn(
-        ORDER_COL, (F.col(order_col) if order_col else F.lit(0)).cast("bigint")
-    ).withColumn(BATCH_COL, F.lit(int(batch_id)).cast("bigint"))
+    ordered = df.withColumn(ORDER_COL, (F.col(order_col) if order_col else F.lit(0)).cast("bigint"))
+    out = ordered.select(*_spec_cols(ordered, spec), ORDER_COL).withColumn(
+        BATCH_COL, F.lit(int(batch_id)).cast("bigint"))
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

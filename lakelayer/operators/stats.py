@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.dates import DATE_TIME_PATTERN
+from ..functions.dates import DATE_TIME_PATTERN, utc_wallclock
 from ..functions.money import round_cents
 
 
@@ -39,5 +40,8 @@ def trademark_stat(wide: DataFrame, every: str = "5 seconds", ts_col: str = "cre
     g = wide.groupBy(F.window(F.col(ts_col), every).alias("_w"), *_keys()).agg(
         round_cents(F.sum("final_detail_amount")).alias("amount")
     )
-    stamp = F.lit(stat_time) if stat_time else F.date_format(F.col("_w.start"), DATE_TIME_PATTERN)
+    start = F.col("_w.start")
+    if isinstance(wide.schema[ts_col].dataType, T.TimestampType):
+        start = utc_wallclock(start)  # event-time instants are shown as UTC wall clock
+    stamp = F.lit(stat_time) if stat_time else F.date_format(start, DATE_TIME_PATTERN)
     return g.select(stamp.alias("stat_time"), "trademark_id", "trademark_name", "amount")

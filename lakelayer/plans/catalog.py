@@ -373,3 +373,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# The streaming twins register themselves on import.
+from . import stream_catalog  # noqa: E402,F401
