@@ -1,8 +1,10 @@
 """Route a database change feed to one topic per table (ODS layer: B1, B2, C1-C4).
 
-Both routers are pure column expressions over the message text; the output
+Both routers are column expressions over the message text; the output
 ``(topic, value)`` goes to a sink that writes each row to its own topic (or to a
-folder per topic in file form).
+folder per topic in file form). The envelope is read with one ``json_tuple``
+pass (nested values come back as their raw JSON text); the record array is
+parsed only for the messages that pass the filter.
 """
 
 from __future__ import annotations
@@ -17,8 +19,11 @@ FACT_TABLES = ("order_info", "order_detail")
 DIM_TABLES = ("base_province", "user_info", "sku_info", "base_trademark", "base_category3", "spu_info")
 TOPIC_PREFIX = "ods_"
 
-_ARRAY_ENVELOPE = "type string, table string, data array<string>"
-_ROW_ENVELOPE = "type string, table string, data string"
+_EMPTY_OBJECT = r"^\s*\{\s*\}\s*$"
+
+
+def _envelope(df: DataFrame, value: str) -> DataFrame:
+    return df.select(F.json_tuple(F.col(value), "type", "table", "data").alias("type", "table", "data"))
 
 
 def topic_of(table_col) -> F.Column:
@@ -27,10 +32,10 @@ def topic_of(table_col) -> F.Column:
 
 def route_array_feed(df: DataFrame, value: str = "value") -> DataFrame:
     """Array-style feed: only ``INSERT`` (exact case); one output row per record, raw JSON kept."""
-    env = df.select(F.from_json(F.col(value), _ARRAY_ENVELOPE).alias("e"))
-    inserts = env.where(F.col("e.type") == "INSERT")
+    inserts = _envelope(df, value).where(F.col("type") == "INSERT")
     return inserts.select(
-        topic_of(F.col("e.table")).alias("topic"), F.explode(F.col("e.data")).alias("value")
+        topic_of(F.col("table")).alias("topic"),
+        F.explode(F.from_json(F.col("data"), "array<string>")).alias("value"),
     )
 
 
@@ -46,13 +51,13 @@ def route_row_feed(
     ``drop_deletes=True`` stops dimension deletes from being forwarded (they
     would otherwise re-upsert the deleted row downstream).
     """
-    env = df.select(F.from_json(F.col(value), _ROW_ENVELOPE).alias("e"))
-    data = F.col("e.data")
-    non_empty = data.isNotNull() & (F.coalesce(F.size(F.json_object_keys(data)), F.lit(0)) > 0)
-    is_fact = F.col("e.table").isin(list(facts)) & (F.col("e.type") == "insert")
-    is_dim = F.col("e.table").isin(list(dims))
+    env = _envelope(df, value)
+    data = F.col("data")
+    non_empty = data.isNotNull() & F.ltrim(data).startswith("{") & ~data.rlike(_EMPTY_OBJECT)
+    is_fact = F.col("table").isin(list(facts)) & (F.col("type") == "insert")
+    is_dim = F.col("table").isin(list(dims))
     if drop_deletes:
-        is_dim = is_dim & (F.col("e.type") != "delete")
+        is_dim = is_dim & (F.col("type") != "delete")
     return env.where(non_empty & (is_fact | is_dim)).select(
-        topic_of(F.col("e.table")).alias("topic"), data.alias("value")
+        topic_of(F.col("table")).alias("topic"), data.alias("value")
     )

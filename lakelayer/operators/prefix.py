@@ -73,21 +73,27 @@ def grouped_prefix_sums(
     suffix: str = "_before",
     num_partitions: int | None = None,
     max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``<v><suffix>`` = sum of ``v`` over the earlier rows of the row's group.
 
     Rows are ordered by ``order_by`` inside a group; the order must be total
     (ties broken by the caller), or the result depends on arrival.
     ``max_group_rows=None`` skips the size check and always splits groups.
+    ``sizes_from`` is a cheaper frame holding the key columns whose group sizes
+    bound those of ``df`` (e.g. a base table scanned for one column), so the
+    check does not run the whole upstream plan. The choice only affects speed.
     """
     keys, order_by, values = list(keys), list(order_by), list(values)
-    if max_group_rows is not None and largest_group(df, keys) <= max_group_rows:
+    probe = sizes_from if sizes_from is not None else df
+    if max_group_rows is not None and largest_group(probe, keys) <= max_group_rows:
         return window_prefix_sums(df, keys, order_by, values, suffix)
     return _split_prefix_sums(df, keys, order_by, values, suffix, num_partitions)
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
+    """Rows in the largest group (a scan of the key columns with a partial count)."""
+    row = df.select(*keys).groupBy(*keys).count().agg(F.max("count").alias("m")).first()
     return int(row["m"] or 0) if row else 0
 
 
