@@ -74,6 +74,7 @@ def grouped_prefix_sums(
     num_partitions: int | None = None,
     max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
     sizes_from: DataFrame | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add ``<v><suffix>`` = sum of ``v`` over the earlier rows of the row's group.
 
@@ -82,11 +83,13 @@ def grouped_prefix_sums(
     ``max_group_rows=None`` skips the size check and always splits groups.
     ``sizes_from`` is a cheaper frame holding the key columns whose group sizes
     bound those of ``df`` (e.g. a base table scanned for one column), so the
-    check does not run the whole upstream plan. The choice only affects speed.
+    check does not run the whole upstream plan. ``largest`` is such a bound
+    already known (then nothing is scanned). The choice only affects speed.
     """
     keys, order_by, values = list(keys), list(order_by), list(values)
-    probe = sizes_from if sizes_from is not None else df
-    if max_group_rows is not None and largest_group(probe, keys) <= max_group_rows:
+    if max_group_rows is not None and largest is None:
+        largest = largest_group(sizes_from if sizes_from is not None else df, keys)
+    if max_group_rows is not None and largest <= max_group_rows:
         return window_prefix_sums(df, keys, order_by, values, suffix)
     return _split_prefix_sums(df, keys, order_by, values, suffix, num_partitions)
 

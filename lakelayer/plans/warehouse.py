@@ -58,8 +58,7 @@ def wide_rows(spark: SparkSession, sf_dir: str, within_s: int | None = None,
 
 def paid_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every order with its share of the paid amount."""
-    line_keys = fx.read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"))
-    return split_payment(wide_rows(spark, sf_dir, within_s=None), sizes_from=line_keys)
+    return split_payment(wide_rows(spark, sf_dir, within_s=None), largest=fx.largest_order(spark, sf_dir))
 
 
 def dau_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
