@@ -102,9 +102,10 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 
 def window_prefix_sums(df, keys, order_by, values, suffix="_before") -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-    for v in values:
-        df = df.withColumn(f"{v}{suffix}", F.coalesce(F.sum(F.col(v).cast("bigint")).over(w), F.lit(0)))
-    return df
+    # One projection, so all sums share one sort and one Window operator.
+    return df.select("*", *[
+        F.coalesce(F.sum(F.col(v).cast("bigint")).over(w), F.lit(0)).alias(f"{v}{suffix}") for v in values
+    ])
 
 
 def _split_prefix_sums(df, keys, order_by, values, suffix, num_partitions) -> DataFrame:
