@@ -312,10 +312,14 @@ def dau_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("daily_doc_index", f"SELECT dt AS day, {_DAU_OUT} FROM dau_docs")
 def daily_doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DAU documents indexed per day; batch 0 is delivered twice and batch 1 repeats it."""
-    docs = W.dau_docs(spark, sf_dir)
+    # Persisted (memory, then disk) across the three deliveries; a lost block is recomputed.
+    docs = W.dau_docs(spark, sf_dir).persist()
     path = scratch_path(spark, "dau-index")
-    for batch_id in (0, 0, 1):
-        write_daily_docs(docs, "dt", "mid", path, batch_id)
+    try:
+        for batch_id in (0, 0, 1):
+            write_daily_docs(docs, "dt", "mid", path, batch_id)
+    finally:
+        docs.unpersist()
     return read_daily_docs(spark, path).select("day", *_DAU_OUT.split(", "))
 
 
