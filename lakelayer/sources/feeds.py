@@ -35,6 +35,21 @@ DATABASE = "gmall"
 FEED_TS = 1704067200000
 
 
+def _feed_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as the source of one feed.
+
+    A real feed arrives over many topic partitions. A table read in fewer
+    splits than the cluster has cores (a small file with one row group) would
+    run the whole feed in a few tasks, so it is spread over the cores first;
+    a large table already has enough splits and is read as it is.
+    """
+    df = read_table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
+
+
 def _record(df: DataFrame, id_expr: str) -> Column:
     """All columns as quoted text, plus a text ``id``."""
     return F.struct(
@@ -55,7 +70,7 @@ def array_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for src in ARRAY_FEED_SOURCES:
         table, id_expr, key_expr = FEED_TABLES[src]
-        df = read_table(spark, sf_dir, src)
+        df = _feed_source(spark, sf_dir, src)
         rec = _record(df, id_expr)
         key = F.expr(key_expr).cast("bigint")
         if src in GROUPED_MESSAGES:
@@ -87,7 +102,7 @@ def row_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for src in ROW_FEED_SOURCES:
         table, id_expr, key_expr = FEED_TABLES[src]
-        df = read_table(spark, sf_dir, src)
+        df = _feed_source(spark, sf_dir, src)
         key = F.expr(key_expr).cast("bigint")
         typ = _type_of(key % 4, ROW_TYPES)
         head = F.to_json(F.struct(
