@@ -49,3 +49,31 @@ def test_left_joins_keep_row_count(spark):
 
     assert dwd_orders(spark, SMALL).count() == fx.read_table(spark, SMALL, "orders").count()
     assert dwd_details(spark, SMALL).count() == fx.read_table(spark, SMALL, "lineitem").count()
+
+
+def test_at_most_one_first_order_per_user(spark):
+    o = QUERIES["order_first_flag"](spark, SMALL)
+    firsts = o.where(F.col("if_first_order") == "1").groupBy("user_id").count()
+    assert firsts.where(F.col("count") > 1).count() == 0
+    assert firsts.count() > 0
+
+
+def test_one_dau_row_per_day_and_device(spark):
+    for key in ("dau_first_seen", "daily_doc_index", "stream_dau_first_seen"):
+        d = QUERIES[key](spark, SMALL)
+        assert d.groupBy("dt", "mid").count().where(F.col("count") > 1).count() == 0, key
+
+
+def test_routed_rows_equal_filtered_input(spark):
+    from lakelayer.operators.cdc import FACT_TABLES
+    from lakelayer.sources import feeds
+
+    feed = feeds.row_feed(spark, SMALL)
+    env = feed.select(F.json_tuple("value", "type", "table", "data").alias("type", "table", "data"))
+    kept = env.where(
+        ~F.col("data").rlike(r"^\s*\{\s*\}\s*$")
+        & ((F.col("table").isin(list(FACT_TABLES)) & (F.col("type") == "insert"))
+           | F.col("table").isin("base_province", "user_info", "sku_info", "base_trademark",
+                                 "base_category3", "spu_info"))
+    )
+    assert QUERIES["cdc_route_row"](spark, SMALL).count() == kept.count()
