@@ -77,3 +77,14 @@ def test_routed_rows_equal_filtered_input(spark):
                                  "base_category3", "spu_info"))
     )
     assert QUERIES["cdc_route_row"](spark, SMALL).count() == kept.count()
+
+
+@pytest.mark.parametrize("key", ["order_calendar", "start_log_calendar", "trademark_amount_stat"])
+def test_results_do_not_depend_on_session_zone(spark, con, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        r = compare(spark, con, key, QUERIES[key], ORACLE[key], SMALL)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["status"] == "OK", r
