@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import DATE_PATTERN, add_seconds, epoch_ms_of_wallclock
 from ..functions.money import MONEY, money
+from ..operators.joins import lookup_join
 from ..operators.prefix import grouped_prefix_sums, largest_group
 
 # Fixed values of the mapping (see FIXTURES.md).
@@ -58,8 +59,12 @@ def largest_order(spark: SparkSession, sf_dir: str) -> int:
 def order_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(oid, ctime): each order's create time, spread over its day by key."""
     o = read_table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("oid"), _order_ctime().alias("ctime"))
+
+
+def _order_ctime():
     offset = (F.col("o_orderkey") * ORDER_TIME_MULTIPLIER) % SECONDS_PER_DAY
-    return o.select(F.col("o_orderkey").alias("oid"), add_seconds("o_orderdate", offset).alias("ctime"))
+    return add_seconds("o_orderdate", offset)
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,9 +89,8 @@ def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = order_lines(spark, sf_dir)
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     times = order_times(spark, sf_dir)
-    d = lines.join(part, lines.l_partkey == part.p_partkey, "left").join(
-        times, lines.l_orderkey == times.oid, "left"
-    )
+    d = lookup_join(lines, part, lines.l_partkey == part.p_partkey)
+    d = lookup_join(d, times, d.l_orderkey == times.oid)
     line_offset = (F.col("l_partkey") + F.col("line_no") * 5) % LINE_TIME_SPREAD
     return d.select(
         (F.col("l_orderkey") * 1000 + F.col("line_no")).alias("id"),
@@ -102,17 +106,17 @@ def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_infos(spark: SparkSession, sf_dir: str, details: DataFrame | None = None) -> DataFrame:
     """OrderInfo rows; the original total is the sum over the order's lines."""
     details = details if details is not None else order_details(spark, sf_dir)
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    # The create time comes from the order's own date, so no join back to orders is needed.
+    o = read_table(spark, sf_dir, "orders").where(F.col("o_orderkey").isNotNull()).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", _order_ctime().alias("ctime"))
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    times = order_times(spark, sf_dir)
     totals = details.groupBy(F.col("order_id").alias("_tid")).agg(
         F.sum(F.col("order_price") * F.col("sku_num")).cast(MONEY).alias("_orig")
     )
-    j = (
-        o.join(times, o.o_orderkey == times.oid, "inner")
-        .join(c, o.o_custkey == c.c_custkey, "left")
-        .join(totals, o.o_orderkey == totals._tid, "left")
-    )
+    j = lookup_join(o, c, o.o_custkey == c.c_custkey)
+    # Totals have one row per order: as large as the orders, so left to sort-merge
+    # (AQE still turns it into a broadcast when the measured side is small).
+    j = j.join(totals, j.o_orderkey == totals._tid, "left")
     orig = F.coalesce(F.col("_orig"), F.lit(0).cast(MONEY)).cast(MONEY)
     final = money("o_totalprice")
     freight = F.lit(FREIGHT).cast(MONEY)
