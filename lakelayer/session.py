@@ -10,9 +10,10 @@ which is the case in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +71,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="lakelayer-ckpt-")
     sc.setCheckpointDir(root)
     return (sc.getCheckpointDir() or root).rstrip("/")
@@ -90,9 +93,22 @@ def ensure_state_provider(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
-def local_path(path: str) -> str:
-    """Strip a file: scheme (for the few test helpers that list local folders)."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context.
+
+    Functions that run in tasks are pickled by reference, so a worker must be
+    able to import the package wherever the driver was started from.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_lakelayer_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="lakelayer-ship-")) / "lakelayer.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent))
+    sc.addPyFile(str(archive))
+    sc._lakelayer_shipped = True
 
 
 __all__ = [
@@ -101,6 +117,5 @@ __all__ = [
     "scratch_path",
     "shuffle_partitions",
     "ensure_state_provider",
-    "local_path",
-    "os",
+    "ship_package",
 ]
