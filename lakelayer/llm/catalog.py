@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, pii, quality, sharding  # noqa: F401
+from . import exact_dedup, language_id, pieces, pii, quality, sharding  # noqa: F401
 from .registry import ORACLE, QUERIES, Query
 
 
