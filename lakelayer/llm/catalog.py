@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, lm_score, pieces, pii, quality, sharding  # noqa: F401
+from . import decontaminate, exact_dedup, language_id, lm_score, pieces, pii, quality, sharding  # noqa: F401
 from .registry import ORACLE, QUERIES, Query
 
 
