@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, lm_score, near_dup, pieces, pii, quality, sharding  # noqa: F401
+from . import decontaminate, exact_dedup, language_id, lm_score, near_dup, pieces, pii, quality, sharding, substring_dedup  # noqa: F401
 from .registry import ORACLE, QUERIES, Query
 
 

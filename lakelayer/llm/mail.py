@@ -65,3 +65,14 @@ def packed(arrays: list[np.ndarray]) -> pa.Array:
 
 def unpacked(table: pa.Table, column: str, dtype) -> list[np.ndarray]:
     return [np.frombuffer(b, dtype) for b in table.column(column).to_pylist()]
+
+
+def planes(x: np.ndarray) -> bytes:
+    """The bytes of sorted numbers, all first bytes together and so on, which compresses well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def from_planes(body: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    rows = np.frombuffer(body, np.uint8).reshape(size, -1).T
+    return np.ascontiguousarray(rows).view(dtype).ravel()
