@@ -54,9 +54,10 @@ def exact_dedup(docs: DataFrame, content_hash: Callable[[Column], Column] = F.md
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the later copies of equal texts; all columns stay."""
-    columns = [F.col(c) for c in docs.columns]
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi").select(*columns)
+    kept = exact_groups(docs).select(F.col("keep_id").alias("_keep_id"), F.col("text_sha256").alias("_sha256"))
+    same = F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (
+        F.sha2(normalised(F.col("text")), 256) == F.col("_sha256"))
+    return docs.join(kept, same, "left_semi")
 
 
 @register("op9_exact_dedup", r"""

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .arrow import map_batches, texts
+from .bounded import counted, saved
 from .components import components
 from .mail import batches_and_parts, cuts, packed, unpacked
 from .partenum import Bands, sign
@@ -43,7 +44,6 @@ LARGE = 64
 SIGNED_AT_ONCE = 16 << 20  # characters
 PRUNE_ROUNDS = 2
 LEADER_ROUNDS = 4
-BROADCAST_ROWS = 1_000_000  # of a row key; beyond it the texts are shuffled to the keys
 
 _MESSAGE = ("part int, signatures binary, owners binary, sids binary, needs binary, "
             "doc_ids array<bigint>, rows array<bigint>, sizes array<bigint>, doc_sids array<bigint>")
@@ -142,12 +142,6 @@ def signature_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             found.where("signature is not null").select("signature", "sid", "need"))
 
 
-def _saved(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _in_shared_buckets(entries: DataFrame) -> DataFrame:
     sizes = entries.groupBy("signature").agg(F.count(F.lit(1)).alias("bucket"), F.min("sid").alias("leader"))
     return entries.join(sizes.where("bucket > 1"), "signature")
@@ -165,18 +159,15 @@ def pruned(entries: DataFrame) -> DataFrame:
     large = F.count(F.when(F.col("bucket") > LARGE, 1)).over(own)
     kept = entries.withColumn("band", band).withColumn("large", large).where(
         f"bucket <= {LARGE} or large >= need").select("signature", "sid")
-    return _saved(_in_shared_buckets(kept), "entries")
+    return saved(_in_shared_buckets(kept), "entries")
 
 
 def whole_sets(docs: DataFrame, documents: DataFrame, entries: DataFrame) -> DataFrame:
     """sid, size, elements: the set of every id in ``entries``, from one document that has it."""
     wanted = (documents.groupBy("sid").agg(F.min("row").alias("row"))
               .join(entries.select("sid").distinct(), "sid", "left_semi").select("row"))
-    wanted = _saved(wanted, "wanted")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").select(_row_key(), "text")
-    rows = keyed.join(wanted, "row", "left_semi")
+    rows = keyed.join(counted(wanted), "row", "left_semi")
     sets = ShingleSets()
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -189,7 +180,7 @@ def whole_sets(docs: DataFrame, documents: DataFrame, entries: DataFrame) -> Dat
     found = map_batches(rows, run, "sid bigint, size bigint, elements binary, row bigint")
     # identical rows (same id and text) give the same set again
     one = Window.partitionBy("row").orderBy("sid")
-    return _saved(found.withColumn("n", F.row_number().over(one)).where("n = 1").select("sid", "size", "elements"), "sets")
+    return saved(found.withColumn("n", F.row_number().over(one)).where("n = 1").select("sid", "size", "elements"), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -224,11 +215,11 @@ def links(docs: DataFrame, documents: DataFrame, entries: DataFrame) -> DataFram
     pair = lambda u, v: (F.least(u, v).alias("u"), F.greatest(u, v).alias("v"))
     with_leader = entries.where("sid != leader").groupBy("sid", "leader").agg(F.count(F.lit(1)).alias("n"))
     best = with_leader.groupBy("sid").agg(F.max(F.struct("n", "leader"))["leader"].alias("leader"))
-    tried = _saved(best.select(*pair("sid", "leader")).distinct(), "pairs")
-    edges = _saved(verified(tried, sets), "edges")
+    tried = saved(best.select(*pair("sid", "leader")).distinct(), "pairs")
+    edges = saved(verified(tried, sets), "edges")
     labels = components(edges)
     for turn in range(LEADER_ROUNDS + 1):
-        apart = _saved(_apart(entries, labels), "apart")
+        apart = saved(_apart(entries, labels), "apart")
         if turn < LEADER_ROUNDS:
             leaders = apart.groupBy("signature").agg(F.min(F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "label")).alias("x"))
             met = apart.join(leaders.select("signature", F.col("x.sid").alias("other"), F.col("x.label").alias("other_label")),
@@ -237,8 +228,8 @@ def links(docs: DataFrame, documents: DataFrame, entries: DataFrame) -> DataFram
             other = apart.select("signature", F.col("sid").alias("other"), F.col("label").alias("other_label"))
             met = apart.join(other, "signature").where("label < other_label")
         fresh = met.select(*pair("sid", "other")).distinct().join(tried, ["u", "v"], "left_anti")
-        fresh = _saved(fresh, "pairs")
-        new = _saved(verified(fresh, sets), "edges")
+        fresh = saved(fresh, "pairs")
+        new = saved(verified(fresh, sets), "edges")
         tried = tried.unionByName(fresh)
         if not new.isEmpty():
             edges = labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(new)
@@ -261,9 +252,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one_per_component(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that have a component mate of smaller id; all columns stay."""
-    columns = [F.col(c) for c in docs.columns]
     gone = near_duplicates(docs).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").select(*columns)
+    return docs.join(counted(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
 @register("op5_ngram_jaccard_join")

@@ -105,14 +105,19 @@ def _bins(view: str) -> Column:
     return F.array(*out).alias(view)
 
 
+def _binned(docs: DataFrame) -> DataFrame:
+    """doc (all columns of ``docs``), text and meta (arrays of bin positions)."""
+    body = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), "source", "lang", "n_chars", body.alias("body"))
+    split = rows.select("*", F.split("body", WORD_GAP).alias("words"), F.split("body", "\n").alias("lines"))
+    return split.select("doc", _bins("text"), _bins("meta"))
+
+
 def features(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text and meta (arrays of bin positions), y (0, 1 or null), held (fold left out)."""
-    body = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", "source", "lang", "n_chars", body.alias("body")).select(
-        "*", F.split("body", WORD_GAP).alias("words"), F.split("body", "\n").alias("lines"))
     known = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").alias("_labelled")).agg(F.min("quality").cast("int").alias("y")))
-    binned = rows.select("doc_id", _bins("text"), _bins("meta"))
+    binned = _binned(docs.select("doc_id", "text", "source", "lang", "n_chars")).select("doc.doc_id", "text", "meta")
     return binned.join(known, binned["doc_id"] == known["_labelled"], "left").select(
         "doc_id", "text", "meta", "y", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0).alias("held"))
 
@@ -164,15 +169,26 @@ def _logit_bin(logit: Column) -> Column:
     return (F.least(F.greatest(F.round(logit), F.lit(-LOGIT_BINS)), F.lit(LOGIT_BINS)) + LOGIT_BINS).cast("int")
 
 
-def classify(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT,
-             accept: float = ACCEPT) -> DataFrame:
-    """doc_id, text_score, meta_score, score (0 to 1, high is good), accepted for every document."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "quality")
-    features(docs, labels).write.parquet(path)
-    rows = spark.read.parquet(path)
+@dataclass(frozen=True)
+class Model:
+    weights: dict[str, list[float]]  # per view
+    calibration: dict[str, list[float]]
+    prior: float
+    informed: bool
+
+    def scores(self) -> list[Column]:
+        """text_score, meta_score, score over the columns text and meta (0 to 1, high is good)."""
+        odds = {v: F.get(F.lit(self.calibration[v]), _logit_bin(_logit(v, self.weights[v]))) for v in VIEWS}
+        both = odds["text"] + odds["meta"] - F.lit(self.prior) if self.informed else F.lit(0.0)
+        sigmoid = lambda x: 1 / (1 + F.exp(-x))
+        return [*(sigmoid(odds[v]).alias(f"{v}_score") for v in VIEWS), sigmoid(both).alias("score")]
+
+
+def learn(rows: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT) -> Model:
+    """Co-training over the rows of ``features``."""
     taught = rows.withColumn("_t", F.when(~F.col("held"), F.col("y")))
     weights = {v: _learn(taught, v, "_t") for v in VIEWS}
+    prior = weights["meta"][0]
     edge = math.log(confident / (1 - confident))
     for _ in range(rounds):
         logits = {v: _logit(v, weights[v]) for v in VIEWS}
@@ -180,23 +196,27 @@ def classify(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, confident
         for view, teacher in (("meta", "text"), ("text", "meta")):
             pseudo = taught.withColumn("_t", F.when(F.col("y").isNull(), sure[teacher]).otherwise(F.col("_t")))
             weights[view] = _learn(pseudo, view, "_t")
-    logits = {v: _logit(v, weights[v]) for v in VIEWS}
-    table_of = _calibrate(rows, logits)
-    prior = _learn(taught, "meta", "_t")[0]
-    odds = {v: F.get(F.lit(table_of[v]), _logit_bin(x)) for v, x in logits.items()}
-    sigmoid = lambda x: 1 / (1 + F.exp(-x))
-    known = any(weights["text"]) or any(weights["meta"])
-    both = odds["text"] + odds["meta"] - F.lit(prior) if known else F.lit(0.0)
-    return rows.select("doc_id", sigmoid(odds["text"]).alias("text_score"), sigmoid(odds["meta"]).alias("meta_score"),
-                       sigmoid(both).alias("score")).withColumn("accepted", F.col("score") >= accept)
-
-
-def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rejected ones; all columns stay. Only the (few) rejected ids are joined,
-    so kept rows need no key of their own."""
-    columns = [F.col(c) for c in docs.columns]
-    rejected = classify(docs, labels).where(~F.col("accepted")).select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_rejected"]), "left_anti").select(*columns)
+    calibration = _calibrate(rows, {v: _logit(v, weights[v]) for v in VIEWS})
+    return Model(weights, calibration, prior, any(weights["text"]) or any(weights["meta"]))
+
+
+def _read_once(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    path = scratch_path(docs.sparkSession, "quality")
+    features(docs, labels).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def classify(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT) -> DataFrame:
+    """doc_id, text_score, meta_score, score, accepted for every document."""
+    rows = _read_once(docs, labels)
+    return rows.select("doc_id", *learn(rows).scores()).withColumn("accepted", F.col("score") >= accept)
+
+
+def keep_accepted(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT) -> DataFrame:
+    """``docs`` without the rejected ones; all columns stay. The model is applied as the documents
+    pass, so none is shuffled."""
+    model = learn(_read_once(docs, labels))
+    return _binned(docs).select("doc", model.scores()[-1]).where(F.col("score") >= accept).select("doc.*")
 
 
 @register("op8_quality_classifier")
