@@ -1,15 +1,17 @@
 r"""Quality classifier by co-training of two views.
 
 * Text view: shares of symbols, capitals, digits, bars and exclamation marks, distinct
-  words and lines, words that repeat the word before, mean word length, taken over the whole text.
+  words and lines, words that repeat the word before, mean word length, taken over the
+  whole text.
 * Metadata view: source, language, length.
 
 Each view is a naive Bayes model over binned features. It is learned from the labels
 (smallest label wins where a document has several); then, for ``ROUNDS`` rounds, each
 view names the unlabelled documents of which it is confident and the other view learns
 from these beside the labels. Pseudo-labels come from all unlabelled documents. A view's
-output is calibrated on the label fold that learning leaves out (``FOLDS``), and the
-calibrated log odds of both views add up to the score.
+output is calibrated (Platt) on the label fold that learning leaves out (``FOLDS``); only
+calibrated confidence makes a pseudo-label, so a weak view gives none. The calibrated log odds of both views add
+up to the score.
 
 The documents are read once: their bins, a few integers each, go to the shared scratch
 folder, and every round is one aggregate over them. Only counts per bin (a fixed number
@@ -35,12 +37,12 @@ from .registry import register, table
 
 ROUNDS = 2
 CONFIDENT = 0.98
-ACCEPT = 0.2  # a document goes only when it is four times as likely to be bad
+ACCEPT = 0.25  # a document goes only when it is three times as likely to be bad
 FOLDS = 5
 SYMBOLS = "#$%&*~^<>{}[]=_\\@"
 CAPITALS = "".join(chr(c) for c in (*range(65, 91), *range(192, 215), *range(216, 223)))
 WORD_GAP = r"[\x20\x09-\x0D]+"
-LOGIT_BINS = 12  # calibration bins on either side of zero
+LOGIT_LIMIT = 12.0  # raw log odds are calibrated within
 
 
 @dataclass(frozen=True)
@@ -151,37 +153,62 @@ def _logit(view: str, weights: list[float]) -> Column:
     return F.aggregate(view, F.lit(weights[0]), lambda acc, b: acc + F.get(at, b))
 
 
-def _calibrate(rows: DataFrame, logits: dict[str, Column]) -> dict[str, list[float]]:
-    """Per view: log odds of class 1 by rounded raw log odds, on the labels left out."""
+def _calibrate(rows: DataFrame, logits: dict[str, Column]) -> dict[str, tuple[float, float]]:
+    """Per view (slope, offset): log odds of class 1 are slope * raw + offset, fitted by Platt's
+    method on the labels left out."""
     out = {}
     for view, logit in logits.items():
         got = rows.where(F.col("held") & F.col("y").isNotNull()).groupBy(
-            _logit_bin(logit).alias("b"), "y").count().collect()  # a row per calibration bin and class
-        n = {(r["b"], r["y"]): r["count"] for r in got}
-        # smoothing pulls a bin with few labels towards its own raw log odds
-        prior = [1 / (1 + math.exp(-(b - LOGIT_BINS))) for b in range(2 * LOGIT_BINS + 1)]
-        out[view] = [math.log((n.get((b, 1), 0) + 2 * prior[b]) / (n.get((b, 0), 0) + 2 * (1 - prior[b])))
-                     for b in range(2 * LOGIT_BINS + 1)]
+            _rounded(logit).alias("x"), "y").count().collect()  # a row per rounded value and class
+        out[view] = platt([(r["x"], r["y"], r["count"]) for r in got])
     return out
 
 
-def _logit_bin(logit: Column) -> Column:
-    return (F.least(F.greatest(F.round(logit), F.lit(-LOGIT_BINS)), F.lit(LOGIT_BINS)) + LOGIT_BINS).cast("int")
+def platt(points: list[tuple[float, int, int]], turns: int = 50) -> tuple[float, float]:
+    """Logistic regression of y on x over (x, y, count), with Platt's targets in place of 0 and 1."""
+    n = [sum(c for _, y, c in points if y == k) for k in (0, 1)]
+    target = (1 / (n[0] + 2), (n[1] + 1) / (n[1] + 2))
+    slope, offset = 0.0, math.log((n[1] + 1) / (n[0] + 1))
+    if not min(n):
+        return 0.0, 0.0
+    for _ in range(turns):
+        g = [0.0, 0.0]
+        h = [1e-6, 0.0, 1e-6]
+        for x, y, c in points:
+            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, slope * x + offset))))
+            e, w = c * (p - target[y]), c * p * (1 - p)
+            g = [g[0] + e * x, g[1] + e]
+            h = [h[0] + w * x * x, h[1] + w * x, h[2] + w]
+        det = h[0] * h[2] - h[1] * h[1]
+        step = ((h[2] * g[0] - h[1] * g[1]) / det, (h[0] * g[1] - h[1] * g[0]) / det)
+        size = max(1.0, abs(step[0]), abs(step[1]))  # no step over 1
+        slope, offset = slope - step[0] / size, offset - step[1] / size
+        if max(map(abs, step)) < 1e-9:
+            break
+    return max(slope, 0.0), offset
+
+
+def _rounded(logit: Column) -> Column:
+    return F.least(F.greatest(F.round(logit * 4) / 4, F.lit(-LOGIT_LIMIT)), F.lit(LOGIT_LIMIT))
 
 
 @dataclass(frozen=True)
 class Model:
     weights: dict[str, list[float]]  # per view
-    calibration: dict[str, list[float]]
+    calibration: dict[str, tuple[float, float]]
     prior: float
-    informed: bool
+
+    def odds(self, view: str) -> Column:
+        """Calibrated log odds over the column of the view's bins."""
+        slope, offset = self.calibration[view]
+        return _rounded(_logit(view, self.weights[view])) * slope + offset
 
     def scores(self) -> list[Column]:
         """text_score, meta_score, score over the columns text and meta (0 to 1, high is good)."""
-        odds = {v: F.get(F.lit(self.calibration[v]), _logit_bin(_logit(v, self.weights[v]))) for v in VIEWS}
-        both = odds["text"] + odds["meta"] - F.lit(self.prior) if self.informed else F.lit(0.0)
+        odds = {v: self.odds(v) for v in VIEWS}
         sigmoid = lambda x: 1 / (1 + F.exp(-x))
-        return [*(sigmoid(odds[v]).alias(f"{v}_score") for v in VIEWS), sigmoid(both).alias("score")]
+        return [*(sigmoid(odds[v]).alias(f"{v}_score") for v in VIEWS),
+                sigmoid(odds["text"] + odds["meta"] - F.lit(self.prior)).alias("score")]
 
 
 def learn(rows: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT) -> Model:
@@ -189,15 +216,16 @@ def learn(rows: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT) -
     taught = rows.withColumn("_t", F.when(~F.col("held"), F.col("y")))
     weights = {v: _learn(taught, v, "_t") for v in VIEWS}
     prior = weights["meta"][0]
+    fitted = lambda: Model(weights, _calibrate(rows, {v: _logit(v, weights[v]) for v in VIEWS}), prior)
     edge = math.log(confident / (1 - confident))
     for _ in range(rounds):
-        logits = {v: _logit(v, weights[v]) for v in VIEWS}
-        sure = {v: F.when(x >= edge, 1).when(x <= -edge, 0) for v, x in logits.items()}
+        model = fitted()
+        sure = {v: F.when(model.odds(v) >= edge, 1).when(model.odds(v) <= -edge, 0) for v in VIEWS}
+        weights = dict(weights)
         for view, teacher in (("meta", "text"), ("text", "meta")):
             pseudo = taught.withColumn("_t", F.when(F.col("y").isNull(), sure[teacher]).otherwise(F.col("_t")))
             weights[view] = _learn(pseudo, view, "_t")
-    calibration = _calibrate(rows, {v: _logit(v, weights[v]) for v in VIEWS})
-    return Model(weights, calibration, prior, any(weights["text"]) or any(weights["meta"]))
+    return fitted()
 
 
 def _read_once(docs: DataFrame, labels: DataFrame) -> DataFrame:
