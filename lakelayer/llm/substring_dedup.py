@@ -38,6 +38,7 @@ from .mail import batches_and_parts, cuts, dealt, from_planes, mixed, packed, pl
 from .registry import register, table
 from .repeats import LENGTH, STEPS, WIDTH, ContextIndex, Runs, find_runs, repeated_windows
 
+FINER = 2  # batches and parts for each shuffle partition; both hold their bytes several times over
 LAST_ID = np.iinfo(np.int64).max  # stands for a null id
 _COPIES = 0  # kinds of mail to a batch
 _ANSWER = 1
@@ -217,7 +218,7 @@ def _cut(key: tuple, group: pa.Table, mail: pa.Table) -> pa.Table:
 
 def _steps(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents in batches, copies per batch, contexts per part)."""
-    parts = batches_and_parts(docs.sparkSession)
+    parts = FINER * batches_and_parts(docs.sparkSession)  # of batches as well
     typed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = dealt(typed, parts, F.xxhash64("doc_id", "text").alias("row"))
     keyed = rows.select("batch", "row", F.coalesce("doc_id", F.lit(LAST_ID)).alias("rank"),
