@@ -34,11 +34,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrow import texts
-from .mail import batches_and_parts, chained, cuts, dealt, packed, unpacked
+from .mail import batches_and_parts, chained, cuts, dealt, from_planes, packed, planes, unpacked
 from .registry import register, table
 
 ORDER = 2
 PRIOR = 500.0
+BATCHES = 3  # for each part; a batch is held in memory several times over
 HELD_REMAINDER, FOLDS = 1, 5
 END, START = np.uint64(1), np.uint64(2)  # hashes of the end token and of the start of a text
 
@@ -75,7 +76,7 @@ class Tokens:
                 gram = chained(before, word)
             there = place >= k - 2  # the start of a text stands for one token of history
             distinct, which = np.unique(gram[there], return_inverse=True)
-            full = np.zeros(len(word), np.int64)
+            full = np.zeros(len(word), np.int32)
             full[there] = which
             self.grams.append(distinct)
             self.which.append(full)
@@ -115,7 +116,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, prior: float = PRIOR) -
     spark = docs.sparkSession
     parts = batches_and_parts(spark)
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
-    rows = dealt(docs, parts, F.coalesce(remainder == HELD_REMAINDER, F.lit(True)).alias("held_out"))
+    rows = dealt(docs, BATCHES * parts, F.coalesce(remainder == HELD_REMAINDER, F.lit(True)).alias("held_out"))
     names = [f"g{k}" for k in range(order)]
 
     def ask(key: tuple, group: pa.Table) -> pa.Table:
@@ -125,14 +126,14 @@ def score_documents(docs: DataFrame, order: int = ORDER, prior: float = PRIOR) -
         for name, grams, which, there in zip(names, tokens.grams, tokens.which, tokens.there):
             counts = np.bincount(which[learned & there], minlength=len(grams)).astype(np.int32)
             at = cuts(grams, parts)
-            columns[name] = packed([grams[a:b] for a, b in zip(at, at[1:])])
+            columns[name] = pa.array([planes(grams[a:b]) for a, b in zip(at, at[1:])], pa.binary())
             columns[name + "_n"] = packed([counts[a:b] for a, b in zip(at, at[1:])])
         return pa.table(columns)
 
     def answer(key: tuple, group: pa.Table) -> pa.Table:
         columns = {"batch": group.column("batch"), "part": group.column("part")}
         for name in names:
-            asked = unpacked(group, name, np.uint64)
+            asked = [from_planes(b, np.uint64) for b in group.column(name).to_pylist()]
             distinct, which = np.unique(np.concatenate(asked), return_inverse=True)
             total = np.zeros(len(distinct), np.int64)
             np.add.at(total, which, np.concatenate(unpacked(group, name + "_n", np.int32)))
