@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -22,3 +25,14 @@ def counted(keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     else left to a shuffle join."""
     keys = saved(keys, "keys")
     return F.broadcast(keys) if keys.count() <= limit else keys
+
+
+def filtered(docs: DataFrame, keys: DataFrame, on: list[Column], how: str) -> DataFrame:
+    """``docs`` joined (left_semi or left_anti) to ``keys``, whose columns answer to ``on``; nulls
+    equal nulls. Whatever columns ``docs`` has, they stay as they are."""
+    names = [f"k{i}" for i in range(len(on))]
+    wrapped = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+                          *(c.alias(n) for c, n in zip(on, names)))
+    keys = keys.toDF(*(f"of_{n}" for n in names))
+    same = reduce(and_, (F.col(n).eqNullSafe(F.col(f"of_{n}")) for n in names))
+    return wrapped.join(keys, same, how).select("doc.*")

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .arrow import map_batches, texts
-from .bounded import counted
+from .bounded import counted, filtered
 from .mail import chained
 from .registry import register, table
 
@@ -233,8 +233,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_I
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that leak an item; all columns stay."""
-    leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(counted(leaked), F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+    leaked = find_leaks(docs, benchmark).select("doc_id").distinct()
+    return filtered(docs, counted(leaked), [F.col("doc_id")], "left_anti")
 
 
 @register("op4_decontamination")

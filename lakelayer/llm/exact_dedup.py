@@ -21,6 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bounded import filtered
 from .registry import register, table
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -54,10 +55,8 @@ def exact_dedup(docs: DataFrame, content_hash: Callable[[Column], Column] = F.md
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the later copies of equal texts; all columns stay."""
-    kept = exact_groups(docs).select(F.col("keep_id").alias("_keep_id"), F.col("text_sha256").alias("_sha256"))
-    same = F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (
-        F.sha2(normalised(F.col("text")), 256) == F.col("_sha256"))
-    return docs.join(kept, same, "left_semi")
+    kept = exact_groups(docs).select("keep_id", "text_sha256")
+    return filtered(docs, kept, [F.col("doc_id"), F.sha2(normalised(F.col("text")), 256)], "left_semi")
 
 
 @register("op9_exact_dedup", r"""

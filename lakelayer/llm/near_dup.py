@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .arrow import map_batches, texts
-from .bounded import counted, saved
+from .bounded import counted, filtered, saved
 from .components import components
 from .mail import batches_and_parts, cuts, packed, unpacked
 from .partenum import Bands, sign
@@ -252,8 +252,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one_per_component(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that have a component mate of smaller id; all columns stay."""
-    gone = near_duplicates(docs).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(counted(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs).where("doc_id != component_id").select("doc_id").distinct()
+    return filtered(docs, counted(gone), [F.col("doc_id")], "left_anti")
 
 
 @register("op5_ngram_jaccard_join")

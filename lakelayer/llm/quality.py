@@ -110,7 +110,7 @@ def _bins(view: str) -> Column:
 def _binned(docs: DataFrame) -> DataFrame:
     """doc (all columns of ``docs``), text and meta (arrays of bin positions)."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), "source", "lang", "n_chars", body.alias("body"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), "source", "lang", "n_chars", body.alias("body"))
     split = rows.select("*", F.split("body", WORD_GAP).alias("words"), F.split("body", "\n").alias("lines"))
     return split.select("doc", _bins("text"), _bins("meta"))
 
