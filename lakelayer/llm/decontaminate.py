@@ -101,11 +101,12 @@ def fingerprints(sums: np.ndarray, starts: np.ndarray, length: int, words: np.nd
 
 
 class HammingIndex:
-    """All stored fingerprints within ``radius`` of a query, by radius + 1 blocks of bits."""
+    """All stored fingerprints within ``radius`` of a query, by more than radius blocks of bits."""
 
     def __init__(self, prints: np.ndarray, radius: int = RADIUS) -> None:
         self.prints, self.radius = prints, radius
-        edges = [64 * i // (radius + 1) for i in range(radius + 2)]
+        blocks = max(radius + 1, 4)  # of 16 bits at most, for the tables
+        edges = [64 * i // blocks for i in range(blocks + 1)]
         self.blocks = []
         for a, b in zip(edges, edges[1:]):
             shift, mask = np.uint64(a), np.uint64((1 << (b - a)) - 1)
