@@ -41,7 +41,7 @@ from .registry import register, table
 from .shingles import ShingleSets, set_ids
 
 LARGE = 64
-SIGNED_AT_ONCE = 16 << 20  # characters
+SIGNED_AT_ONCE = 4 << 20  # characters; their sets are held several times over
 PRUNE_ROUNDS = 2
 LEADER_ROUNDS = 4
 
@@ -185,6 +185,8 @@ def whole_sets(docs: DataFrame, documents: DataFrame, entries: DataFrame) -> Dat
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose sets reach the similarity."""
+    ids = pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid"))).distinct()
+    sets = saved(sets.join(counted(ids), "sid", "left_semi"), "sets")
     a = sets.select(F.col("sid").alias("u"), F.col("size").alias("u_size"), F.col("elements").alias("u_set"))
     b = sets.select(F.col("sid").alias("v"), F.col("size").alias("v_size"), F.col("elements").alias("v_set"))
     sized = pairs.join(a.select("u", "u_size"), "u").join(b.select("v", "v_size"), "v").where(
@@ -218,9 +220,13 @@ def links(docs: DataFrame, documents: DataFrame, entries: DataFrame) -> DataFram
     tried = saved(best.select(*pair("sid", "leader")).distinct(), "pairs")
     edges = saved(verified(tried, sets), "edges")
     labels = components(edges)
-    for turn in range(LEADER_ROUNDS + 1):
-        apart = saved(_apart(entries, labels), "apart")
-        if turn < LEADER_ROUNDS:
+    apart, turn, found = entries, 0, True
+    while True:
+        apart = saved(_apart(apart.select("signature", "sid"), labels), "apart")  # components only grow
+        if apart.isEmpty():
+            return labels
+        every = turn == LEADER_ROUNDS or not found
+        if not every:
             leaders = apart.groupBy("signature").agg(F.min(F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "label")).alias("x"))
             met = apart.join(leaders.select("signature", F.col("x.sid").alias("other"), F.col("x.label").alias("other_label")),
                              "signature").where("label != other_label")
@@ -231,10 +237,13 @@ def links(docs: DataFrame, documents: DataFrame, entries: DataFrame) -> DataFram
         fresh = saved(fresh, "pairs")
         new = saved(verified(fresh, sets), "edges")
         tried = tried.unionByName(fresh)
-        if not new.isEmpty():
+        found = not new.isEmpty()
+        if found:
             edges = labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(new)
             labels = components(edges)
-    return labels
+        if every:
+            return labels
+        turn += 1
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import xxhash
 from .mail import FOLD, chained, mixed
 
 SHINGLE = 5
-WORDS_HELD = 500_000
+WORDS_HELD = 200_000
 
 
 class ShingleSets:
