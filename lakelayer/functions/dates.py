@@ -1,8 +1,8 @@
 """Date and time column functions.
 
 Times are carried as ``timestamp_ntz`` (wall-clock time without a zone) so that
-results do not depend on the session time zone; text forms use the warehouse
-pattern ``yyyy-MM-dd HH:mm:ss``. Epoch conversions take an explicit offset or
+results do not depend on the session time zone; text forms are the warehouse's
+``yyyy-MM-dd HH:mm:ss``. Epoch conversions take an explicit offset or
 zone, never the machine's.
 """
 
@@ -11,10 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text patterns of the warehouse.
-DATE_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
-DATE_PATTERN = "yyyy-MM-dd"
-
+_TIME_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{2}:[0-9]{2}:[0-9]{2})?$"
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -23,17 +20,31 @@ def _c(col) -> Column:
 
 
 def parse_time(col) -> Column:
-    """Text -> timestamp_ntz. Accepts date-time or date only; NULL for unreadable text."""
+    """Text -> timestamp_ntz. Accepts date-time or date only; NULL for unreadable text.
+
+    The text becomes a wall-clock time directly, never an instant, so hours that a session zone
+    skips or repeats come out as written.
+    """
     c = _c(col)
-    parsed = F.coalesce(
-        F.try_to_timestamp(c, F.lit(DATE_TIME_PATTERN)),
-        F.try_to_timestamp(c, F.lit(DATE_PATTERN)),
-    )
-    return parsed.cast("timestamp_ntz")
+    return F.when(c.rlike(_TIME_TEXT), c.try_cast("timestamp_ntz"))
+
+
+def time_text(col) -> Column:
+    """Wall-clock time -> text, to the second. (``date_format`` would go through an instant.)"""
+    return F.substring(_c(col).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
-def time_text(col, pattern: str = DATE_TIME_PATTERN) -> Column:
-    return F.date_format(_c(col), pattern)
+def date_text(col) -> Column:
+    """Date or wall-clock time -> ``yyyy-MM-dd``."""
+    return _c(col).cast("date").cast("string")
+
+
+def elapsed(a, b) -> Column:
+    """Seconds (with fraction, as a decimal) from wall-clock time ``a`` to ``b``.
+
+    A difference of two timestamp_ntz needs no zone; ``timestamp_diff`` would take instants.
+    """
+    return (_c(b) - _c(a)).cast("interval second").cast("decimal(20,6)")
 
 
 def add_seconds(col, seconds) -> Column:
@@ -50,7 +61,7 @@ def epoch_ms_of_wallclock(col, offset: str = "+00:00") -> Column:
     sign = -1 if offset.startswith("-") else 1
     hh, mm = offset.lstrip("+-").split(":")
     shift_ms = sign * (int(hh) * 3600 + int(mm) * 60) * 1000
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH_NTZ), c) - F.lit(shift_ms)
+    return F.floor(elapsed(F.expr(_EPOCH_NTZ), c) * 1000).cast("bigint") - F.lit(shift_ms)
 
 
 def epoch_ms(col, offset: str = "+08:00") -> Column:
@@ -68,18 +79,18 @@ def wallclock_of_epoch_ms(col, zone: str = "UTC") -> Column:
 
 def seconds_between(a, b) -> Column:
     """Whole seconds from text time ``a`` to text time ``b``."""
-    return F.timestamp_diff("SECOND", parse_time(a), parse_time(b))
+    return elapsed(parse_time(a), parse_time(b)).cast("bigint")
 
 
-def stamp(pattern: str = DATE_TIME_PATTERN, at=None) -> Column:
+def stamp(at=None) -> Column:
     """'Now' as text (B16); pass ``at`` where results must repeat."""
     if at is None:
-        base = F.current_timestamp()
+        base = F.localtimestamp()  # the session zone's wall clock
     elif isinstance(at, str):
         base = parse_time(F.lit(at))
     else:
         base = at
-    return F.date_format(base, pattern)
+    return time_text(base)
 
 
 def is_blank(col) -> Column:
@@ -92,7 +103,7 @@ def calendar_columns(ts_col, date_name: str = "create_date", hour_name: str = "c
     """(date text, hour text without padding) of a timestamp."""
     c = _c(ts_col)
     return [
-        F.date_format(c, DATE_PATTERN).alias(date_name),
+        date_text(c).alias(date_name),
         F.hour(c).cast("string").alias(hour_name),
     ]
 
@@ -103,7 +114,7 @@ def event_time(col) -> Column:
     Streaming watermarks need a TIMESTAMP (instant); going through epoch
     microseconds keeps the result independent of the session time zone.
     """
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(col)))
+    return F.timestamp_micros((elapsed(F.expr(_EPOCH_NTZ), col) * 1000000).cast("bigint"))
 
 
 def utc_wallclock(col) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import DATE_PATTERN, wallclock_of_epoch_ms
+from ..functions.dates import date_text, wallclock_of_epoch_ms
 from .dedup import first_seen
 
 
@@ -30,7 +30,7 @@ def dau_document(logs: DataFrame) -> DataFrame:
         F.col("common.ar").alias("ar"),
         F.col("common.ch").alias("ch"),
         F.col("common.vc").alias("vc"),
-        F.date_format(F.col("dt"), DATE_PATTERN).alias("dt"),
+        date_text("dt").alias("dt"),
         F.col("hr").cast("string").alias("hr"),
         F.lit("00").alias("mi"),
         F.col("ts"),

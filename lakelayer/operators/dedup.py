@@ -1,33 +1,28 @@
-"""Keep the first row per key.
+"""Keep one row per key.
 
-``groupBy(keys).agg(min_by(struct(row), struct(order)))`` is a hash aggregate
-with a map-side partial step: every task keeps one row per key before the
-shuffle, so a key holding a third of all rows still sends one row per task.
+``row_number() = 1`` plans a group limit before the shuffle (each task keeps its best row per
+key, so a key holding a third of all rows sends one row per task) and no aggregate over whole
+rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _one(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_place", F.row_number().over(w)).where("_place = 1").drop("_place")
+
+
 def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the one with the smallest ``order`` (ties need a unique last column)."""
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*[F.col(c) for c in order])).alias("_row")
-    )
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    return _one(df, keys, [F.col(c).asc() for c in order])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the one with the largest ``order`` (last write wins)."""
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in order])).alias("_row")
-    )
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    return _one(df, keys, [F.col(c).desc() for c in order] or [F.lit(0)])

@@ -6,12 +6,15 @@ latest-per-key view; that replaces the keyed store with upsert of the warehouse.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.dates import parse_time
+from ..functions.dates import seconds_between
+from ..sinks.batches import replace_batch
 from .dedup import latest_per_key
 from .joins import lookup_join
 
@@ -28,7 +31,7 @@ def derive_user(users: DataFrame, asof: str, labels=AGE_LABELS, genders=GENDER_L
     the first band, over 30 the last, so 20 itself falls in the middle band.
     Gender ``M`` is the first name; anything else, null included, the second.
     """
-    secs = F.timestamp_diff("SECOND", parse_time("birthday"), parse_time(F.lit(asof)))
+    secs = seconds_between("birthday", F.lit(asof))
     years = secs / F.lit(SECONDS_PER_YEAR)
     age = F.when(secs >= 0, F.floor(years)).otherwise(F.ceil(years))  # truncate toward zero
     band = (
@@ -41,14 +44,16 @@ def derive_user(users: DataFrame, asof: str, labels=AGE_LABELS, genders=GENDER_L
     return users.withColumn("age_group", band).withColumn("gender_name", gname)
 
 
-def enrich_sku(sku: DataFrame, trademark: DataFrame, category3: DataFrame, spu: DataFrame) -> DataFrame:
-    """SKU with trademark, category and SPU names; unmatched names stay null."""
-    tm = trademark.select(F.col("id").alias("_tm_id"), F.col("tm_name"))
-    c3 = category3.select(F.col("id").alias("_c3_id"), F.col("name").alias("category3_name"))
-    sp = spu.select(F.col("id").alias("_spu_id"), F.col("spu_name"))
-    out = lookup_join(sku, tm, sku.tm_id == tm._tm_id)
-    out = lookup_join(out, c3, out.category3_id == c3._c3_id)
-    out = lookup_join(out, sp, out.spu_id == sp._spu_id)
+def enrich_sku(sku: DataFrame, trademark: DataFrame, category3: DataFrame, spu: DataFrame,
+               order: Sequence[str] = ()) -> DataFrame:
+    """SKU with trademark, category and SPU names; unmatched names stay null (D1). Of several rows
+    of a dimension key the last by ``order`` counts (D7)."""
+    tm = trademark.select(F.col("id").alias("_tm_id"), F.col("tm_name"), *order)
+    c3 = category3.select(F.col("id").alias("_c3_id"), F.col("name").alias("category3_name"), *order)
+    sp = spu.select(F.col("id").alias("_spu_id"), F.col("spu_name"), *order)
+    out = lookup_join(sku, tm, F.col("tm_id"), "_tm_id", order)
+    out = lookup_join(out, c3, F.col("category3_id"), "_c3_id", order)
+    out = lookup_join(out, sp, F.col("spu_id"), "_spu_id", order)
     return out.select(*sku.columns, "category3_name", "spu_name", "tm_name")
 
 
@@ -86,38 +91,31 @@ ORDER_COL = "_ord"
 
 
 def _spec_cols(df: DataFrame, spec: DimSpec):
-    return [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in spec.columns]
+    return [F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in spec.columns]
 
 
-def spec_columns(df: DataFrame, spec: DimSpec) -> DataFrame:
-    """Project a row set onto the spec's columns, in sink order (missing ones as null)."""
-    return df.select(*_spec_cols(df, spec))
-
-
-def append_changes(df: DataFrame, spec: DimSpec, path: str, batch_id: int, order_col: str | None = None) -> None:
+def append_changes(df: DataFrame, spec: DimSpec, path: str, batch_id: int, order_col: str) -> None:
     """Write one batch of dimension rows to the change log.
 
-    The batch's folder is replaced as a whole, so a replayed batch rewrites the
-    same rows instead of adding copies.
+    ``order_col`` (an offset, position or version) orders the changes of a key inside the batch;
+    the last one counts and is the only one written. The batch's folder is replaced as a whole,
+    so a replayed batch rewrites the same rows instead of adding copies.
     """
-    ordered = df.withColumn(ORDER_COL, (F.col(order_col) if order_col else F.lit(0)).cast("bigint"))
-    out = ordered.select(*_spec_cols(ordered, spec), ORDER_COL).withColumn(
-        BATCH_COL, F.lit(int(batch_id)).cast("bigint"))
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COL)
-        .parquet(path)
-    )
+    ordered = df.withColumn(ORDER_COL, F.col(order_col).cast("bigint"))
+    out = latest_per_key(ordered.select(*_spec_cols(ordered, spec), ORDER_COL), [spec.key], [ORDER_COL, *spec.columns])
+    replace_batch(out, path, BATCH_COL, batch_id)
 
 
 def read_dim(spark: SparkSession, spec: DimSpec, path: str) -> DataFrame:
     """Latest row per key of a change log (A5 over our own store)."""
-    log = spark.read.parquet(path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in spec.columns] + [
+        T.StructField(ORDER_COL, T.LongType()), T.StructField(BATCH_COL, T.LongType())])
+    log = spark.read.schema(schema).parquet(path)
     latest = latest_per_key(log, [spec.key], [BATCH_COL, ORDER_COL])
     return latest.select(*spec.columns)
 
 
 def compact(spark: SparkSession, spec: DimSpec, path: str, out_path: str, batch_id: int = 0) -> None:
     """Rewrite the latest view as a single batch (to bound the log)."""
-    append_changes(read_dim(spark, spec, path), spec, out_path, batch_id)
+    latest = read_dim(spark, spec, path).withColumn(ORDER_COL, F.lit(0))
+    append_changes(latest, spec, out_path, batch_id, ORDER_COL)

@@ -1,38 +1,30 @@
 """Lookup joins of facts to dimensions.
 
-A dimension is broadcast only after a bounded check of its size: ``limit(n+1)``
-stops the count as soon as the bound is passed, so the check costs at most
-``n+1`` rows of work even for a huge table. Above the bound the join is left to
-Spark (sort-merge with AQE, which also splits skewed fact partitions).
+A lookup never multiplies rows: the dimension is cut to one row per key first. The join
+carries no broadcast hint and no size is counted beforehand. AQE broadcasts a side whose
+shuffle output it has measured to be small (in bytes) and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) that is broadcast to every task.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+from .dedup import latest_per_key
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int | None) -> bool:
-    if max_rows is None:
-        return False
-    return dim.limit(max_rows + 1).count() <= max_rows
+def lookup_join(fact: DataFrame, dim: DataFrame, fact_key, dim_key: str, order: Sequence[str] = ()) -> DataFrame:
+    """Left join of ``fact`` to one row per ``dim_key`` of ``dim``.
 
-
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Column | Sequence[Column],
-    how: str = "left",
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join ``fact`` to ``dim`` (one row per key); broadcast ``dim`` if its size is checked small."""
-    right = F.broadcast(dim) if fits_broadcast(dim, max_broadcast_rows) else dim
-    return fact.join(right, on, how)
+    Of several rows with a key, the last by ``order`` counts, ties (or no order) by the
+    remaining columns, so the choice does not depend on arrival. A null key matches nothing.
+    The columns of ``order`` and ``dim_key`` do not come along.
+    """
+    rest = [c for c in dim.columns if c != dim_key and c not in order]
+    last = latest_per_key(dim.where(F.col(dim_key).isNotNull()), [dim_key], [*order, *rest])
+    return fact.join(last.drop(*order), fact_key == F.col(dim_key), "left").drop(dim_key)
 
 
 def key_set(df: DataFrame, col: str, alias: str, cast: str | None = None) -> DataFrame:

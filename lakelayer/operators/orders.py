@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_columns
-from .joins import DEFAULT_BROADCAST_ROWS, key_set, lookup_join
+from .dedup import first_seen
+from .joins import key_set, lookup_join
 
 
 def order_calendar(orders: DataFrame, ts_col: str = "create_time") -> DataFrame:
@@ -21,22 +24,22 @@ def _status_keys(status: DataFrame) -> DataFrame:
 def flag_against_status(orders: DataFrame, status: DataFrame) -> DataFrame:
     """'0' if the user already has a status row (has ordered before), else '1' (D5)."""
     keys = _status_keys(status)
-    j = lookup_join(orders, keys, orders.user_id == keys._status_uid)
+    j = orders.join(keys, orders.user_id == keys._status_uid, "left")
     flag = F.when(F.col("_status_uid").isNotNull(), F.lit("0")).otherwise(F.lit("1"))
     return j.withColumn("if_first_order", flag).drop("_status_uid")
 
 
-def flag_first_order(orders: DataFrame, status: DataFrame | None = None) -> DataFrame:
+def flag_first_order(orders: DataFrame, status: DataFrame | None = None, base: DataFrame | None = None) -> DataFrame:
     """First-order flag (D5 + F3).
 
     Only a user's earliest order (by create time, then id) can be '1', and only
     if the user has no status row. The earliest order per user comes from a
-    partial aggregate, so a user with a huge number of orders costs one row per
+    group limit before the shuffle, so a user with a huge number of orders costs one row per
     task; it is joined back on the order id, which is unique on both sides.
+    ``base`` may give (id, user_id, create_time) of the same orders more cheaply.
     """
-    firsts = orders.groupBy("user_id").agg(
-        F.min_by(F.col("id"), F.struct(F.col("create_time"), F.col("id"))).alias("_first_id")
-    )
+    narrow = (base if base is not None else orders).select("user_id", "create_time", F.col("id").alias("_first_id"))
+    firsts = first_seen(narrow, ["user_id"], ["create_time", "_first_id"])
     if status is not None:
         keys = _status_keys(status)
         firsts = firsts.join(keys, firsts.user_id == keys._status_uid, "left_anti")
@@ -53,34 +56,31 @@ def new_user_status(orders: DataFrame) -> DataFrame:
     )
 
 
-def enrich_province(orders: DataFrame, province: DataFrame,
-                    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Province name, area code and ISO code (D2); unmatched stay null."""
+def enrich_province(orders: DataFrame, province: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Province name, area code and ISO code (D2); unmatched stay null. Of several rows of a province
+    the last by ``order`` counts (D7)."""
     p = province.select(
         F.col("id").alias("_prov_id"),
         F.col("name").alias("province_name"),
         F.col("area_code").alias("province_area_code"),
         F.col("iso_code").alias("province_iso_code"),
+        *order,
     )
-    j = lookup_join(orders, p, orders.province_id.cast("string") == p._prov_id,
-                    max_broadcast_rows=max_broadcast_rows)
-    return j.drop("_prov_id")
+    return lookup_join(orders, p, orders.province_id.cast("string"), "_prov_id", order)
 
 
-def enrich_user(orders: DataFrame, users: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
-    """User age band and gender name (D3). The user table is large: no hint, AQE decides."""
+def enrich_user(orders: DataFrame, users: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """User age band and gender name (D3)."""
     u = users.select(
         F.col("id").alias("_user_id"),
         F.col("age_group").alias("user_age_group"),
         F.col("gender_name").alias("user_gender"),
+        *order,
     )
-    j = lookup_join(orders, u, orders.user_id.cast("string") == u._user_id,
-                    max_broadcast_rows=max_broadcast_rows)
-    return j.drop("_user_id")
+    return lookup_join(orders, u, orders.user_id.cast("string"), "_user_id", order)
 
 
-def enrich_details(details: DataFrame, sku: DataFrame,
-                   max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def enrich_details(details: DataFrame, sku: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """Order line with SPU, trademark and category ids and names from the SKU."""
     s = sku.select(
         F.col("id").alias("_sku_id"),
@@ -90,7 +90,6 @@ def enrich_details(details: DataFrame, sku: DataFrame,
         "spu_name",
         "tm_name",
         "category3_name",
+        *order,
     )
-    j = lookup_join(details, s, details.sku_id.cast("string") == s._sku_id,
-                    max_broadcast_rows=max_broadcast_rows)
-    return j.drop("_sku_id")
+    return lookup_join(details, s, details.sku_id.cast("string"), "_sku_id", order)

@@ -1,68 +1,26 @@
-"""Skew-safe running sums within groups.
-
-``Window.partitionBy(group).orderBy(...)`` puts a whole group in one task, so one
-group holding a third of the rows would make one task do a third of the work.
-The operator first counts rows per group (a scan of the key columns with a
-map-side partial count). If no group is larger than ``max_group_rows`` the plain
-window is used: one shuffle, all in the JVM.
-
-Otherwise the rows are range-partitioned on (group, order): Spark samples the
-sort keys, so a hot group is cut into several consecutive partitions. The slices
-are pinned with ``checkpoint()`` in the shared checkpoint folder, because the
-range bounds are re-sampled on every execution and the two passes below must see
-the same slices. Each partition computes its local running sums in one
-vectorised pass, and a group that was cut gets a carry: the totals of its slices
-in the earlier partitions. At most one group per partition can need a carry (the
-first), so the carry table has at most one row per partition and is broadcast
-with that bound.
-
-Values must be integral (``bigint``); callers pass decimals as unscaled cents.
-Group keys must be non-null.
+"""Running sums within groups that may be of any size.
+
+``Window.partitionBy(group).orderBy(...)`` puts a whole group in one task, so one group
+holding a third of the rows would make one task do a third of the work. Here a group is cut
+into slices along its order: the caller names expressions that do not decrease along the
+order (the order columns themselves, the last one coarsened). A window sums inside each
+slice; the totals of the slices, few rows per group, are summed along the group, and a slice
+that is not the first of its group gets what came before it. Most groups have one slice and
+need nothing, so the carry table is small and AQE broadcasts it.
+
+There is one path for all sizes, all of it DataFrame functions, and nothing runs before the
+result is asked for. Group keys and slices are compared as one struct, in which nulls equal
+nulls, so rows with a null key form a group like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..session import checkpoint_root, shuffle_partitions
-
-PID = "_slice"
-# Largest group the plain window path may take into one task.
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
 
-def _local_running(keys: list[str], values: list[str], outs: list[str]):
-    """Per partition (already sorted by keys + order): exclusive running sums."""
-
-    def run(batches):
-        carry_key = None
-        carry = [0] * len(values)
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{o: pd.Series(dtype="int64") for o in outs})
-                continue
-            kdf = pdf[keys]
-            new_group = kdf.ne(kdf.shift()).any(axis=1)
-            gid = new_group.cumsum()
-            vals = pdf[values].fillna(0).astype("int64")
-            excl = vals.groupby(gid).cumsum() - vals
-            if carry_key is not None and tuple(kdf.iloc[0]) == carry_key:
-                first = gid == gid.iloc[0]
-                for i, v in enumerate(values):
-                    excl.loc[first, v] += carry[i]
-            last = gid == gid.iloc[-1]
-            carry_key = tuple(kdf.iloc[-1])
-            carry = [int(excl[v][last].iloc[-1] + vals[v][last].iloc[-1]) for v in values]
-            for v, o in zip(values, outs):
-                pdf[o] = excl[v].astype("int64")
-            yield pdf
-
-    return run
+_SLICE, _GROUP = "_slice", "_group"
 
 
 def grouped_prefix_sums(
@@ -70,88 +28,29 @@ def grouped_prefix_sums(
     keys: Sequence[str],
     order_by: Sequence[str],
     values: Sequence[str],
+    slices: Sequence[Column],
     suffix: str = "_before",
-    num_partitions: int | None = None,
-    max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
-    sizes_from: DataFrame | None = None,
-    largest: int | None = None,
 ) -> DataFrame:
-    """Add ``<v><suffix>`` = sum of ``v`` over the earlier rows of the row's group.
+    """Add ``<v><suffix>`` = sum of the integral column ``v`` over the earlier rows of the row's group.
 
-    Rows are ordered by ``order_by`` inside a group; the order must be total
-    (ties broken by the caller), or the result depends on arrival.
-    ``max_group_rows=None`` skips the size check and always splits groups.
-    ``sizes_from`` is a cheaper frame holding the key columns whose group sizes
-    bound those of ``df`` (e.g. a base table scanned for one column), so the
-    check does not run the whole upstream plan. ``largest`` is such a bound
-    already known (then nothing is scanned). The choice only affects speed.
+    The order must be total (ties broken by the caller), or the result depends on arrival.
+    ``slices`` must not decrease along it, compared one after the other.
     """
-    keys, order_by, values = list(keys), list(order_by), list(values)
-    if max_group_rows is not None and largest is None:
-        largest = largest_group(sizes_from if sizes_from is not None else df, keys)
-    if max_group_rows is not None and largest <= max_group_rows:
-        return window_prefix_sums(df, keys, order_by, values, suffix)
-    return _split_prefix_sums(df, keys, order_by, values, suffix, num_partitions)
-
-
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows in the largest group (a scan of the key columns with a partial count)."""
-    row = df.select(*keys).groupBy(*keys).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0) if row else 0
-
-
-def window_prefix_sums(df, keys, order_by, values, suffix="_before") -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-    # One projection, so all sums share one sort and one Window operator.
-    return df.select("*", *[
-        F.coalesce(F.sum(F.col(v).cast("bigint")).over(w), F.lit(0)).alias(f"{v}{suffix}") for v in values
-    ])
-
-
-def _split_prefix_sums(df, keys, order_by, values, suffix, num_partitions) -> DataFrame:
-    spark = df.sparkSession
-    outs = [f"{v}{suffix}" for v in values]
-    n = num_partitions or shuffle_partitions(spark)
-    sort_cols = keys + order_by
-    checkpoint_root(spark)  # make sure a reliable checkpoint folder is set
-
-    ordered = (
-        df.repartitionByRange(n, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
-        .withColumn(PID, F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-
-    # One row per partition: its first and last group, by the sort order.
-    order_struct = F.struct(*[F.col(c) for c in sort_cols])
-    key_struct = F.struct(*[F.col(k) for k in keys])
-    bounds = ordered.groupBy(PID).agg(
-        F.min_by(key_struct, order_struct).alias("first"),
-        F.max_by(key_struct, order_struct).alias("last"),
-    )
-    lasts = bounds.select(PID, *[F.col(f"last.{k}").alias(k) for k in keys])
-    # Slice totals of each partition's last group (JVM scan of the pinned slices).
-    last_totals = (
-        ordered.join(F.broadcast(lasts), [PID] + keys, "left_semi")
-        .groupBy(PID, *keys)
-        .agg(*[F.sum(F.coalesce(F.col(v).cast("bigint"), F.lit(0))).alias(v) for v in values])
-    )
-    firsts = bounds.select(F.col(PID).alias("_p"), *[F.col(f"first.{k}").alias(k) for k in keys])
-    # carry(p) = sum over earlier partitions q whose last group is p's first group.
-    cond = [firsts[k] == last_totals[k] for k in keys] + [last_totals[PID] < firsts["_p"]]
+    value = {v: F.coalesce(F.col(v).cast("bigint"), F.lit(0).cast("bigint")) for v in values}
+    staged = df.withColumn(_SLICE, F.struct(F.struct(*keys).alias("g"), F.struct(*(
+        c.alias(f"s{i}") for i, c in enumerate(slices))).alias("s")))
+    before = Window.partitionBy(_SLICE).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    # one projection, so all sums share one sort and one window
+    local = staged.select("*", *(F.coalesce(F.sum(value[v]).over(before), F.lit(0)).alias(f"{v}{suffix}") for v in values))
+    totals = staged.groupBy(_SLICE).agg(*(F.sum(value[v]).alias(f"_t_{v}") for v in values))
+    along = Window.partitionBy(_GROUP).orderBy(F.col(f"{_SLICE}.s"))
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        F.broadcast(firsts)
-        .join(F.broadcast(last_totals), cond, "inner")
-        .groupBy(firsts["_p"], *[firsts[k] for k in keys])
-        .agg(*[F.sum(last_totals[v]).alias(f"_carry_{v}") for v in values])
-        .withColumnRenamed("_p", PID)
-    )
-
-    out_schema = T.StructType(
-        list(ordered.schema.fields) + [T.StructField(o, T.LongType()) for o in outs]
+        totals.withColumn(_GROUP, F.col(f"{_SLICE}.g"))
+        .select(_SLICE, F.row_number().over(along).alias("_n"),
+                *(F.sum(f"_t_{v}").over(earlier).alias(f"_c_{v}") for v in values))
+        .where("_n > 1")
     )
-    local = ordered.mapInPandas(_local_running(keys, values, outs), out_schema)
-    joined = local.join(F.broadcast(carry), [PID] + keys, "left")
-    for v, o in zip(values, outs):
-        joined = joined.withColumn(o, F.col(o) + F.coalesce(F.col(f"_carry_{v}"), F.lit(0)))
-    return joined.drop(PID, *[f"_carry_{v}" for v in values])
+    joined = local.join(carry, _SLICE, "left")
+    return joined.select(*df.columns, *(
+        (F.col(f"{v}{suffix}") + F.coalesce(F.col(f"_c_{v}"), F.lit(0))).alias(f"{v}{suffix}") for v in values))

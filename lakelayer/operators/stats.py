@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import DATE_TIME_PATTERN, utc_wallclock
-from ..functions.money import round_cents
+from ..functions.dates import time_text, utc_wallclock
+from ..functions.money import exact_sum
 
 
 def _keys():
@@ -25,7 +25,7 @@ def _keys():
 def trademark_total(wide: DataFrame) -> DataFrame:
     """All-up sum per trademark (E3); partial + final aggregate, one shuffle of partial sums."""
     return wide.groupBy(*_keys()).agg(
-        round_cents(F.sum("final_detail_amount")).alias("amount")
+        exact_sum("final_detail_amount").alias("amount")
     )
 
 
@@ -38,10 +38,10 @@ def trademark_stat(wide: DataFrame, every: str = "5 seconds", ts_col: str = "cre
     stamp is given.
     """
     g = wide.groupBy(F.window(F.col(ts_col), every).alias("_w"), *_keys()).agg(
-        round_cents(F.sum("final_detail_amount")).alias("amount")
+        exact_sum("final_detail_amount").alias("amount")
     )
     start = F.col("_w.start")
     if isinstance(wide.schema[ts_col].dataType, T.TimestampType):
         start = utc_wallclock(start)  # event-time instants are shown as UTC wall clock
-    stamp = F.lit(stat_time) if stat_time else F.date_format(start, DATE_TIME_PATTERN)
-    return g.select(stamp.alias("stat_time"), "trademark_id", "trademark_name", "amount")
+    at = F.lit(stat_time) if stat_time else time_text(start)
+    return g.select(at.alias("stat_time"), "trademark_id", "trademark_name", "amount")

@@ -17,13 +17,12 @@ from ..operators.orders import (
     enrich_province,
     enrich_user,
     flag_against_status,
-    flag_first_order,
     new_user_status,
     order_calendar,
 )
 from ..operators.cdc import route_array_feed, route_row_feed
 from ..operators.dau import start_log_calendar
-from ..operators.dedup import first_seen, latest_per_key
+from ..operators.dedup import latest_per_key
 from ..operators.dims import DIM_SPECS, append_changes, read_dim
 from ..operators.stats import trademark_stat, trademark_total
 from ..session import scratch_path
@@ -143,15 +142,14 @@ def order_first_vs_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("order_first_flag", """
 SELECT id, user_id, strftime(create_time, '%Y-%m-%d %H:%M:%S') AS create_time, if_first_order FROM order_first""")
 def order_first_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = flag_first_order(fx.order_infos(spark, sf_dir), fx.user_statuses(spark, sf_dir))
+    o = W.flagged_orders(spark, sf_dir)
     return o.select("id", "user_id", _t("create_time"), "if_first_order")
 
 
 @register("user_status_new", """
 SELECT CAST(user_id AS VARCHAR) AS user_id, '1' AS if_consumed FROM order_first WHERE if_first_order = '1'""")
 def user_status_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = flag_first_order(fx.order_infos(spark, sf_dir), fx.user_statuses(spark, sf_dir))
-    return new_user_status(o)
+    return new_user_status(W.flagged_orders(spark, sf_dir))
 
 
 @register("order_enrich_province", """
@@ -298,7 +296,7 @@ SELECT mid, ts, event_id, strftime(dt, '%Y-%m-%d') AS dt, CAST(hr AS BIGINT) AS
 def start_log_calendar_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = start_log_calendar(fx.start_logs(spark, sf_dir))
     return s.select(F.col("common.mid").alias("mid"), "ts", "event_id",
-                    F.date_format("dt", D.DATE_PATTERN).alias("dt"), F.col("hr").cast("bigint").alias("hr"))
+                    D.date_text("dt").alias("dt"), F.col("hr").cast("bigint").alias("hr"))
 
 
 _DAU_OUT = "mid, uid, ar, ch, vc, dt, hr, mi, ts"
@@ -317,7 +315,7 @@ def daily_doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "dau-index")
     try:
         for batch_id in (0, 0, 1):
-            write_daily_docs(docs, "dt", "mid", path, batch_id)
+            write_daily_docs(docs, "dt", "mid", path, batch_id, order=["ts"])
     finally:
         docs.unpersist()
     return read_daily_docs(spark, path).select("day", *_DAU_OUT.split(", "))
@@ -356,7 +354,7 @@ def dim_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = W.dim_versions(W.user_dim(spark, sf_dir), "user_level")
     path = scratch_path(spark, "dim-user")
     for v in (1, 2, 3):
-        append_changes(versions.where(F.col("version") == v), spec, path, batch_id=v)
+        append_changes(versions.where(F.col("version") == v), spec, path, batch_id=v, order_col="version")
     return read_dim(spark, spec, path)
 
 
@@ -367,8 +365,7 @@ def order_wide_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines delivered twice (every id divisible by 7 once more) still give one wide row each."""
     details = fx.order_details(spark, sf_dir)
     again = details.where(F.col("id") % 7 == 0)
-    w = W.wide_rows(spark, sf_dir, within_s=20, extra_details=again)
-    return wide_out(first_seen(w, ["order_id", "order_detail_id"], ["create_time"]))
+    return wide_out(W.wide_rows(spark, sf_dir, within_s=20, extra_details=again))
 
 
 def queries() -> dict[str, Query]:

@@ -33,7 +33,7 @@ FROM order_lines LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN order_times t
     ("order_totals", """
 SELECT order_id AS tid, CAST(SUM(order_price * sku_num) AS DECIMAL(18,2)) AS orig FROM order_detail GROUP BY order_id"""),
     ("order_info", """
-SELECT o_orderkey AS id, CAST(c_nationkey AS BIGINT) AS province_id, o_orderstatus AS order_status,
+SELECT o_orderkey AS id, CAST(CASE WHEN c_nationkey = 24 THEN 124 ELSE c_nationkey END AS BIGINT) AS province_id, o_orderstatus AS order_status,
        o_custkey AS user_id, CAST(o_totalprice AS DECIMAL(18,2)) AS final_total_amount,
        CAST(CAST(COALESCE(tt.orig, 0) AS DECIMAL(18,2)) + CAST(10 AS DECIMAL(18,2))
             - CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS benefit_reduce_amount,
@@ -46,20 +46,22 @@ FROM orders JOIN order_times t ON t.oid = o_orderkey
      LEFT JOIN order_totals tt ON tt.tid = o_orderkey"""),
     ("sku_info", f"""
 SELECT CAST(p_partkey AS VARCHAR) AS id, CAST(p_size AS VARCHAR) AS spu_id, CAST(p_retailprice AS VARCHAR) AS price,
-       p_name AS sku_name, replace(p_brand, 'Brand#', '') AS tm_id, {_CATEGORY3} AS category3_id,
+       p_name AS sku_name,
+       CAST(CAST(replace(p_brand, 'Brand#', '') AS BIGINT)
+            + CASE WHEN CAST(replace(p_brand, 'Brand#', '') AS BIGINT) % 10 = 0 THEN 900 ELSE 0 END AS VARCHAR) AS tm_id,
+       CASE WHEN {_CATEGORY3} = '6' THEN '906' ELSE {_CATEGORY3} END AS category3_id,
        '2024-01-01 00:00:00' AS create_time
 FROM part"""),
     ("base_trademark", """
-SELECT DISTINCT replace(p_brand, 'Brand#', '') AS id, p_brand AS tm_name FROM part
-WHERE CAST(replace(p_brand, 'Brand#', '') AS BIGINT) % 10 <> 0"""),
+SELECT DISTINCT replace(p_brand, 'Brand#', '') AS id, p_brand AS tm_name FROM part"""),
     ("base_category3", f"""
-SELECT DISTINCT {_CATEGORY3} AS id, p_type AS name, '1' AS category2_id FROM part WHERE {_CATEGORY3} <> '6'"""),
+SELECT DISTINCT {_CATEGORY3} AS id, p_type AS name, '1' AS category2_id FROM part"""),
     ("spu_info", """
 SELECT DISTINCT CAST(p_size AS VARCHAR) AS id, 'SPU_' || CAST(p_size AS VARCHAR) AS spu_name FROM part"""),
     ("province_info", """
 SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, 'A' || CAST(n_regionkey AS VARCHAR) AS area_code,
        'ISO-' || CAST(n_nationkey AS VARCHAR) AS iso_code
-FROM nation WHERE n_nationkey <> 24"""),
+FROM nation"""),
     ("user_info", """
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS user_level,
        strftime(DATE '1960-01-01' + CAST((c_custkey * 37) % 18000 AS INTEGER), '%Y-%m-%d') || ' 00:00:00' AS birthday,

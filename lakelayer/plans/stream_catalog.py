@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.money import as_double, round_cents
+from ..functions.money import as_double, exact_sum
 from ..operators.dau import start_log_calendar
 from ..operators.dims import DIM_SPECS, read_dim
 from ..operators.orders import enrich_details
@@ -104,9 +104,8 @@ def stream_pay_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register_same("stream_order_wide", "order_wide_join")
 def stream_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-wide")
-    details = fx.order_details(spark, sf_dir)
-    orders = W.dwd_orders(spark, sf_dir, details)
-    lines = W.dwd_details(spark, sf_dir, details)
+    orders = W.dwd_orders(spark, sf_dir)
+    lines = W.dwd_details(spark, sf_dir)
     lo, _ = time_bounds(orders, "create_time")
     _, hi = time_bounds(lines, "create_time")
     o_schema = stage_by_time(orders, "create_time", f"{root}/o", order=["id"], bounds=(lo, hi),
@@ -185,7 +184,7 @@ def resume(spark: SparkSession, sf_dir: str) -> DataFrame:
         good, _bad = decode_start_log(stream)
         rows = start_log_calendar(good).select(
             F.col("common.mid").alias("mid"), "ts", "event_id",
-            F.date_format("dt", D.DATE_PATTERN).alias("dt"), F.col("hr").cast("bigint").alias("hr"))
+            D.date_text("dt").alias("dt"), F.col("hr").cast("bigint").alias("hr"))
         run_available(rows, f"{root}/ckpt", path=f"{root}/out")
 
     bounds = time_bounds(text, "ts")
@@ -215,5 +214,5 @@ def exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     run_available(stream_of(spark, schema, root), f"{root}/ckpt", foreach_batch=write)
     t = spark.read.parquet(out).groupBy("trademark_id", "trademark_name").agg(
-        round_cents(F.sum("amount")).alias("amount"))
+        exact_sum("amount").alias("amount"))
     return t.select("trademark_id", "trademark_name", as_double("amount").alias("amount"))

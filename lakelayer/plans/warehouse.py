@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedup import first_seen
 from ..operators.dau import dau_document, dau_first, start_log_calendar
 from ..operators.dims import derive_user, enrich_sku
 from ..operators.orders import (
@@ -33,11 +34,15 @@ def sku_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dwd_orders(spark: SparkSession, sf_dir: str, details: DataFrame | None = None) -> DataFrame:
+def flagged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the first-order flag; the first orders come from the narrow order keys."""
+    return flag_first_order(fx.order_infos(spark, sf_dir), fx.user_statuses(spark, sf_dir),
+                            base=fx.order_keys(spark, sf_dir))
+
+
+def dwd_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with calendar, first-order flag, province and user columns."""
-    o = fx.order_infos(spark, sf_dir, details)
-    o = order_calendar(o)
-    o = flag_first_order(o, fx.user_statuses(spark, sf_dir))
+    o = order_calendar(flagged_orders(spark, sf_dir))
     o = enrich_province(o, fx.provinces(spark, sf_dir))
     return enrich_user(o, user_dim(spark, sf_dir))
 
@@ -50,15 +55,16 @@ def dwd_details(spark: SparkSession, sf_dir: str, details: DataFrame | None = No
 def wide_rows(spark: SparkSession, sf_dir: str, within_s: int | None = None,
               extra_details: DataFrame | None = None) -> DataFrame:
     """Order x line wide rows; ``within_s`` applies the sliding-window join."""
-    details = fx.order_details(spark, sf_dir)
-    orders = dwd_orders(spark, sf_dir, details)
-    lines = details if extra_details is None else details.unionByName(extra_details)
-    return join_wide(orders, dwd_details(spark, sf_dir, lines), within_s=within_s)
+    lines = fx.order_details(spark, sf_dir)
+    if extra_details is not None:
+        # repeated lines go before the join, on the lines' own narrow keys
+        lines = first_seen(lines.unionByName(extra_details), ["order_id", "id"], ["create_time"])
+    return join_wide(dwd_orders(spark, sf_dir), dwd_details(spark, sf_dir, lines), within_s=within_s)
 
 
 def paid_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every order with its share of the paid amount."""
-    return split_payment(wide_rows(spark, sf_dir, within_s=None), largest=fx.largest_order(spark, sf_dir))
+    return split_payment(wide_rows(spark, sf_dir, within_s=None))
 
 
 def dau_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

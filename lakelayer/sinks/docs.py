@@ -8,31 +8,32 @@ add copies. Each row goes to its own day (the warehouse used the first row's).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_per_key
+from .batches import replace_batch
 
 DAY_COL = "day"
 BATCH_COL = "batch_id"
 
 
-def write_daily_docs(df: DataFrame, day: str, doc_id: str, path: str, batch_id: int) -> None:
-    """Write one batch of documents; within the batch the last row per (day, id) wins."""
+def write_daily_docs(df: DataFrame, day: str, doc_id: str, path: str, batch_id: int, order: Sequence[str]) -> None:
+    """Write one batch of documents; within the batch the last row per (day, id) by ``order`` wins.
+
+    A replayed batch replaces what it wrote before, also where it has no rows for a day now.
+    """
     staged = df.withColumn(DAY_COL, F.col(day).cast("string")).withColumn(
         "_doc_id", F.col(doc_id).cast("string")
     ).withColumn(BATCH_COL, F.lit(int(batch_id)).cast("bigint"))
-    staged = staged.dropDuplicates([DAY_COL, "_doc_id"])
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY_COL, BATCH_COL)
-        .parquet(path)
-    )
+    staged = latest_per_key(staged, [DAY_COL, "_doc_id"], order)
+    replace_batch(staged, path, BATCH_COL, batch_id, [DAY_COL])
 
 
 def read_daily_docs(spark: SparkSession, path: str) -> DataFrame:
     """The current documents: latest batch per (day, id)."""
-    docs = spark.read.parquet(path)
+    docs = spark.read.parquet(path).withColumn(DAY_COL, F.col(DAY_COL).cast("string"))
     latest = latest_per_key(docs, [DAY_COL, "_doc_id"], [BATCH_COL])
     return latest.drop("_doc_id", BATCH_COL)

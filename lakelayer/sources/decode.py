@@ -3,8 +3,8 @@
 The warehouse's JSON library ignores unknown keys, leaves missing ones null,
 accepts quoted numbers and matches names regardless of case. ``from_json`` with
 a typed schema does none of the last two, so the text is read as a
-``map<string,string>`` (any JSON value becomes its text), keys are lower-cased,
-and each field is ``try_cast`` to its type. Unreadable text goes to a separate
+``map<string,string>`` (any JSON value becomes its text) and each field is looked up by its
+lower-cased name, the last one counting where a name comes twice, and ``try_cast`` to its type. Unreadable text goes to a separate
 quarantine frame instead of failing the batch or vanishing.
 """
 
@@ -19,8 +19,9 @@ from ..functions.dates import parse_time
 _MAP = "map<string,string>"
 
 
-def field_value(m: Column, name: str, dtype: T.DataType) -> Column:
-    raw = m[name.lower()]
+def field_value(fields: Column, name: str, dtype: T.DataType) -> Column:
+    same = F.filter(fields, lambda f: f["key"] == name.lower())
+    raw = F.get(same, F.size(same) - 1)["value"]
     if isinstance(dtype, T.TimestampNTZType):
         return parse_time(raw)
     if isinstance(dtype, T.StringType):
@@ -31,15 +32,16 @@ def field_value(m: Column, name: str, dtype: T.DataType) -> Column:
     return raw.try_cast(dtype)
 
 
-def parsed_map(value: Column) -> Column:
-    m = F.from_json(value, _MAP)
-    return F.transform_keys(m, lambda k, v: F.lower(k))
+def parsed_fields(value: Column) -> Column:
+    """The fields of a JSON object as (lower-cased key, value text), in order; names may repeat."""
+    entries = F.map_entries(F.from_json(value, _MAP))
+    return F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
 
 
 def decode(df: DataFrame, schema: T.StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(rows typed by ``schema``, quarantined input rows whose text is not a JSON object)."""
     keep = [c for c in df.columns if c != value]
-    staged = df.withColumn("_m", parsed_map(F.col(value)))
+    staged = df.withColumn("_m", parsed_fields(F.col(value)))
     good = staged.where(F.col("_m").isNotNull()).select(
         *keep, *[field_value(F.col("_m"), f.name, f.dataType).alias(f.name) for f in schema.fields]
     )
@@ -92,7 +94,7 @@ START_SCHEMA = T.StructType([
 
 def decode_struct(text: Column, schema: T.StructType) -> Column:
     """A nested JSON object (kept as text by ``decode``) to a struct, same rules."""
-    m = parsed_map(text)
+    m = parsed_fields(text)
     return F.struct(*[field_value(m, f.name, f.dataType).alias(f.name) for f in schema.fields])
 
 

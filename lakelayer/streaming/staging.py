@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import elapsed
+
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 PROBE_SHIFT_DAYS = 30
 
@@ -22,7 +24,7 @@ PROBE_SHIFT_DAYS = 30
 def _as_number(df: DataFrame, ts: str) -> Column:
     dtype = df.schema[ts].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), F.col(ts))
+        return (elapsed(F.expr(_EPOCH_NTZ), ts) * 1000000).cast("bigint")
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(F.col(ts))
     return F.col(ts).cast("bigint")

@@ -28,6 +28,17 @@ def test_date_scalars(spark):
     assert [r["blank"] for r in rows] == [True, True, False]
 
 
+def test_wall_clock_texts_do_not_pass_through_an_instant(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # skips 02:00-03:00 on this day
+    try:
+        df = spark.createDataFrame([("2024-03-10 02:30:00", "2024-03-10 03:30:00")], "a string, b string")
+        r = df.select(D.time_text(D.parse_time("a")).alias("t"), D.seconds_between("a", "b").alias("s")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert tuple(r) == ("2024-03-10 02:30:00", 3600)
+
+
 def test_calendar_of_epoch_ms_follows_zone(spark):
     df = spark.createDataFrame([(1704067200000,)], "ts long")  # 2024-01-01 00:00 UTC
     utc = df.select(D.wallclock_of_epoch_ms(F.col("ts")).alias("w")).first()["w"]

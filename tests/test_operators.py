@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from lakelayer.operators.cdc import route_array_feed, route_row_feed
 from lakelayer.operators.dau import dau_document, dau_first, start_log_calendar
 from lakelayer.operators.dedup import first_seen, latest_per_key
-from lakelayer.operators.orders import flag_against_status, flag_first_order, new_user_status
+from lakelayer.operators.dims import DIM_SPECS, append_changes, compact, read_dim
+from lakelayer.operators.orders import enrich_province, flag_against_status, flag_first_order, new_user_status
 from lakelayer.operators.prefix import grouped_prefix_sums
 from lakelayer.operators.split import split_payment
 from lakelayer.operators.stats import trademark_stat, trademark_total
 from lakelayer.operators.wide import join_wide
+from lakelayer.sinks.docs import read_daily_docs, write_daily_docs
+from lakelayer.sinks.topics import write_topics
 from lakelayer.sources.decode import ORDER_INFO_SCHEMA, decode
 
 WIDE = ("order_detail_id long, order_id long, sku_price decimal(18,2), sku_num long, "
@@ -26,12 +29,12 @@ def _shares(df):
     return [r["final_detail_amount"] for r in df.orderBy("order_detail_id").collect()]
 
 
-@pytest.mark.parametrize("max_group_rows", [2_000_000, None])
-def test_split_three_lines(spark, max_group_rows):
+@pytest.mark.parametrize("lines_per_slice", [4096, 2, 1])
+def test_split_three_lines(spark, lines_per_slice):
     w = _wide(spark, [(1, 7, Decimal(33), 1, Decimal(100), Decimal(90)),
                       (2, 7, Decimal(33), 1, Decimal(100), Decimal(90)),
                       (3, 7, Decimal(34), 1, Decimal(100), Decimal(90))])
-    got = _shares(split_payment(w, max_group_rows=max_group_rows))
+    got = _shares(split_payment(w, lines_per_slice=lines_per_slice))
     assert got == [Decimal("29.70"), Decimal("29.70"), Decimal("30.60")]
 
 
@@ -54,17 +57,76 @@ def test_split_shares_sum_to_paid_with_rounding(spark):
     assert sum(got) == Decimal("10.00") and got[:2] == [Decimal("3.33"), Decimal("3.33")]
 
 
-def test_prefix_split_path_equals_window_with_hot_group(spark):
+def test_prefix_with_hot_group_over_many_slices(spark):
     df = spark.range(0, 50000).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 101).alias("g"),
         F.col("id").alias("o"), (F.col("id") % 7).alias("v"))
-    got = grouped_prefix_sums(df, ["g"], ["o"], ["v"], max_group_rows=None, num_partitions=7)
+    got = grouped_prefix_sums(df, ["g"], ["o"], ["v"], [F.floor(F.col("o") / 1000)])
     w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
     exp = df.select("g", "o", F.coalesce(F.sum("v").over(w), F.lit(0)).alias("v_before"))
     assert got.select("g", "o", "v_before").exceptAll(exp).count() == 0
     assert got.count() == 50000
 
 
+def test_prefix_keeps_values_and_null_groups(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame([(None, 1, 5, big), (None, 2, None, None), (None, 3, 7, 1), (1, 1, 2, None), (1, 9, 3, big)],
+                               "g long, o long, v long, other long")
+    got = grouped_prefix_sums(df, ["g"], ["o"], ["v"], [F.floor(F.col("o") / 2)])
+    assert sorted((r["g"] or 0, r["o"], r["v_before"]) for r in got.collect()) == [
+        (0, 1, 0), (0, 2, 5), (0, 3, 5), (1, 1, 0), (1, 9, 2)]
+    assert sorted(r["other"] or 0 for r in got.collect()) == [0, 0, 1, big, big]
+
+
+def test_lookup_keeps_one_row_per_fact(spark):
+    orders = spark.createDataFrame([(1, 5), (2, 6), (3, None)], "id long, province_id long")
+    province = spark.createDataFrame([("5", "old", "a", "i", 1), ("5", "new", "b", "j", 2), (None, "x", "x", "x", 9)],
+                                     "id string, name string, area_code string, iso_code string, version int")
+    got = enrich_province(orders, province, order=["version"])
+    assert sorted((r["id"], r["province_name"]) for r in got.collect()) == [(1, "new"), (2, None), (3, None)]
+    again = enrich_province(orders, province.drop("version"))  # without an order the choice is still fixed
+    assert again.count() == 3
+
+
+def test_sums_of_cents_are_exact(spark):
+    w = spark.createDataFrame([(1, "a", Decimal("900719925474099.33"))] * 30, "tm_id long, tm_name string, final_detail_amount decimal(18,2)")
+    assert trademark_total(w).first()["amount"] == Decimal("900719925474099.33") * 30
+
+
+def test_dimension_log(spark, tmp_path):
+    spec = DIM_SPECS["base_trademark"]
+    path = str(tmp_path / "log")
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, tm_name string, pos long")
+    append_changes(rows(("1", "a", 5), ("1", "b", 7), ("2", "c", 6)), spec, path, 0, "pos")  # two changes of a key
+    append_changes(rows(("2", "d", 1)), spec, path, 1, "pos")
+    latest = lambda p=path: sorted(tuple(r) for r in read_dim(spark, spec, p).collect())
+    assert latest() == [("1", "b"), ("2", "d")]
+    append_changes(rows(("2", "d", 1)), spec, path, 1, "pos")  # a replay
+    assert latest() == [("1", "b"), ("2", "d")]
+    compact(spark, spec, path, str(tmp_path / "compact"))
+    assert latest(str(tmp_path / "compact")) == latest()
+    append_changes(rows(("2", "d", 1)).limit(0), spec, path, 1, "pos")  # a replay that is empty now
+    assert latest() == [("1", "b"), ("2", "c")]
+
+
+def test_daily_index_takes_the_last_of_a_batch(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    docs = spark.createDataFrame([("2024-01-01", "a", 2, "last"), ("2024-01-01", "a", 1, "first"), ("2024-01-02", "a", 1, "x")],
+                                 "day0 string, id string, pos long, v string")
+    write_daily_docs(docs, "day0", "id", path, 0, order=["pos"])
+    write_daily_docs(docs, "day0", "id", path, 0, order=["pos"])
+    got = sorted((r["day"], r["id"], r["v"]) for r in read_daily_docs(spark, path).collect())
+    assert got == [("2024-01-01", "a", "last"), ("2024-01-02", "a", "x")]
+
+
+def test_topic_batches_replace_themselves(spark, tmp_path):
+    path = str(tmp_path / "topics")
+    df = spark.createDataFrame([("t1", "x"), ("t2", "y")], "topic string, value string")
+    for batch in (0, 0, 1):
+        write_topics(df, path=path, fmt="parquet", batch_id=batch)
+    assert spark.read.parquet(path).groupBy("topic").count().orderBy("topic").collect() == [("t1", 2), ("t2", 2)]
+
+
 def test_first_order_flags(spark):
     orders = spark.createDataFrame([
         (1, 10, "2024-01-01 10:00:00"), (2, 10, "2024-01-01 09:00:00"), (3, 10, "2024-01-02 00:00:00"),
@@ -136,6 +198,8 @@ def test_decode_is_lenient_and_quarantines(spark):
     assert rows[8]["user_id"] is None
     assert None in rows  # "x" is not a number: the field is null, the row is kept
     assert [r["value"] for r in bad.collect()] == ["not json"]
+    twice = spark.createDataFrame([('{"id": 1, "ID": 2}',)], "value string")  # the last counts
+    assert decode(twice, ORDER_INFO_SCHEMA)[0].first()["id"] == 2
 
 
 def test_cdc_routing_rules(spark):
@@ -146,6 +210,11 @@ def test_cdc_routing_rules(spark):
     ], "value string")
     got = sorted((r["topic"], r["value"]) for r in route_array_feed(arr).collect())
     assert got == [("ods_t1", '{"id":"1"}'), ("ods_t1", '{"id":"2"}')]
+    exact = '{"b":1442.00,"a":12345678901234567.89,"c":123456789012345678901234567890123456789012,"s":"1.50 \\"2\\""}'
+    sent = spark.createDataFrame([('{"type":"INSERT","table":"t1","data":[' + exact + ']}',)], "value string")
+    assert [r["value"] for r in route_array_feed(sent).collect()] == [exact]
+    sent = spark.createDataFrame([('{"type":"insert","table":"order_info","data":' + exact + '}',)], "value string")
+    assert [r["value"] for r in route_row_feed(sent).collect()] == [exact]
     row = spark.createDataFrame([
         ('{"type":"insert","table":"order_info","data":{"id":"1"}}',),
         ('{"type":"update","table":"order_info","data":{"id":"2"}}',),
