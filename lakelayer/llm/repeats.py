@@ -78,7 +78,8 @@ def _piece_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     new[1:] = (anchor[1:] != anchor[:-1]) | (windows[1:] != windows[:-1] + 1)
     heads = np.flatnonzero(new)
     tails = np.append(heads[1:], len(windows)) - 1
-    return hashes[anchor[heads]], windows[heads], windows[tails]
+    # least hashes lie low; hashed again they spread evenly over the parts
+    return mixed(hashes[anchor[heads]] + FOLD), windows[heads], windows[tails]
 
 
 def find_runs(texts: list[bytes]) -> Runs:
