@@ -106,11 +106,13 @@ def append_changes(df: DataFrame, spec: DimSpec, path: str, batch_id: int, order
     replace_batch(out, path, BATCH_COL, batch_id)
 
 
-def read_dim(spark: SparkSession, spec: DimSpec, path: str) -> DataFrame:
-    """Latest row per key of a change log (A5 over our own store)."""
+def read_dim(spark: SparkSession, spec: DimSpec, path: str, before: int | None = None) -> DataFrame:
+    """Latest row per key of a change log (A5 over our own store); ``before``: as it was before that batch."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in spec.columns] + [
         T.StructField(ORDER_COL, T.LongType()), T.StructField(BATCH_COL, T.LongType())])
     log = spark.read.schema(schema).parquet(path)
+    if before is not None:
+        log = log.where(F.col(BATCH_COL) < before)
     latest = latest_per_key(log, [spec.key], [BATCH_COL, ORDER_COL])
     return latest.select(*spec.columns)
 

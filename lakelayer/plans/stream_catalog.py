@@ -1,8 +1,8 @@
 """Registered streaming twins and delivery checks (section 2.11, A1, A3, A4, A13).
 
-Each query lays its input out as event-time-ordered files below the shared
-checkpoint folder, runs the streaming query with ``availableNow`` (one file per
-micro-batch), and returns what the sink holds. Where the stream must give the
+Each query lays its input out as files in time slices below the shared checkpoint
+folder, runs the streaming query with ``availableNow`` (a slice of eight files per
+micro-batch, rows in no order), and returns what the sink holds. Where the stream must give the
 same rows as its batch twin, the batch twin's reference SQL is registered too.
 """
 
@@ -14,23 +14,33 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.money import as_double, exact_sum
 from ..operators.dau import start_log_calendar
-from ..operators.dims import DIM_SPECS, read_dim
+from ..operators.dims import DIM_SPECS, append_changes, derive_user, read_dim
 from ..operators.orders import enrich_details
 from ..operators.stats import trademark_total
 from ..session import scratch_path
+from ..sinks.batches import replace_batch
+from ..sinks.docs import read_daily_docs
+from ..sources import feeds
 from ..sources import fixtures as fx
 from ..sources.decode import decode_start_log
 from ..sources.topics import read_topic
-from ..streaming.runs import run_available
-from ..streaming.staging import stage_by_time, stream_of, time_bounds
+from ..streaming.runs import finish, run_available
+from ..streaming.staging import FILES, stage_by_time, stream_of, time_bounds
 from ..streaming.twins import (
-    dau_stream,
+    OrderOutputs,
     enrich_stream,
     flag_first_order_stream,
     join_wide_stream,
+    read_dau,
+    read_trademark_stat,
+    run_dau,
+    run_decoded,
     run_dim,
+    run_ods,
+    run_orders,
+    run_trademark_stat,
+    run_wide,
     split_payment_stream,
-    trademark_stat_stream,
 )
 from . import warehouse as W
 from .catalog import ORACLE, register, wide_out
@@ -55,44 +65,30 @@ def _register_same(key: str, batch_key: str):
 @_register_same("stream_dau_first_seen", "dau_first_seen")
 def stream_dau_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-dau")
-    logs = fx.start_logs(spark, sf_dir)
-    schema = stage_by_time(logs, "ts", root, order=["event_id"],
-                           probe={"common": F.col("common").withField("mid", F.lit("probe"))})
-    run_available(dau_stream(stream_of(spark, schema, root)), f"{root}/ckpt", path=f"{root}/out")
-    out = spark.read.parquet(f"{root}/out").where(F.col("mid") != "probe")
-    return out.select("mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts")
+    schema = stage_by_time(fx.start_logs(spark, sf_dir), "ts", root)
+    finish(run_dau(spark, stream_of(spark, schema, root), f"{root}/out", f"{root}/ckpt", available_now=True))
+    return read_dau(spark, f"{root}/out").select("mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts")
 
 
 @_register_same("stream_trademark_stat", "trademark_amount_stat")
 def stream_trademark_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-tm")
-    paid = W.paid_wide(spark, sf_dir)
-    schema = stage_by_time(paid, "create_time", root, order=["order_detail_id"], probe={"tm_id": F.lit(PROBE)})
-    run_available(trademark_stat_stream(stream_of(spark, schema, root)), f"{root}/ckpt", path=f"{root}/out")
-    out = spark.read.parquet(f"{root}/out").where(F.col("trademark_id") != PROBE)
+    schema = stage_by_time(W.paid_wide(spark, sf_dir), "create_time", root)
+    finish(run_trademark_stat(stream_of(spark, schema, root), f"{root}/out", f"{root}/ckpt", available_now=True))
+    out = read_trademark_stat(spark, f"{root}/out")
     return out.select("stat_time", "trademark_id", "trademark_name", as_double("amount").alias("amount"))
 
 
 @_register_same("stream_order_first_flag", "order_first_flag")
 def stream_order_first_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-first")
-    orders = fx.order_infos(spark, sf_dir)
-    schema = stage_by_time(orders, "create_time", root, order=["id"],
-                           probe={"id": F.lit(PROBE), "user_id": F.lit(PROBE)})
+    schema = stage_by_time(fx.order_infos(spark, sf_dir), "create_time", root)
     flagged = flag_first_order_stream(stream_of(spark, schema, root), fx.user_statuses(spark, sf_dir))
     run_available(flagged, f"{root}/ckpt", path=f"{root}/out")
-    out = spark.read.parquet(f"{root}/out").where(F.col("id") != PROBE)
-    return out.select("id", "user_id", D.time_text(F.col("create_time")).alias("create_time"), "if_first_order")
+    return spark.read.parquet(f"{root}/out").select("id", "user_id", D.time_text("create_time").alias("create_time"), "if_first_order")
 
 
-@_register_same("stream_pay_split", "order_pay_split")
-def stream_pay_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "stream-split")
-    wide = W.wide_rows(spark, sf_dir, within_s=None)
-    schema = stage_by_time(wide, "create_time", root, order=["order_detail_id"],
-                           probe={"order_id": F.lit(PROBE), "order_detail_id": F.lit(PROBE)})
-    run_available(split_payment_stream(stream_of(spark, schema, root)), f"{root}/ckpt", path=f"{root}/out")
-    w = spark.read.parquet(f"{root}/out").where(F.col("order_id") != PROBE)
+def _split_out(w: DataFrame) -> DataFrame:
     return w.select(
         "order_detail_id", "order_id", as_double("sku_price").alias("sku_price"), "sku_num",
         as_double("original_total_amount").alias("original_total_amount"),
@@ -101,16 +97,23 @@ def stream_pay_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register_same("stream_pay_split", "order_pay_split")
+def stream_pay_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "stream-split")
+    schema = stage_by_time(W.wide_rows(spark, sf_dir, within_s=None), "create_time", root)
+    run_available(split_payment_stream(stream_of(spark, schema, root), ttl_ms=None), f"{root}/ckpt", path=f"{root}/out")
+    return _split_out(spark.read.parquet(f"{root}/out"))
+
+
 @_register_same("stream_order_wide", "order_wide_join")
 def stream_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-wide")
-    orders = W.dwd_orders(spark, sf_dir)
-    lines = W.dwd_details(spark, sf_dir)
+    orders, lines = W.dwd_orders(spark, sf_dir), W.dwd_details(spark, sf_dir)
     lo, _ = time_bounds(orders, "create_time")
     _, hi = time_bounds(lines, "create_time")
-    o_schema = stage_by_time(orders, "create_time", f"{root}/o", order=["id"], bounds=(lo, hi),
+    o_schema = stage_by_time(orders, "create_time", f"{root}/o", bounds=(lo, hi),
                              probe={"id": F.lit(PROBE), "user_id": F.lit(PROBE)})
-    d_schema = stage_by_time(lines, "create_time", f"{root}/d", order=["id"], bounds=(lo, hi),
+    d_schema = stage_by_time(lines, "create_time", f"{root}/d", bounds=(lo, hi),
                              probe={"id": F.lit(PROBE), "order_id": F.lit(PROBE)})
     joined = join_wide_stream(stream_of(spark, o_schema, f"{root}/o"), stream_of(spark, d_schema, f"{root}/d"))
     run_available(joined, f"{root}/ckpt", path=f"{root}/out")
@@ -126,93 +129,181 @@ SELECT id, spu_id, price, sku_name, tm_id, category3_id, create_time, category3_
     WHERE (CAST(id AS BIGINT) + version) % 4 <> 0))
 WHERE rn = 1""")
 def stream_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SKU versions arrive one version per micro-batch and are upserted into the change log."""
+    """SKU versions arrive over two micro-batches, so a batch holds several changes of a key."""
     root = scratch_path(spark, "stream-dim")
     spec = DIM_SPECS["sku_info"]
     versions = W.dim_versions(W.sku_dim(spark, sf_dir), "sku_name")
-    schema = stage_by_time(versions, "version", root, slices=3, order=["id"])
-    q = run_dim(spark, spec, stream_of(spark, schema, root), f"{root}/log", f"{root}/ckpt",
-                order_col="version", available_now=True)
-    q.awaitTermination()
+    schema = stage_by_time(versions, "version", root, slices=2)
+    finish(run_dim(spark, spec, stream_of(spark, schema, root), f"{root}/log", f"{root}/ckpt",
+                   order_col="version", available_now=True))
     return read_dim(spark, spec, f"{root}/log")
 
 
 @_register_same("stream_dim_enrich", "order_detail_enrich")
 def stream_dim_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines enriched per micro-batch with the SKU snapshot read at that batch."""
+    """Order lines enriched per micro-batch from the change log as it is at that batch. A stale version of
+    every second SKU is in the log first; the current one is appended before the first batch reads it."""
     root = scratch_path(spark, "stream-enrich")
-    details = fx.order_details(spark, sf_dir)
-    schema = stage_by_time(details, "create_time", root, order=["id"])
-    q = enrich_stream(stream_of(spark, schema, root), lambda: W.sku_dim(spark, sf_dir), f"{root}/out",
-                      f"{root}/ckpt", enrich_details, available_now=True)
-    q.awaitTermination()
+    spec = DIM_SPECS["sku_info"]
+    schema = stage_by_time(fx.order_details(spark, sf_dir), "create_time", root)
+    sku = W.sku_dim(spark, sf_dir).withColumn("position", F.lit(0))
+    stale = sku.where(F.col("id").cast("bigint") % 2 == 0).withColumn("tm_name", F.lit("stale"))
+    append_changes(stale, spec, f"{root}/log", 0, "position")
+    append_changes(sku, spec, f"{root}/log", 1, "position")
+    finish(enrich_stream(stream_of(spark, schema, root), lambda: read_dim(spark, spec, f"{root}/log"), f"{root}/out",
+                         f"{root}/ckpt", enrich_details, available_now=True))
     d = spark.read.parquet(f"{root}/out")
     return d.select("id", "order_id", "sku_id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name",
                     "category3_name")
 
 
+# ------------------------------------------------------------------ several outputs of one batch
+
+def _order_job(spark: SparkSession, sf_dir: str) -> OrderOutputs:
+    """The order job over all orders in two runs, each with a checkpoint of its own; the second knows the
+    first orders of the first only through the status log."""
+    root = scratch_path(spark, "orders")
+    out = OrderOutputs(root)
+    status = fx.user_statuses(spark, sf_dir).withColumn("position", F.lit(0))
+    append_changes(status, DIM_SPECS["user_status"], out.status, 0, "position")
+    orders = fx.order_infos(spark, sf_dir)
+    bounds = time_bounds(orders, "create_time")
+    for run, (first, last) in enumerate([(0, 1), (1, 2)]):
+        where = f"{root}/run{run}"
+        # the second run's base is its own copy, as another process would have it
+        schema = stage_by_time(orders, "create_time", where, first=first, last=last, bounds=bounds, whole_base=True)
+        finish(run_orders(spark, stream_of(spark, schema, where), fx.provinces(spark, sf_dir), W.user_dim(spark, sf_dir), out,
+                          f"{where}/ckpt", first_batch=1 + 100 * run, available_now=True))
+    return out
+
+
+@register("stream_order_outputs", """
+SELECT id, user_id, create_date, if_first_order, province_name, user_age_group, 1 AS n_topic FROM order_dwd""")
+def stream_order_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order index, with the number of messages that the topic has of each order."""
+    out = _order_job(spark, sf_dir)
+    sent = spark.read.parquet(out.topics).where("topic = 'dwd_order_info'").groupBy(
+        F.col("key").cast("bigint").alias("id")).agg(F.count(F.lit(1)).cast("int").alias("n_topic"))
+    docs = read_daily_docs(spark, out.index)
+    return docs.join(sent, "id", "left").select(
+        "id", "user_id", "create_date", "if_first_order", "province_name", "user_age_group", "n_topic")
+
+
+@register("stream_order_status", """
+SELECT user_id, if_consumed FROM user_status
+UNION SELECT CAST(user_id AS VARCHAR), '1' FROM order_first WHERE if_first_order = '1'""")
+def stream_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user status log after both runs of the order job."""
+    return read_dim(spark, DIM_SPECS["user_status"], _order_job(spark, sf_dir).status)
+
+
+@_register_same("stream_wide_outputs", "order_pay_split")
+def stream_wide_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide job: the split rows of the table that the topic has as well."""
+    root = scratch_path(spark, "wide-outputs")
+    schema = stage_by_time(W.wide_rows(spark, sf_dir, within_s=None), "create_time", root)
+    finish(run_wide(stream_of(spark, schema, root), f"{root}/out", f"{root}/ckpt", ttl_ms=None, available_now=True))
+    sent = spark.read.parquet(f"{root}/out/topics").select(F.col("key").cast("bigint").alias("order_detail_id"))
+    return _split_out(spark.read.parquet(f"{root}/out/table").join(sent, "order_detail_id"))
+
+
+@register("stream_ods_dims", """
+SELECT 'gmall_sku_info' AS name, id, 'Brand#' || tm_id AS label FROM (
+  SELECT CAST(p_partkey AS VARCHAR) AS id, replace(p_brand, 'Brand#', '') AS tm_id FROM part WHERE p_partkey % 4 <> 3)
+UNION ALL SELECT 'gmall_province_info', CAST(n_nationkey AS VARCHAR), n_name FROM nation WHERE n_nationkey % 4 <> 3
+UNION ALL SELECT 'gmall_user_info', CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 3 = 0 THEN '男' ELSE '女' END
+FROM customer WHERE c_custkey % 4 <> 3""")
+def stream_ods_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change feed -> ODS topics -> dimension logs, each step a stream; users get their derived columns."""
+    root = scratch_path(spark, "ods")
+    feed = feeds.row_feed(spark, sf_dir, ("part", "nation", "customer")).withColumn("n", F.pmod(F.xxhash64("value"), F.lit(3)))
+    schema = stage_by_time(feed, "n", f"{root}/feed", slices=3)
+    finish(run_ods(stream_of(spark, schema, f"{root}/feed"), f"{root}/topics", f"{root}/ckpt-ods", available_now=True))
+    topics = spark.readStream.schema("value string, batch_id bigint, topic string").parquet(f"{root}/topics")
+    out = None
+    for table, shape, label in feeds.DIM_FROM_FEED:
+        spec = DIM_SPECS[table]
+        rows = shape(topics.where(F.col("topic") == spec.topic)).withColumn("position", F.col("batch_id"))
+        if table == "user_info":
+            rows = derive_user(rows, fx.USER_ASOF)
+        finish(run_dim(spark, spec, rows, f"{root}/{table}", f"{root}/ckpt-{table}", order_col="position", available_now=True))
+        got = read_dim(spark, spec, f"{root}/{table}").select(F.lit(spec.name).alias("name"), "id", F.col(label).alias("label"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 # ------------------------------------------------------------------ sources and delivery
 
 def _start_log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Start log published as JSON text (the DAU topic)."""
+    """Start log published as JSON text (the DAU topic); for every fiftieth event a cut message comes besides."""
     logs = fx.start_logs(spark, sf_dir)
-    return logs.select(F.to_json(F.struct("ts", "event_id", "common", "start")).alias("value"), "ts", "event_id")
+    text = logs.select(F.to_json(F.struct("ts", "event_id", "common", "start")).alias("value"), "ts", "event_id")
+    cut = text.where(F.col("event_id") % 50 == 0).withColumn("value", F.substring("value", 1, 20))
+    return text.unionByName(cut)
+
+
+def _topic(spark: SparkSession, root: str) -> DataFrame:
+    return read_topic(spark, "gmall_start/files", fmt="parquet", path=root, maxFilesPerTrigger=str(FILES))
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """Subscribe to the start-log topic (file form), decode, and land rows and unreadable text."""
+    root = scratch_path(spark, "topic")
+    stage_by_time(_start_log_text(spark, sf_dir), "ts", f"{root}/gmall_start")
+    shape = lambda good: good.select(F.col("common.mid").alias("mid"), F.col("common.uid").alias("uid"), "ts", "event_id")
+    finish(run_decoded(_topic(spark, root), decode_start_log, shape, f"{root}/out", f"{root}/ckpt", available_now=True))
+    return f"{root}/out"
 
 
 @register("src_topic", "SELECT mid, uid, ts, event_id FROM start_log")
 def src_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Subscribe to the start-log topic (file form), decode, and land the rows."""
-    root = scratch_path(spark, "topic")
-    stage_by_time(_start_log_text(spark, sf_dir), "ts", f"{root}/gmall_start", order=["event_id"])
-    stream = read_topic(spark, "gmall_start/files", fmt="parquet", path=root, maxFilesPerTrigger="1")
-    good, _bad = decode_start_log(stream)
-    rows = good.select(F.col("common.mid").alias("mid"), F.col("common.uid").alias("uid"), "ts", "event_id")
-    run_available(rows, f"{root}/ckpt", path=f"{root}/out")
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{_landed(spark, sf_dir)}/good").drop("batch_id")
+
+
+@register("src_topic_quarantine", """
+SELECT COUNT(*) AS n, COUNT(DISTINCT CASE WHEN event_id % 50 = 0 THEN 1 END) AS kinds FROM start_log WHERE event_id % 50 = 0""")
+def src_topic_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable messages: how many, and how many distinct lengths (all are cut alike)."""
+    bad = spark.read.parquet(f"{_landed(spark, sf_dir)}/bad")
+    return bad.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.length("value")).alias("kinds"))
 
 
 @register("resume", """
 SELECT mid, ts, event_id, strftime(dt, '%Y-%m-%d') AS dt, CAST(hr AS BIGINT) AS hr FROM start_log""")
 def resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stop after two of four files, add the rest, restart from the checkpoint: every row once."""
+    """Stop after the first of two slices, add the rest, restart from the checkpoint: every row once."""
     root = scratch_path(spark, "resume")
     text = _start_log_text(spark, sf_dir)
-    topic = f"{root}/gmall_start"
-
-    def run_once():
-        stream = read_topic(spark, "gmall_start/files", fmt="parquet", path=root, maxFilesPerTrigger="1")
-        good, _bad = decode_start_log(stream)
-        rows = start_log_calendar(good).select(
-            F.col("common.mid").alias("mid"), "ts", "event_id",
-            D.date_text("dt").alias("dt"), F.col("hr").cast("bigint").alias("hr"))
-        run_available(rows, f"{root}/ckpt", path=f"{root}/out")
-
     bounds = time_bounds(text, "ts")
-    stage_by_time(text, "ts", topic, order=["event_id"], first=0, last=2, bounds=bounds)
-    run_once()
-    stage_by_time(text, "ts", topic, order=["event_id"], first=2, last=4, bounds=bounds)
-    run_once()
-    return spark.read.parquet(f"{root}/out")
+    shape = lambda good: start_log_calendar(good).select(
+        F.col("common.mid").alias("mid"), "ts", "event_id", D.date_text("dt").alias("dt"), F.col("hr").cast("bigint").alias("hr"))
+    for first, last in ((0, 1), (1, 2)):
+        stage_by_time(text, "ts", f"{root}/gmall_start", first=first, last=last, bounds=bounds)
+        finish(run_decoded(_topic(spark, root), decode_start_log, shape, f"{root}/out", f"{root}/ckpt", available_now=True))
+    return spark.read.parquet(f"{root}/out/good").drop("batch_id")
 
 
 @_register_same("exactly_once", "trademark_amount_total")
 def exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-batch trademark sums written as the batch's own partition; every batch is written twice
-    (as after a failure between output and commit) and the totals still count each line once."""
+    """Per-batch trademark sums as the batch's own partition. The second batch fails after its output is
+    written and before it is committed; the query is restarted from its checkpoint, runs that batch
+    again, and the totals still count each line once."""
     root = scratch_path(spark, "exactly-once")
-    paid = W.paid_wide(spark, sf_dir)
-    schema = stage_by_time(paid, "create_time", root, order=["order_detail_id"])
+    schema = stage_by_time(W.paid_wide(spark, sf_dir), "create_time", root)
     out = f"{root}/out"
+    fail = {1}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        sums = trademark_total(batch).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        for _attempt in range(2):
-            sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "batch_id").parquet(out)
-        batch.unpersist()
-
+        replace_batch(trademark_total(batch), out, "batch_id", batch_id)
+        if batch_id in fail:
+            fail.clear()
+            raise RuntimeError("stopped between output and commit")
+
+    try:
+        run_available(stream_of(spark, schema, root), f"{root}/ckpt", foreach_batch=write)
+    except Exception:  # the planned failure only
+        if fail:
+            raise
     run_available(stream_of(spark, schema, root), f"{root}/ckpt", foreach_batch=write)
-    t = spark.read.parquet(out).groupBy("trademark_id", "trademark_name").agg(
-        exact_sum("amount").alias("amount"))
+    t = spark.read.parquet(out).groupBy("trademark_id", "trademark_name").agg(exact_sum("amount").alias("amount"))
     return t.select("trademark_id", "trademark_name", as_double("amount").alias("amount"))

@@ -88,7 +88,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def ensure_state_provider(spark: SparkSession) -> None:
-    """transformWithState needs the RocksDB provider; set it if the session has another."""
+    """transformWithState needs the RocksDB provider (set if the session has another) and this
+    package in the Python workers."""
+    ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 

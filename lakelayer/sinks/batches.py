@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def exists(spark, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def delete_folder(spark, path: str) -> None:
     """Delete a folder through the file system that Spark uses for it; a missing one is fine."""
     jvm = spark.sparkContext._jvm

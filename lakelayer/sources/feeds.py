@@ -12,6 +12,8 @@ Tables are renamed to the shop schema; each record carries a text ``id``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ FEED_TABLES = {
     "part": ("sku_info", "p_partkey", "p_partkey"),
     "nation": ("base_province", "n_nationkey", "n_nationkey"),
     "region": ("base_region", "r_regionkey", "r_regionkey"),
+    "customer": ("user_info", "c_custkey", "c_custkey"),
 }
 ARRAY_FEED_SOURCES = ("orders", "lineitem", "part", "nation")
 ROW_FEED_SOURCES = ("orders", "lineitem", "part", "nation", "region")
@@ -35,21 +38,6 @@ DATABASE = "gmall"
 FEED_TS = 1704067200000
 
 
-def _feed_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table as the source of one feed.
-
-    A real feed arrives over many topic partitions. A table read in fewer
-    splits than the cluster has cores (a small file with one row group) would
-    run the whole feed in a few tasks, so it is spread over the cores first;
-    a large table already has enough splits and is read as it is.
-    """
-    df = read_table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
-
-
 def _record(df: DataFrame, id_expr: str) -> Column:
     """All columns as quoted text, plus a text ``id``."""
     return F.struct(
@@ -70,7 +58,7 @@ def array_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for src in ARRAY_FEED_SOURCES:
         table, id_expr, key_expr = FEED_TABLES[src]
-        df = _feed_source(spark, sf_dir, src)
+        df = read_table(spark, sf_dir, src)
         rec = _record(df, id_expr)
         key = F.expr(key_expr).cast("bigint")
         if src in GROUPED_MESSAGES:
@@ -97,12 +85,12 @@ def array_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def row_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def row_feed(spark: SparkSession, sf_dir: str, sources: Sequence[str] = ROW_FEED_SOURCES) -> DataFrame:
     """Row-style change feed as ``value`` text; bootstrap markers carry an empty object."""
     parts = []
-    for src in ROW_FEED_SOURCES:
+    for src in sources:
         table, id_expr, key_expr = FEED_TABLES[src]
-        df = _feed_source(spark, sf_dir, src)
+        df = read_table(spark, sf_dir, src)
         key = F.expr(key_expr).cast("bigint")
         typ = _type_of(key % 4, ROW_TYPES)
         head = F.to_json(F.struct(
@@ -120,3 +108,23 @@ def row_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def _fields(rows: DataFrame, **names: str) -> DataFrame:
+    """Record text -> columns, by field name; the batch comes along."""
+    return rows.select("batch_id", *(F.get_json_object("value", f"$.{field}").alias(c) for c, field in names.items()))
+
+
+def _users(rows: DataFrame) -> DataFrame:
+    key = F.col("id").cast("bigint")
+    gender = F.when(key % 3 == 0, F.lit("M")).when(key % 3 == 1, F.lit("F"))
+    return _fields(rows, id="id", user_level="c_mktsegment").withColumn("gender", gender).withColumn(
+        "birthday", F.lit("1990-01-01"))
+
+
+# dimension, records of its topic as the dimension's columns, a column that shows the record
+DIM_FROM_FEED = (
+    ("sku_info", lambda r: _fields(r, id="id", sku_name="p_name", tm_name="p_brand"), "tm_name"),
+    ("base_province", lambda r: _fields(r, id="id", name="n_name"), "name"),
+    ("user_info", _users, "gender_name"),
+)

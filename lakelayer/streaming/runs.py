@@ -48,7 +48,11 @@ def start(
 
 def run_available(df: DataFrame, checkpoint: str, **kw) -> StreamingQuery:
     """Process everything available now, in as many batches as the source allows, and stop."""
-    q = start(df, checkpoint, available_now=True, **kw)
+    return finish(start(df, checkpoint, available_now=True, **kw))
+
+
+def finish(q: StreamingQuery) -> StreamingQuery:
+    """Wait for a query that stops by itself; its failure is raised."""
     q.awaitTermination()
     err = q.exception()
     if err is not None:

@@ -1,17 +1,19 @@
 """Lay a table out as a stream of files in event-time order (test and replay input).
 
-The table is cut into time slices of equal width; each slice becomes one file,
-sorted by time, written after the previous one, so a file source with
-``maxFilesPerTrigger=1`` replays the table batch by batch in time order. A last
-file holds one probe row far in the future that only pushes the watermark; its
-keys are set by the caller so that its outputs can be filtered away.
+The table is cut into time slices of equal width. It is written once, partitioned by slice and
+by a hash of the row, so every slice consists of ``FILES`` files written (and later read) by as
+many tasks, with its rows in no order. A file source takes files by modification time; the
+files of a slice get a time after those of the slice before, so a source that takes ``FILES``
+files per micro-batch replays the table slice by slice. A last slice may hold one probe row far
+in the future that only pushes the watermark; its keys are set by the caller so that its
+outputs can be filtered away.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +21,8 @@ from ..functions.dates import elapsed
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 PROBE_SHIFT_DAYS = 30
+FILES = 8
+SLICE, FILE = "_slice", "_file"
 
 
 def _as_number(df: DataFrame, ts: str) -> Column:
@@ -43,43 +47,56 @@ def time_bounds(df: DataFrame, ts: str) -> tuple[int, int]:
     return int(row["lo"]), int(row["hi"])
 
 
+def _order_files(spark: SparkSession, path: str) -> None:
+    """Give the files of slice i the i-th time; a file source reads them in this order."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for s in fs.listStatus(root):
+        name = s.getPath().getName()
+        if name.startswith(f"{SLICE}="):
+            when = 1_000_000_000_000 + int(name.split("=")[1]) * 60_000
+            for d in fs.listStatus(s.getPath()):
+                for f in fs.listStatus(d.getPath()):
+                    fs.setTimes(f.getPath(), when, -1)
+
+
 def stage_by_time(
     df: DataFrame,
     ts: str,
     path: str,
-    slices: int = 4,
-    order: Sequence[str] = (),
+    slices: int = 2,
     probe: Mapping[str, Column] | None = None,
     first: int = 0,
     last: int | None = None,
     bounds: tuple[int, int] | None = None,
+    whole_base: bool = False,
 ) -> T.StructType:
-    """Write slices ``first..last-1`` of ``df`` (and the probe file, if given) to ``path``."""
+    """Write slices ``first..last-1`` of ``df`` (and the probe row, if given) to ``path``. Later slices of a
+    path use the copy of ``df`` made with the first, unless ``whole_base`` asks for another."""
     spark = df.sparkSession
     base_path = f"{path}/_base"
-    if first == 0:
+    if first == 0 or whole_base:
         df.write.mode("overwrite").parquet(base_path)
-    base = spark.read.parquet(base_path)
+    base = spark.read.schema(df.schema).parquet(base_path)
     lo, hi = bounds if bounds is not None else time_bounds(base, ts)
+    last = slices if last is None else last
     width = max(1, (hi - lo) // slices + 1)
-    x = _as_number(base, ts)
-    slice_no = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(slices - 1))
-    stream_path = f"{path}/files"
-    for i in range(first, slices if last is None else last):
-        part = base.where(slice_no == i).repartition(1).sortWithinPartitions(ts, *order)
-        part.write.mode("append").parquet(stream_path)
-    if probe is not None and (last is None or last >= slices):
+    number = F.least(F.floor((_as_number(base, ts) - F.lit(lo)) / F.lit(width)), F.lit(slices - 1))
+    rows = base.withColumn(SLICE, number).where(F.col(SLICE).between(first, last - 1))
+    if probe is not None and last >= slices:
         row = base.groupBy().agg(F.max_by(F.struct(*base.columns), F.col(ts)).alias("r")).select("r.*")
         row = row.withColumn(ts, _shifted(base, ts, F.col(ts)))
         for c, v in probe.items():
             row = row.withColumn(c, v.cast(base.schema[c].dataType))
-        row.repartition(1).write.mode("append").parquet(stream_path)
+        rows = rows.unionByName(row.withColumn(SLICE, F.lit(slices).cast(rows.schema[SLICE].dataType)))
+    text = F.to_json(F.struct(*base.columns))
+    dealt = rows.withColumn(FILE, F.pmod(F.xxhash64(text), F.lit(FILES)))
+    dealt.repartition(FILES * slices, SLICE, FILE).write.mode("append").partitionBy(SLICE, FILE).parquet(f"{path}/files")
+    _order_files(spark, f"{path}/files")
     return base.schema
 
 
-def stream_of(spark, schema, path: str, files_per_batch: int = 1) -> DataFrame:
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(f"{path}/files")
-    )
+def stream_of(spark: SparkSession, schema: T.StructType, path: str, files_per_batch: int = FILES) -> DataFrame:
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path}/files")
+    return stream.select(*schema.names)

@@ -1,14 +1,15 @@
 """Stream forms of the warehouse operators (section 2.11).
 
 Each takes a streaming DataFrame with the same columns as its batch twin and
-returns a streaming DataFrame (or starts a ``foreachBatch`` query). Event time
-comes from the rows, so results do not depend on processing speed; where the
-warehouse counted TTLs in processing time they become watermark delays.
+returns a streaming DataFrame, or starts a ``foreachBatch`` query whose outputs keep each
+batch apart. Only the windowed join has a watermark (its window); sums, splits and first
+starts take every row whenever it arrives.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,20 +17,25 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import event_time
-from ..functions.money import MONEY
-from ..operators.dau import dau_document, start_log_calendar
-from ..operators.dims import DimSpec, append_changes
+from ..functions.money import MONEY, exact_sum
+from ..operators.cdc import route_row_feed
+from ..operators.dau import dau_document, dau_first, start_log_calendar
+from ..operators.dims import DIM_SPECS, DimSpec, append_changes, read_dim
 from ..operators.joins import key_set
+from ..operators.orders import enrich_province, enrich_user, flag_first_order, new_user_status, order_calendar
 from ..operators.split import cents, plain_share
 from ..operators.stats import trademark_stat
 from ..operators.wide import detail_side, order_side, wide_columns, window_condition
 from ..session import ensure_state_provider
-from .processors import EVENT_MS, SPLIT_TTL_MS, FirstOrderProcessor, PaySplitProcessor
+from ..sinks.batches import exists, replace_batch
+from ..sinks.docs import write_daily_docs
+from ..sinks.topics import to_topic, write_topics
+from .processors import SPLIT_TTL_MS, FirstOrderProcessor, PaySplitProcessor
 from .runs import start
 
-# State lifetimes of the warehouse.
-DAU_DELAY = "24 hours"
+# Fixed value: state lifetime of the warehouse's join.
 JOIN_DEDUP_DELAY = "10 minutes"
+DAU_KEYS = "batch_id bigint, day string"
 
 
 def first_seen_stream(df: DataFrame, keys, event_col: str, delay: str) -> DataFrame:
@@ -37,11 +43,27 @@ def first_seen_stream(df: DataFrame, keys, event_col: str, delay: str) -> DataFr
     return df.withWatermark(event_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def dau_stream(logs: DataFrame, zone: str = "UTC", delay: str = DAU_DELAY) -> DataFrame:
-    """First start per (day, device), emitted on arrival; late rows beyond ``delay`` are dropped."""
-    s = start_log_calendar(logs, zone).withColumn("_et", F.timestamp_millis(F.col("ts"))).withColumn(
-        "_mid", F.col("common.mid"))
-    return dau_document(first_seen_stream(s, ["dt", "_mid"], "_et", delay))
+def run_dau(spark: SparkSession, logs: DataFrame, path: str, checkpoint: str, zone: str = "UTC", **kw) -> StreamingQuery:
+    """First start per (day, device) (F1): the documents of a micro-batch that the daily index at ``path``
+    does not have yet, each batch as partitions of its own.
+
+    Inside a batch the least (time, event id) is first, so file order and the number of files do
+    not matter. The index is the memory: only the days of the batch are read, nothing expires and
+    no row is too late.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        docs = dau_document(dau_first(start_log_calendar(batch, zone)))
+        if exists(spark, path):
+            known = spark.read.schema(f"mid string, {DAU_KEYS}").parquet(path).where(F.col("batch_id") < batch_id)
+            docs = docs.join(known.select(F.col("day").alias("dt"), "mid"), ["dt", "mid"], "left_anti")
+        replace_batch(docs.withColumn("day", F.col("dt")), path, "batch_id", batch_id, ["day"])
+
+    return start(logs, checkpoint, foreach_batch=write, **kw)
+
+
+def read_dau(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("day", "batch_id")
 
 
 def flag_first_order_stream(orders: DataFrame, status: DataFrame | None = None) -> DataFrame:
@@ -58,19 +80,18 @@ def flag_first_order_stream(orders: DataFrame, status: DataFrame | None = None)
     )
 
 
-def split_payment_stream(wide: DataFrame, ttl_ms: int | None = SPLIT_TTL_MS, delay: str = "10 minutes",
-                         order_key: str = "order_id", line_key: str = "order_detail_id") -> DataFrame:
+def split_payment_stream(wide: DataFrame, ttl_ms: int | None = SPLIT_TTL_MS, order_key: str = "order_id",
+                         line_key: str = "order_detail_id") -> DataFrame:
     """Payment split with per-order running sums in state.
 
-    Lines are watermarked on the order's create time; an order's sums expire
-    ``ttl_ms`` of event time after it is first seen.
+    Lines are taken whenever they arrive. State expires ``ttl_ms`` of processing time after an
+    order's last line. A query that expires state never runs out of batches, so a replay that is
+    to stop by itself (``availableNow``) passes None and keeps its state.
     """
     ensure_state_provider(wide.sparkSession)
     amount = (F.col("sku_price") * F.col("sku_num")).cast(MONEY)
-    et = event_time(F.col("create_time"))
-    staged = wide.drop("final_detail_amount").withColumn("pay_et", et).withWatermark("pay_et", delay).select(
+    staged = wide.drop("final_detail_amount").select(
         "*",
-        F.unix_millis(F.col("pay_et")).alias(EVENT_MS),
         cents(amount).alias("pay_amount_c"),
         cents(plain_share(F.col("final_total_amount"), amount, F.col("original_total_amount"))).alias("pay_share0_c"),
         cents(F.col("original_total_amount")).alias("pay_total_c"),
@@ -79,7 +100,7 @@ def split_payment_stream(wide: DataFrame, ttl_ms: int | None = SPLIT_TTL_MS, del
     schema = T.StructType(list(staged.schema.fields) + [T.StructField("pay_share_c", T.LongType())])
     out = staged.groupBy(order_key).transformWithStateInPandas(
         statefulProcessor=PaySplitProcessor(line_key, ttl_ms), outputStructType=schema, outputMode="Append",
-        timeMode="EventTime",
+        timeMode="ProcessingTime" if ttl_ms else "None",
     )
     share = (F.col("pay_share_c").cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
     cols = [c if c != "final_detail_amount" else share.alias(c) for c in wide.columns]
@@ -98,14 +119,119 @@ def join_wide_stream(orders: DataFrame, details: DataFrame, within_s: int = 20,
     return wide_columns(joined)
 
 
-def trademark_stat_stream(wide: DataFrame, every: str = "5 seconds", delay: str = "10 seconds") -> DataFrame:
-    """Sum per trademark per event-time bucket, emitted once the bucket closes."""
-    s = wide.withColumn("_et", event_time(F.col("create_time"))).withWatermark("_et", delay)
-    return trademark_stat(s, every=every, ts_col="_et")
+def run_trademark_stat(wide: DataFrame, path: str, checkpoint: str, every: str = "5 seconds", **kw) -> StreamingQuery:
+    """Sums per trademark and event-time bucket of each micro-batch, as the batch's own partition.
+
+    Every row counts, however late: a bucket's amount is the sum of its increments.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        replace_batch(trademark_stat(batch, every=every), path, "batch_id", batch_id)
+
+    return start(wide, checkpoint, foreach_batch=write, **kw)
+
+
+def read_trademark_stat(spark: SparkSession, path: str) -> DataFrame:
+    """The increments added up per bucket."""
+    rows = spark.read.parquet(path)
+    return rows.groupBy("stat_time", "trademark_id", "trademark_name").agg(exact_sum("amount").alias("amount"))
+
+
+def run_decoded(rows: DataFrame, decode: Callable[[DataFrame], tuple[DataFrame, DataFrame]], shape: Callable[[DataFrame], DataFrame],
+                path: str, checkpoint: str, **kw) -> StreamingQuery:
+    """Decode a topic's text; typed rows go to ``path/good``, unreadable text to ``path/bad``, each batch
+    as its own partition."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good, bad = decode(batch)
+            replace_batch(shape(good), f"{path}/good", "batch_id", batch_id)
+            replace_batch(bad.select("value"), f"{path}/bad", "batch_id", batch_id)
+        finally:
+            batch.unpersist()
+
+    return start(rows, checkpoint, foreach_batch=write, **kw)
+
+
+@dataclass(frozen=True)
+class OrderOutputs:
+    """Where the order job writes: user status log, daily order index, topic folders."""
+
+    root: str
+
+    @property
+    def status(self) -> str:
+        return f"{self.root}/status"
+
+    @property
+    def index(self) -> str:
+        return f"{self.root}/index"
+
+    @property
+    def topics(self) -> str:
+        return f"{self.root}/topics"
+
+
+STATUS = DIM_SPECS["user_status"]
+
+
+def run_orders(spark: SparkSession, orders: DataFrame, provinces: DataFrame, users: DataFrame, out: OrderOutputs,
+               checkpoint: str, first_batch: int = 0, **kw) -> StreamingQuery:
+    """The order job (H8): calendar, first-order flag against the status log, province and user columns;
+    then, from one persisted batch, new user status, the order index and the topic.
+
+    The status log is the memory of first orders, so a new run, also one with a new checkpoint,
+    knows the users of earlier runs; it gives its batches numbers from ``first_batch`` on. Each
+    output keeps a batch apart, and a repeated batch reads the status as it was before itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        number = first_batch + batch_id
+        o = order_calendar(batch)
+        if exists(spark, out.status):
+            o = flag_first_order(o, read_dim(spark, STATUS, out.status, before=number))
+        else:
+            o = flag_first_order(o)
+        o = enrich_user(enrich_province(o, provinces), users).persist()
+        try:
+            new = new_user_status(o).withColumn("position", F.lit(0))
+            append_changes(new, STATUS, out.status, number, "position")
+            write_daily_docs(o, "create_date", "id", out.index, number, order=["create_time"])
+            write_topics(to_topic(o, "dwd_order_info", key="id"), path=out.topics, fmt="parquet", batch_id=number)
+        finally:
+            o.unpersist()
+
+    return start(orders, checkpoint, foreach_batch=write, **kw)
+
+
+def run_wide(wide: DataFrame, path: str, checkpoint: str, ttl_ms: int | None = SPLIT_TTL_MS, **kw) -> StreamingQuery:
+    """The wide job (H8): the payment split in state, then each batch to the table and the topic."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            replace_batch(batch, f"{path}/table", "batch_id", batch_id)
+            write_topics(to_topic(batch, "dws_order_wide", key="order_detail_id"), path=f"{path}/topics", fmt="parquet",
+                         batch_id=batch_id)
+        finally:
+            batch.unpersist()
+
+    return start(split_payment_stream(wide, ttl_ms), checkpoint, foreach_batch=write, **kw)
+
+
+def run_ods(feed: DataFrame, path: str, checkpoint: str, route: Callable[[DataFrame], DataFrame] = route_row_feed,
+            **kw) -> StreamingQuery:
+    """The ODS job: a change feed routed to one topic per table, each batch in folders of its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_topics(route(batch), path=path, fmt="parquet", batch_id=batch_id)
+
+    return start(feed, checkpoint, foreach_batch=write, **kw)
 
 
 def run_dim(spark: SparkSession, spec: DimSpec, source: DataFrame, path: str, checkpoint: str,
-            order_col: str | None = None, **kw) -> StreamingQuery:
+            order_col: str, **kw) -> StreamingQuery:
     """Upsert a dimension stream into its change log, one batch folder per micro-batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -122,7 +248,7 @@ def enrich_stream(details: DataFrame, snapshot: Callable[[], DataFrame], path: s
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = enrich(batch, snapshot()).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+        out = enrich(batch, snapshot())
+        replace_batch(out, path, "batch_id", batch_id)
 
     return start(details, checkpoint, foreach_batch=write, **kw)
