@@ -10,9 +10,12 @@ Two documents link when their shingle sets reach Jaccard similarity 4/5 exactly
 3. In a large bucket (over ``LARGE`` sets) an entry is dropped when its set can be found
    without it (``need``). What is left there are the sets of large near-copy groups.
 4. Candidates are verified on the whole sets. First each set with the leader it shares most
-   signatures with; then, between sets whose components are still apart, leaders of each
-   bucket as long as they find links; then every pair of a bucket still apart. So a group
-   of near copies costs about one comparison per member, and no link is lost.
+   signatures with, a leader being the set of a bucket that shares most in all; then, in
+   buckets whose sets are not yet in one component, each set with the leader. Most of a
+   group of near copies is one component by then, at one comparison per member.
+5. What is still apart is compared in full: in small buckets pair by pair, in large ones
+   every set outside the main component against the whole cluster, block by block, which
+   emits the links only. So no link is lost.
 
 Between steps small tables are written to the shared scratch folder. Documents with equal
 sets share one id, so copies take no part in the join.
@@ -40,10 +43,11 @@ from .partenum import Bands, sign
 from .registry import register, table
 from .shingles import ShingleSets, set_ids
 
-LARGE = 64
+LARGE = 16
+BLOCK = 1024  # sets on either side of a block of a large cluster
 SIGNED_AT_ONCE = 4 << 20  # characters; their sets are held several times over
 PRUNE_ROUNDS = 2
-LEADER_ROUNDS = 4
+LEADER_ROUNDS = 1
 
 _MESSAGE = ("part int, signatures binary, owners binary, sids binary, needs binary, "
             "doc_ids array<bigint>, rows array<bigint>, sizes array<bigint>, doc_sids array<bigint>")
@@ -143,12 +147,12 @@ def signature_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _in_shared_buckets(entries: DataFrame) -> DataFrame:
-    sizes = entries.groupBy("signature").agg(F.count(F.lit(1)).alias("bucket"), F.min("sid").alias("leader"))
+    sizes = entries.groupBy("signature").agg(F.count(F.lit(1)).alias("bucket"))
     return entries.join(sizes.where("bucket > 1"), "signature")
 
 
 def pruned(entries: DataFrame) -> DataFrame:
-    """signature, sid, bucket, leader: entries of sets that can have a similar one, and that are
+    """signature, sid, bucket: entries of sets that can have a similar one, and that are
     needed to find it."""
     band = F.expr("signature & 255").alias("band")
     own = Window.partitionBy("sid", "band")
@@ -204,46 +208,102 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _apart(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries with their label, in buckets that still hold more than one component."""
+    """signature, sid, weight, label and bucket: the entries in buckets that still hold more than one component."""
     named = entries.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "signature", "sid", F.coalesce("label", "sid").alias("label"))
-    mixed = named.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return named.join(mixed.where("low < high").select("signature"), "signature")
+        "signature", "sid", "weight", F.coalesce("label", "sid").alias("label"))
+    mixed = named.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                           F.count(F.lit(1)).alias("bucket"))
+    return named.join(mixed.where("low < high").select("signature", "bucket"), "signature")
+
+
+def _pair(u: str, v: str) -> list[F.Column]:
+    return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
+
+
+def _block_links(key: tuple, group: pa.Table) -> pa.Table:
+    """Links between the sets of side 0 and of side 1 that have another label, one per set and label."""
+    side = group.column("side").to_numpy()
+    sids, labels = group.column("sid").to_numpy(), group.column("label").to_numpy()
+    sets = unpacked(group, "elements", np.uint64)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    sizes = np.array([len(sets[i]) for i in right], np.int64)
+    elements = np.concatenate([np.zeros(0, np.uint64), *(sets[i] for i in right)])
+    owner = np.repeat(np.arange(len(right)), sizes)
+    order = np.argsort(elements, kind="stable")
+    elements, owner = elements[order], owner[order]
+    out: list[tuple[int, int]] = []
+    for i in left:
+        lo, hi = np.searchsorted(elements, sets[i], "left"), np.searchsorted(elements, sets[i], "right")
+        n = hi - lo
+        at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        common = np.bincount(owner[at], minlength=len(right))
+        near = (100 * common >= 80 * (len(sets[i]) + sizes - common)) & (labels[right] != labels[i])
+        met = right[np.flatnonzero(near)]
+        _, first = np.unique(labels[met], return_index=True)
+        out += [(int(sids[i]), int(sids[j])) for j in met[first]]
+    return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([y for _, y in out], pa.int64())})
+
+
+def _links_in_large_buckets(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) between components that share a large bucket: every set outside the largest component
+    of its cluster against every set of the cluster, in blocks of both. Only links leave a block.
+
+    A cluster is what large buckets hold together. The blocks of a cluster are dealt over tasks,
+    so none grows with it.
+    """
+    large = apart.where(F.col("bucket") > LARGE)
+    ties = large.groupBy("signature").agg(F.min("sid").alias("u")).join(large, "signature").select("u", F.col("sid").alias("v"))
+    cluster = components(saved(ties.where("u != v").distinct(), "edges")).withColumnRenamed("node", "sid")
+    members = large.select("sid", F.col("label").alias("own")).distinct().join(cluster, "sid", "left").select(
+        "sid", F.col("own").alias("label"), F.coalesce("label", "sid").alias("cluster"))
+    members = saved(members, "members")
+    counts = members.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = counts.groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("x"), F.sum("n").alias("m")).select(
+        "cluster", F.col("x.label").alias("main"), F.ceil(F.col("m") / BLOCK).alias("blocks"),
+        F.greatest(F.ceil((F.col("m") - F.col("x.n")) / BLOCK), F.lit(1)).alias("rest_blocks"))
+    whole = members.join(main, "cluster").join(sets.select("sid", "elements"), "sid")
+    part = lambda n, salt: F.pmod(F.xxhash64("sid", F.lit(salt)), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    rest = whole.where("label != main").select(
+        "cluster", "sid", "label", "elements", F.lit(0).alias("side"), part("rest_blocks", 0).alias("i"), every("blocks").alias("j"))
+    all_ = whole.select(
+        "cluster", "sid", "label", "elements", F.lit(1).alias("side"), every("rest_blocks").alias("i"), part("blocks", 1).alias("j"))
+    return rest.unionByName(all_).groupBy("cluster", "i", "j").applyInArrow(_block_links, "u bigint, v bigint")
 
 
 def links(docs: DataFrame, documents: DataFrame, entries: DataFrame) -> DataFrame:
     """node, label: the components of the set ids that have a similar set."""
     sets = whole_sets(docs, documents, entries)
-    pair = lambda u, v: (F.least(u, v).alias("u"), F.greatest(u, v).alias("v"))
-    with_leader = entries.where("sid != leader").groupBy("sid", "leader").agg(F.count(F.lit(1)).alias("n"))
-    best = with_leader.groupBy("sid").agg(F.max(F.struct("n", "leader"))["leader"].alias("leader"))
-    tried = saved(best.select(*pair("sid", "leader")).distinct(), "pairs")
-    edges = saved(verified(tried, sets), "edges")
-    labels = components(edges)
-    apart, turn, found = entries, 0, True
-    while True:
-        apart = saved(_apart(apart.select("signature", "sid"), labels), "apart")  # components only grow
+    # a set that shares most lies in the middle of its group and links to most of it
+    weight = entries.groupBy("sid").agg(F.sum("bucket").alias("weight"))
+    entries = saved(entries.select("signature", "sid").join(weight, "sid"), "entries")
+    leaders = entries.groupBy("signature").agg(F.max(F.struct("weight", "sid"))["sid"].alias("leader"))
+    met = entries.join(leaders, "signature").where("sid != leader").groupBy("sid", "leader").agg(F.count(F.lit(1)).alias("n"))
+    best = met.groupBy("sid").agg(F.max(F.struct("n", "leader"))["leader"].alias("leader"))
+    tried = saved(best.select(*_pair("sid", "leader")).distinct(), "pairs")
+    labels = components(saved(verified(tried, sets), "edges"))
+    apart = entries
+    for turn in range(LEADER_ROUNDS + 1):
+        apart = saved(_apart(apart.select("signature", "sid", "weight"), labels), "apart")  # components only grow
         if apart.isEmpty():
             return labels
-        every = turn == LEADER_ROUNDS or not found
-        if not every:
-            leaders = apart.groupBy("signature").agg(F.min(F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "label")).alias("x"))
-            met = apart.join(leaders.select("signature", F.col("x.sid").alias("other"), F.col("x.label").alias("other_label")),
-                             "signature").where("label != other_label")
+        if turn < LEADER_ROUNDS:
+            top = apart.groupBy("signature").agg(F.max(F.struct("weight", "sid", "label")).alias("x"))
+            other = top.select("signature", F.col("x.sid").alias("other"), F.col("x.label").alias("other_label"))
+            met = apart.join(other, "signature").where("label != other_label")
+            found = None
         else:
-            other = apart.select("signature", F.col("sid").alias("other"), F.col("label").alias("other_label"))
-            met = apart.join(other, "signature").where("label < other_label")
-        fresh = met.select(*pair("sid", "other")).distinct().join(tried, ["u", "v"], "left_anti")
-        fresh = saved(fresh, "pairs")
-        new = saved(verified(fresh, sets), "edges")
+            small = apart.where(F.col("bucket") <= LARGE)
+            other = small.select("signature", F.col("sid").alias("other"), F.col("label").alias("other_label"))
+            met = small.join(other, "signature").where("label < other_label")
+            found = _links_in_large_buckets(apart, sets)
+        fresh = saved(met.select(*_pair("sid", "other")).distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
+        new = verified(fresh, sets)
+        new = saved(new if found is None else new.unionByName(found), "edges")
         tried = tried.unionByName(fresh)
-        found = not new.isEmpty()
-        if found:
-            edges = labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(new)
-            labels = components(edges)
-        if every:
-            return labels
-        turn += 1
+        if not new.isEmpty():
+            labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(new))
+    return labels
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
