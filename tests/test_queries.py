@@ -27,8 +27,8 @@ def test_every_query_has_reference_sql():
 WRITES = ("cdc_topic_counts", "daily_doc_index", "dim_scan")  # what they write is read back
 
 
-@pytest.mark.parametrize("key", sorted(k for k in QUERIES if not k.startswith("stream_") and k not in (
-    *WRITES, "src_topic", "resume", "exactly_once")))
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if not k.startswith(("stream_", "src_topic")) and k not in (
+    *WRITES, "resume", "exactly_once")))
 def test_no_job_runs_while_a_batch_query_is_built(spark, key):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup(f"build-{key}", key)
