@@ -5,14 +5,16 @@ that is shorter) reaches weighted-shingle similarity ``SIMILARITY`` with the ite
 five-word shingles with their counts, sum of minima over sum of maxima (a text under five
 words is one shingle). Words are lower-cased ``[^\x20\x09-\x0D]+``.
 
-* Items fall into bands by size. A band has a window length, somewhat under the size of its
-  smallest item, and a stride, so that a copy holds at least two whole windows of a document
-  wherever it starts, also when its ends differ. Every window of an item (stride 1) and
-  every strided window of a document gets a 64-bit SimHash over its word pairs.
+* A leak has a run of words in common with its item, however the edits lie; ``least_run``
+  gives its least length. Items fall into bands by it. A band has a window length and a
+  stride that fit into the run together, so that it holds a whole strided window of the
+  document. Every window of an item (stride 1) and every strided window of a document gets
+  a 64-bit SimHash over its word pairs; that of the window in the run is the item's own.
 * The items' fingerprints are indexed once per block of bits. ``RADIUS + 1`` blocks
   guarantee that fingerprints within the radius share a block, so the search finds all of
   them.
-* Every candidate is checked exactly: all item-sized windows around the matching one.
+* Every candidate is checked exactly: all item-sized windows around the matching one. So
+  the result is that of comparing every window with every item.
 
 Benchmarks are indexed in blocks of ``BLOCK_ITEMS`` items, a size every task can hold; a
 larger one takes one pass per block. Documents are never shuffled: the result has a row per
@@ -60,44 +62,96 @@ def similarity(a: Counter, b: Counter) -> float:
     return both / (sum(a.values()) + sum(b.values()) - both)
 
 
-def band_of(n: int) -> tuple[int, int, int]:
-    """(smallest size of the band, window length, stride) for an item of n words."""
-    low = 1
-    while (step := max(low + 1, low * 5 // 4)) <= n:
+def least_run(words: list[bytes]) -> int:
+    """Words in a row that every window similar to the item of these words surely shares with it.
+
+    Of N and M shingles (M <= N: a document may be shorter) at least 4/9 (N + M) are common.
+    Where all k-grams of the item are distinct, common shingles of a window that overlap in k
+    words lie alike in the item, so a break in the run costs 5 - k shingles.
+    """
+    n = len(words)
+    if n < SHINGLE:
+        return n
+    grams = (len(set(zip(*(words[i:] for i in range(k))))) == n - k + 1 for k in range(1, SHINGLE))
+    cost = next((SHINGLE - k for k, distinct in enumerate(grams, 1) if distinct), 0)
+    if not cost:
+        return SHINGLE  # any order of the shingles may be a leak
+    size = n - SHINGLE + 1
+    runs = []
+    for other in range(-(-4 * size // 5), size + 1):
+        common = -(-4 * (size + other) // 9)
+        runs.append(-(-common // ((other - common) // cost + 1)))
+    return min(runs) + SHINGLE - 1
+
+
+def band_of(words: list[bytes]) -> tuple[int, int, int]:
+    """(least run of the band, window length, stride) for an item of these words."""
+    run, low = least_run(words), 1
+    while (step := max(low + 1, low * 5 // 4)) <= run:
         low = step
-    return (low, low, 1) if low < 8 else (low, round(0.65 * low), max(1, int(0.175 * low)))
+    stride = 1 if low < 8 else int(0.3 * low)
+    return (low, low - stride + 1, stride)
+
+
+def best_window(words: list[bytes], n: int, wanted: Counter, around: set[int]) -> tuple[float, int]:
+    """(similarity, -start) of the best window of n words at the starts ``around``, the first on ties."""
+    n = min(n, len(words))
+    width = min(n, SHINGLE)
+    count = n - width + 1
+    total = sum(wanted.values()) + count
+    best, held, both, before = (-1.0, 0), Counter(), 0, None
+    for a in sorted({min(a, len(words) - n) for a in around}):
+        if before is None or a != before + 1:
+            held, both, new = Counter(), 0, range(a, a + count)
+        else:
+            new = (a + count - 1,)
+            gone = tuple(words[before: before + width])
+            if gone in wanted:
+                both -= held[gone] <= wanted[gone]
+                held[gone] -= 1
+        for i in new:
+            gram = tuple(words[i: i + width])
+            if gram in wanted:
+                both += held[gram] < wanted[gram]
+                held[gram] += 1
+        best, before = max(best, (both / (total - both), -a)), a
+    return best
+
+
+class _Known(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
 
 
 class PairHashes:
-    """Hashes of words, kept by word up to a bound, and of neighbouring pairs."""
+    """Hashes of words, kept by word up to a bound."""
 
     def __init__(self, held: int = 500_000) -> None:
-        self.held, self.known = held, {}
+        self.held, self.known = held, _Known()
 
     def words(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > self.held:
-            self.known = {}
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            self.known = _Known()
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
 
 def bit_sums(words: np.ndarray) -> np.ndarray:
-    """Row i: for each of 64 bits, how many of the first i word pairs have it (modulo 2^16)."""
+    """Row i: for each of 64 bits, how many of the first i word pairs have it, as the bytes of 8 numbers
+    that carry over; the difference of two rows is exact while no count in it exceeds 255."""
     pairs = chained(words[:-1], words[1:]) if len(words) > 1 else np.zeros(0, np.uint64)
-    out = np.zeros((len(pairs) + 1, 64), np.uint16)
+    out = np.zeros((len(pairs) + 1, 8), np.uint64)
     if len(pairs):
-        np.cumsum(np.unpackbits(pairs.view(np.uint8).reshape(-1, 8), axis=1), axis=0, dtype=np.uint16, out=out[1:])
+        np.cumsum(np.unpackbits(pairs.view(np.uint8)).view(np.uint64).reshape(-1, 8), axis=0, out=out[1:])
     return out
 
 
 def fingerprints(sums: np.ndarray, starts: np.ndarray, length: int, words: np.ndarray) -> np.ndarray:
-    """SimHash of the windows of ``length`` words at ``starts``."""
+    """SimHash of the windows of ``length`` words (256 at most) at ``starts``."""
     if length == 1:
         return chained(words[starts], words[starts])
-    ones = sums[starts + length - 1] - sums[starts]
-    return np.packbits(2 * ones > length - 1, axis=1).view(np.uint64).ravel()
+    ones = (sums[starts + length - 1] - sums[starts]).view(np.uint8)
+    return np.packbits(ones > (length - 1) // 2, axis=1).view(np.uint64).ravel()
 
 
 class HammingIndex:
@@ -113,19 +167,19 @@ class HammingIndex:
             own = (prints >> shift) & mask
             order = np.argsort(own, kind="stable")
             first = np.searchsorted(own[order], np.arange((1 << (b - a)) + 1, dtype=np.uint64))
-            self.blocks.append((shift, mask, order, first))
+            self.blocks.append((shift, mask, order, prints[order], first))
 
     def near(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query index, stored index) of every pair within the radius, each once."""
         found = []
-        for shift, mask, order, first in self.blocks:
+        for shift, mask, order, prints, first in self.blocks:
             key = ((queries >> shift) & mask).astype(np.int64)
             count = first[key + 1] - first[key]
-            q = np.repeat(np.arange(len(queries)), count)
-            skip = np.arange(len(q)) - np.repeat(np.cumsum(count) - count, count)
-            s = order[np.repeat(first[key], count) + skip]
-            close = np.bitwise_count(queries[q] ^ self.prints[s]) <= self.radius
-            found.append(q[close] * len(self.prints) + s[close])
+            ends = np.cumsum(count)
+            at = np.repeat(first[key] - (ends - count), count)
+            at += np.arange(len(at))
+            close = np.flatnonzero(np.bitwise_count(np.repeat(queries, count) ^ prints[at]) <= self.radius)
+            found.append(np.searchsorted(ends, close, "right") * len(self.prints) + order[at[close]])
         pairs = np.unique(np.concatenate(found))
         return pairs // len(self.prints), pairs % len(self.prints)
 
@@ -139,7 +193,7 @@ class ItemIndex:
         self.items = [(i, w, shingles(w)) for i, t in items if (w := words_of(t))]
         bands: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
         for at, (_, w, _) in enumerate(self.items):
-            band = band_of(len(w))
+            band = band_of(w)
             hashed = self.hashes.words(w)
             starts = np.arange(len(w) - band[1] + 1)
             for offset, p in enumerate(fingerprints(bit_sums(hashed), starts, band[1], hashed)):
@@ -187,9 +241,7 @@ class ItemIndex:
         for (own, item), around in starts_of.items():
             i, words = chunk[own]
             _, item_words, wanted = self.items[item]
-            n = len(item_words)
-            last = max(0, len(words) - n)
-            best = max((similarity(shingles(words[a: a + n]), wanted), -a) for a in {min(a, last) for a in around})
+            best = best_window(words, len(item_words), wanted, around)
             if best[0] >= SIMILARITY:
                 out.append((i, item, best[0], -best[1]))
         return out

@@ -117,6 +117,44 @@ def test_leaks(spark, documents, make_docs):
     assert found == pytest.approx(brute.leaks(docs, made))
 
 
+def test_leaks_with_edits_at_every_place():
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 7)))
+    items, docs = [], []
+    # (words, edited words in a row, words to draw from: few words make repeated shingles)
+    for n, edited, words in [(50, 1, 0), (60, 2, 0), (100, 6, 0), (120, 8, 0), (200, 16, 0), (200, 17, 0), (30, 0, 4), (60, 2, 12),
+                             (100, 6, 3), (150, 4, 40)]:
+        few = [word() for _ in range(words)]
+        draw = (lambda: rnd.choice(few)) if words else word  # noqa: B023
+        w = [draw() for _ in range(n)]
+        items.append((len(items), " ".join(w)))
+        made = [w[:a] + [word() for _ in range(edited)] + w[a + edited:] for a in range(n - edited + 1)]
+        made += [w[a:] + w[:a] for a in range(1, n, 7)]  # two parts in the other order
+        for _ in range(40):  # scattered edits: other words, lost words, new words
+            v = list(w)
+            for _ in range(rnd.randint(1, 5)):
+                a = rnd.randrange(len(v))
+                v[a: a + rnd.randint(0, 1)] = [word()] * rnd.randint(0, 1)
+            made.append(v)
+        docs += [" ".join([word() for _ in range(rnd.randint(0, 30))] + v + [word() for _ in range(rnd.randint(0, 30))]) for v in made]
+    found = {(d, i): (s, a) for d, i, s, a in decontaminate.ItemIndex(items).leaks(docs)}
+    shingled = [(i, decontaminate.words_of(t)) for i, t in items]
+    want = {}
+    for d, t in enumerate(docs):
+        w = decontaminate.words_of(t)
+        grams = decontaminate.shingles(w)
+        for i, item in shingled:
+            if sum((grams & decontaminate.shingles(item)).values()) < 0.6 * (len(item) - 4):
+                continue  # too little in the whole text
+            s, a = max((decontaminate.similarity(decontaminate.shingles(w[a: a + len(item)]), decontaminate.shingles(item)), -a)
+                       for a in range(max(1, len(w) - len(item) + 1)))
+            if s >= 0.8:
+                want[d, i] = (s, -a)
+    lost = want.keys() - found.keys()
+    assert len(want) > 800 and not lost, f"{len(lost)} of {len(want)} leaks lost"
+    assert found == want
+
+
 def test_partenum_never_misses_a_similar_pair():
     import numpy as np
 
