@@ -10,13 +10,17 @@ r"""Information-theoretic sanitisation of personal data.
        PMI(e, t) = log2(co(e, t) * N / (m(e) * c(t)))   what seeing t reveals of e
        disclosure(e, t) = PMI / IC                   1: t occurs only around e
 
-3. Where a term stands in the context of an entity that it discloses, it is removed
-   (``disclosure >= REMOVE_AT``) or generalised (``>= GENERALISE_AT``). A pair needs
-   ``MIN_SUPPORT`` occurrences, as one meeting shows no association.
+3. A term that discloses some entity is removed (``disclosure >= REMOVE_AT``) or
+   generalised (``>= GENERALISE_AT``) wherever it occurs outside entities, in every text,
+   also in those that do not name the entity; the strongest action counts. A pair needs
+   ``MIN_SUPPORT`` occurrences, as one meeting shows no association: every word that
+   occurs once, beside an entity, has disclosure 1.
 
 All counts cover all rows. Contexts are written to the shared scratch folder once;
-pair counts, term counts and the join back are hash aggregates and joins with
-map-side combine, so an entity in a third of all rows is counted in parts.
+pair counts and term counts are hash aggregates with map-side combine, so an entity in a
+third of all rows is counted in parts. A second scan finds the occurrences: it lets
+through what a table of ``SLOTS`` bits, of the hashes of all disclosing terms, does not
+rule out, and a join on the term decides. So no task holds the terms, however many.
 
 Defined cases: a null text counts as empty; null and repeated ids are kept row by
 row (an internal row key ties a row to its contexts); an empty table gives an empty
@@ -28,16 +32,17 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from .arrow import map_batches, prepare, texts
+from .bounded import saved
 from .registry import register, table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -46,6 +51,7 @@ MIN_SUPPORT = 3
 GENERALISE_AT = 0.6
 REMOVE_AT = 0.9
 TERMS_HELD = 300_000
+SLOTS = 1 << 22
 
 Span = tuple[str, int, int]
 
@@ -99,8 +105,8 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def contexts(text: str, spans: list[Span], window: int = WINDOW) -> list[tuple[int, str, int, int]]:
-    """(entity hash, term, start, end) for every term near an entity, outside all entities."""
+def outside_terms(matches: Iterable[re.Match], spans: list[Span]) -> list[tuple[int, int]]:
+    """(start, end) of the terms that touch no entity."""
     covered: list[list[int]] = []
     for _, s, e in sorted(spans, key=lambda x: x[1]):
         if covered and s <= covered[-1][1]:
@@ -109,41 +115,90 @@ def contexts(text: str, spans: list[Span], window: int = WINDOW) -> list[tuple[i
             covered.append([s, e])
     starts = [s for s, _ in covered]
     terms = []
-    for m in _TERM.finditer(text):
+    for m in matches:
         i = bisect_left(starts, m.end()) - 1  # the last covered stretch that begins before the term's end
         if i < 0 or covered[i][1] <= m.start():
             terms.append((m.start(), m.end()))
+    return terms
+
+
+def contexts(text: str, spans: list[Span], window: int = WINDOW) -> list[tuple[int, str]]:
+    """(entity hash, term) for every term near an entity, outside all entities."""
+    terms = outside_terms(_TERM.finditer(text), spans)
     at = [s for s, _ in terms]
     out = []
     for kind, s, e in spans:
         value = text[s:e].lower() if kind in ("email", "ip") else _NOT_DIGIT.sub("", text[s:e])
         entity = xxhash.xxh3_64_intdigest(f"{kind}:{value}".encode()) - (1 << 63)
         i = bisect_left(at, s)
-        for ts, te in terms[max(0, i - window): i + window]:
-            out.append((entity, text[ts:te].lower(), ts, te))
+        out += ((entity, text[ts:te].lower()) for ts, te in terms[max(0, i - window): i + window])
     return out
 
 
-def find_entities(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, base (array of kind, start, end), ctx (array of entity, term, start, end)."""
+def find_contexts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """entity, term: a row for every term in a context."""
+
+    def scan(b: pa.RecordBatch) -> pa.RecordBatch | None:
+        near = [x for t in texts(b) if (found := base_spans(t)) for x in contexts(t, found, window)]
+        if not near:
+            return None
+        entities, terms = zip(*near)
+        return pa.RecordBatch.from_arrays([pa.array(entities, pa.int64()), pa.array(terms, pa.string())], ["entity", "term"])
+
+    return map_batches(docs.select("text"), scan, "entity bigint, term string")
+
+
+class _Possible(dict):
+    """Whether a word, as it is written, may be one of the terms whose slots are given."""
+
+    def __init__(self, slots: np.ndarray) -> None:
+        self.slots = np.zeros(SLOTS, bool)
+        self.slots[slots] = True
+
+    def __missing__(self, word: str) -> bool:
+        self[word] = possible = bool(self.slots[slot_of(word.lower())])
+        return possible
+
+
+def slot_of(term: str) -> int:
+    return xxhash.xxh3_64_intdigest(term.encode()) % SLOTS
+
+
+def slots_of(terms: DataFrame) -> np.ndarray:
+    """The distinct slots of the terms, ``SLOTS`` at most."""
+
+    def scan(b: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(map(slot_of, b.column("term").to_pylist()), pa.int32())], ["slot"])
+
+    found = map_batches(terms.select("term"), scan, "slot int").distinct().toArrow()
+    return found.column("slot").to_numpy()
+
+
+def find_entities(docs: DataFrame, slots: np.ndarray) -> DataFrame:
+    """doc_id, base (array of kind, start, end), terms (array of term, start, end: those outside
+    entities whose slot is among ``slots``)."""
     span = pa.struct([("kind", pa.string()), ("s", pa.int32()), ("e", pa.int32())])
-    near = pa.struct([("entity", pa.int64()), ("term", pa.string()), ("s", pa.int32()), ("e", pa.int32())])
+    place = pa.struct([("term", pa.string()), ("s", pa.int32()), ("e", pa.int32())])
+    ready: list[_Possible] = []  # one per Python worker
 
     def scan(b: pa.RecordBatch) -> pa.RecordBatch:
-        base, ctx = [], []
+        if not ready or len(ready[0]) > TERMS_HELD:
+            ready[:] = [_Possible(slots)]
+        possible = ready[0]
+        base, terms = [], []
         for t in texts(b):
             found = base_spans(t)
             base.append([dict(zip(("kind", "s", "e"), x)) for x in found])
-            ctx.append([dict(zip(("entity", "term", "s", "e"), x)) for x in contexts(t, found, window)]
-                       if found else [])
+            matches = [m for m in _TERM.finditer(t) if possible[m.group()]] if len(slots) else []
+            terms.append([{"term": t[s:e].lower(), "s": s, "e": e} for s, e in outside_terms(matches, found)])
         return pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(base, pa.list_(span)), pa.array(ctx, pa.list_(near))],
-            ["doc_id", "base", "ctx"])
+            [b.column("doc_id"), pa.array(base, pa.list_(span)), pa.array(terms, pa.list_(place))],
+            ["doc_id", "base", "terms"])
 
     return map_batches(
         docs.select("doc_id", "text"), scan,
         f"doc_id {dict(docs.dtypes)['doc_id']}, base array<struct<kind:string,s:int,e:int>>, "
-        "ctx array<struct<entity:bigint,term:string,s:int,e:int>>")
+        "terms array<struct<term:string,s:int,e:int>>")
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -168,10 +223,9 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "term string, c bigint").groupBy("term").agg(F.sum("c").alias("c"))
 
 
-def disclosing_pairs(found: DataFrame, counts: DataFrame, min_support: int = MIN_SUPPORT,
+def disclosing_pairs(near: DataFrame, counts: DataFrame, min_support: int = MIN_SUPPORT,
                      generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
     """entity, term, disclosure, action for every pair at or over ``generalise_at``."""
-    near = found.select(F.explode("ctx").alias("x")).select("x.entity", "x.term")
     pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("co"))
     mass = near.groupBy("entity").agg(F.count(F.lit(1)).alias("m"))
     total = counts.agg(F.sum("c").alias("n"))  # one row
@@ -187,18 +241,15 @@ def disclosing_pairs(found: DataFrame, counts: DataFrame, min_support: int = MIN
 def sanitisation_spans(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, ``base`` and ``added`` (arrays of kind, s, e); added
     kinds are ``generalise`` and ``remove``."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "pii")
-    find_entities(docs).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
-    found = spark.read.parquet(path)
-    pairs = disclosing_pairs(found, term_counts(docs)).select("entity", "term", "action")
-    near = found.select("row", F.explode("ctx").alias("x")).select("row", "x.*")
-    hits = near.join(pairs, ["entity", "term"])
-    # a term near two entities takes the stronger action ('remove' sorts last)
-    added = (hits.groupBy("row", "s", "e").agg(F.max("action").alias("kind"))
-             .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("kind", "s", "e"))).alias("added")))
+    near = saved(find_contexts(docs), "pii")
+    pairs = disclosing_pairs(near, term_counts(docs))
+    # 'remove' sorts last
+    terms = saved(pairs.groupBy("term").agg(F.max("action").alias("kind")), "pii")
+    found = saved(find_entities(docs, slots_of(terms)).withColumn("row", F.monotonically_increasing_id()), "pii")
+    hits = found.select("row", F.explode("terms").alias("x")).select("row", "x.*").join(terms, "term")
+    added = hits.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("kind", "s", "e"))).alias("added"))
     none = F.array().cast("array<struct<kind:string,s:int,e:int>>")
-    return found.drop("ctx").join(added, "row", "left").select(
+    return found.drop("terms").join(added, "row", "left").select(
         "doc_id", "base", F.coalesce("added", none).alias("added"))
 
 

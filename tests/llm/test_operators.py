@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import sys
 import zlib
 from pathlib import Path
@@ -47,6 +48,20 @@ def test_terms_that_disclose_an_entity_are_marked(make_docs):
     assert clean[0] == "filler words number 0 come here  writes to [EMAIL] about plain things" and clean[10] == far[0][1]
 
 
+def test_disclosing_terms_are_marked_wherever_they_occur(make_docs):
+    filler = " filler words number come here about plain things writes to nobody" * 30
+    docs = [(i, f"filler words number {i} come here zanzibar writes to ann@x.org about plain things") for i in range(5)]
+    docs += [(5, "Zanzibar again" + filler + " zanzibar mailto:ann@x.org" + filler + " ZANZIBAR zanzibars"), (6, f"no name but zanzibar{filler}"),
+             (7, "Zanzibar"), (8, "zanzibar@x.org"), (None, "zanzibar"), (7, "Zanzibar")]
+    docs += [(i, filler) for i in range(10, 40)]
+    whole = re.compile(r"\bzanzibar\b(?!@)", re.IGNORECASE)
+    want = sorted((str(d), "generalise", *m.span()) for d, t in docs for m in whole.finditer(t))
+    assert len(want) == 12
+    got = pii.sanitisation_spans(make_docs(docs)).collect()
+    assert len(got) == len(docs)
+    assert sorted((str(r["doc_id"]), x["kind"], x["s"], x["e"]) for r in got for x in r["added"]) == want
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_lm_scores(documents, order):
     df, rows = documents
