@@ -91,7 +91,7 @@ def sign(band: Band, elements: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarra
         empty = m - np.bincount(filled // m, minlength=n)
         need = (m - band.k) - empty  # equal partitions that are surely left among those with elements
         lost = np.flatnonzero(need <= 0)  # these keep their empty partitions
-        need[lost] = m - band.k
+        need[lost] = 1  # a similar set that is not lost leaves its empty partitions out: they share its need at least
         keys = [filled]
         values = [sums]
         if len(lost):

@@ -170,6 +170,37 @@ def test_leaks_with_edits_at_every_place():
     assert found == want
 
 
+def test_partenum_need_is_a_bound_for_small_sets():
+    import numpy as np
+
+    rnd = np.random.default_rng(7)
+    below, similar = 0, 0
+    for size in range(12, 41):
+        elements, sizes = [], []
+        for _ in range(600):  # pairs: a set, and one with elements lost and new ones
+            base = np.unique(rnd.integers(0, 2**64, size, dtype=np.uint64))
+            drop, add = rnd.integers(0, size // 8 + 2, 2)
+            other = np.unique(np.concatenate([rnd.permutation(base)[drop:], rnd.integers(0, 2**64, add, dtype=np.uint64)]))
+            elements += [base, other]
+            sizes += [len(base), len(other)]
+        sizes = np.array(sizes)
+        signed = [{} for _ in elements]  # per set and band: signatures and need
+        for band, index in partenum.Bands(int(sizes.max())).signing(sizes):
+            sig, own, need = partenum.sign(band, np.concatenate([elements[i] for i in index]), sizes[index])
+            for i, n in zip(index, need):
+                signed[i][band.number] = (set(), int(n))
+            for x, o in zip(sig.tolist(), own.tolist()):
+                signed[index[o]][band.number][0].add(x)
+        for i in range(0, len(elements), 2):
+            common = len(np.intersect1d(elements[i], elements[i + 1]))
+            if 100 * common >= 80 * (sizes[i] + sizes[i + 1] - common):
+                similar += 1
+                larger = max(signed[i], signed[i + 1], key=lambda x: min(x))
+                (a, a_need), (b, b_need) = signed[i][min(larger)], signed[i + 1][min(larger)]
+                below += len(a & b) < max(a_need, b_need, 1)
+    assert similar > 5000 and not below, f"{below} of {similar} similar pairs share fewer than need"
+
+
 def test_partenum_never_misses_a_similar_pair():
     import numpy as np
 
