@@ -1,4 +1,4 @@
-r"""Log probability of whole texts under a smoothed n-gram model, by a weighted backoff automaton.
+r"""Log probability of whole texts under a smoothed n-gram model, by interpolation over arrays of counts.
 
 Tokens: lower-cased (A-Z) words ``[^\x20\x09-\x0D]+`` and one end per text. Training texts
 are those whose crc32(doc_id as text) mod 5 is not 1.
@@ -7,16 +7,14 @@ Model. p1(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)), and for each longer history h
 p(w | h) = (c(hw) + PRIOR p(w | h')) / (c(h) + PRIOR), with h' the history without its
 first token: every seen n-gram counts, none is cut off.
 
-Automaton. States are the seen histories, the root is the empty one. State h has an arc
-for each seen hw with the log probability of w after h, and a failure arc to h' with
-log(PRIOR / (c(h) + PRIOR)). A text is read once from left to right; at each token the
-state takes its arc, or fails until there is one (the root has one for any token), adds
-the weights on the way, and goes on to the longest seen history.
+Scoring. No automaton is built: for all tokens of a batch at once, the weight of the shorter
+history is taken order by order; where hw was seen it is mixed with the counts, else
+log(PRIOR / (c(h) + PRIOR)) is added. That gives the scores of a backoff automaton, whose
+states are the seen histories with an arc for each seen hw and a failure arc to h'.
 
 Scale. No task holds the model. A batch of texts asks for the counts of its own n-grams
 (``mail``), all n-grams of the corpus being counted in parts by hash; with the answers it
-builds the part of the automaton that its texts can reach, and traverses it. N-grams are
-64-bit hashes.
+scores its texts. N-grams are 64-bit hashes.
 
 Defined cases: a null or empty text is one end token; a null ``doc_id`` counts as held out;
 without any training text all counts are zero; repeated rows are scored (and learned from)
@@ -84,7 +82,7 @@ class Tokens:
 
 
 class Automaton:
-    """The states and arcs that the tokens of a batch can reach, and their traversal."""
+    """The counts behind each token of a batch, and its weights; holds no states or arcs."""
 
     def __init__(self, tokens: Tokens, counts: list[np.ndarray], n: int, v: int, prior: float) -> None:
         self.tokens = tokens
@@ -97,14 +95,14 @@ class Automaton:
         return np.log10((self.counts[0] + 0.5) / (self.n + 0.5 * (self.v + 1)))
 
     def traverse(self) -> np.ndarray:
-        """Log10 probability of every token, read in order with the state carried along."""
+        """Log10 probability of every token, all tokens at once, order by order."""
         t = self.tokens
         weight = self.root_weights()
         for k in range(2, len(self.counts) + 1):
             history = np.concatenate([[0], self.counts[k - 2][:-1]]).astype(np.float64)
             history[t.heads] = self.texts_learned if k == 2 else 0
             seen = np.where(t.there[k - 1], self.counts[k - 1], 0)
-            # at a state of this order: its arc if there is one, else the failure arc and the weight found below
+            # where the n-gram was seen, its counts mixed with the weight below, else the prior's share of that weight
             fail = np.log10(self.prior / (history + self.prior))
             arc = np.log10((seen + self.prior * 10.0 ** weight) / (history + self.prior))
             weight = np.where(seen > 0, arc, fail + weight)
