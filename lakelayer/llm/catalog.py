@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, lm_score, near_dup, pieces, pii, quality, sharding, substring_dedup  # noqa: F401
+from . import (  # noqa: F401
+    byte_bpe,
+    decontaminate,
+    exact_dedup,
+    language_id,
+    lm_score,
+    merkle,
+    near_dup,
+    pieces,
+    pii,
+    quality,
+    sharding,
+    substring_dedup,
+)
 from .registry import ORACLE, QUERIES, Query
 
 
