@@ -15,6 +15,7 @@ from . import (  # noqa: F401
     quality,
     sharding,
     substring_dedup,
+    whitening,
 )
 from .registry import ORACLE, QUERIES, Query
 
