@@ -2,7 +2,8 @@ r"""Byte-level BPE encoding and decoding; the merges are folded by Spark's highe
 
 One pass over the documents, without a shuffle of their texts. Three steps follow each other in a task:
 
-1. Words (Arrow). Texts are cut by the tokenizer's pattern. Each chunk of documents (some MB)
+1. Words (Arrow). Texts are cut by the tokenizer's pattern, each distinct stretch between white
+   space once. Each chunk of documents (some MB)
    becomes one row: the words that the task has not met before, and per document the numbers
    of its words.
 2. Fold (column expressions). ``transform`` over the array of distinct words; each word is an
@@ -23,7 +24,7 @@ bytes together are a piece, as the library looks pairs up by bytes.
 
 Defined cases: a null or empty text has no tokens and decodes to no bytes; null and repeated
 ids are kept; an empty table gives an empty result; extra columns are ignored. A task keeps at
-most ``KEPT`` words and then begins anew. A run of equal characters takes few steps, but a run
+most ``KEPT`` stretches and then begins anew. A run of equal characters takes few steps, but a run
 of many thousand random letters without a space or digit takes one for each of its ranks.
 """
 
@@ -33,6 +34,8 @@ import base64
 import json
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,14 +48,16 @@ from .arrow import prepare, texts
 from .registry import register, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-KEPT = 1 << 20  # distinct words a task remembers
+KEPT = 1 << 20  # distinct stretches between white space a task remembers
 CHUNK = 1 << 22  # characters of text to a row of the first step
 LONG = 96  # pieces; a longer word joins many places in a step
-FREQUENT = 1 << 17  # words folded once for all tasks
-SAMPLE = 8192  # documents whose words these are
+FREQUENT = 1 << 18  # words folded once for all tasks
+SAMPLE = 16384  # documents whose words these are, about
 WORD_BYTES = 64  # of such a word, at most
 SPARK_SEED = 42  # of Spark's xxhash64
 _FIRST = 0x1000  # piece i is the character _FIRST + i, below the surrogates
+_APART = "\0"
+_DOUBLE = ("  ", " \n", "\n ", "\n\n")
 _NONE = "퟿"  # no piece, no rank; above all others
 
 
@@ -128,18 +133,64 @@ def word_pattern(expression: str):
 
 
 class _Numbers(dict):
-    """Words to numbers; a new word gets the next one."""
+    """Keys to numbers; a new key gets the next one and is told to ``new``."""
 
-    def __init__(self, known: dict[str, int]) -> None:
+    def __init__(self, known: dict[str, int], new: Callable[[str], None]) -> None:
         super().__init__(known)
-        self.fresh: list[str] = []
+        self.new = new
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        self.fresh.append(word)
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new(key)
         return n
 
 
+def stretches(text: str) -> list[str]:
+    """``text`` in pieces that each begin with white space, or with the text. No match of the pattern reaches
+    from a character over the white space after it, so the pieces can be cut on their own."""
+    if _APART not in text and not any(double in text for double in _DOUBLE):
+        parts = text.replace(" ", _APART + " ").replace("\n", _APART + "\n").split(_APART)
+        words = text.split()
+        if len(parts) == len(words) and sum(map(len, words)) + len(parts) - 1 == len(text):  # no other white space
+            return parts
+    return _stretch().findall(text)
+
+
+@cache
+def _stretch():
+    import regex
+
+    return regex.compile(r"\s*\S+|\s+")
+
+
+class _Cutter:
+    """Texts to numbers of words. A stretch met before is not cut again."""
+
+    def __init__(self, expression: str, known: dict[str, int]) -> None:
+        self.words_of, self.known = word_pattern(expression).findall, known
+        self.begin()
+
+    def begin(self) -> None:
+        self.fresh: list[str] = []  # words that are new since they were last taken
+        self.words = _Numbers(self.known, lambda w: self.fresh.append(w))
+        self.codes: list[int] = []  # numbers of the words of all stretches met
+        self.ends: list[int] = [0]
+        self.whole = _Numbers({}, self._cut)
+
+    def _cut(self, stretch: str) -> None:
+        words = self.words
+        self.codes += [words[w] for w in self.words_of(stretch)]
+        self.ends.append(len(self.codes))
+
+    def __call__(self, rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the words of all rows, running end of each row)."""
+        whole = self.whole
+        parts = [[whole[s] for s in stretches(t)] for t in rows]
+        which = np.fromiter(chain.from_iterable(parts), np.int64)
+        codes, ends = _gather(np.array(self.codes, np.int32), np.array(self.ends, np.int64), which)
+        return codes, np.concatenate([[0], ends])[np.cumsum([len(p) for p in parts])].astype(np.int64)
+
+
 def _chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
     """Slices of at most ``CHUNK`` characters, or of one text."""
     start = size = 0
@@ -155,26 +206,30 @@ def _chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
 def _counts(batches: Iterator[pa.RecordBatch], expression: str) -> Iterator[pa.RecordBatch]:
     words_of = word_pattern(expression).findall
     for b in batches:
-        n = Counter(w for t in texts(b) for w in words_of(t) if len(w.encode()) <= WORD_BYTES)
+        whole = Counter(s for t in texts(b) for s in stretches(t))
+        n: Counter[str] = Counter()
+        for s, k in whole.items():
+            for w in words_of(s):
+                n[w] += k
+        n = {w: k for w, k in n.items() if len(w.encode()) <= WORD_BYTES}
         yield pa.RecordBatch.from_pydict({"word": pa.array(n, pa.string()), "n": pa.array(n.values(), pa.int64())})
 
 
 def _cut(batches: Iterator[pa.RecordBatch], expression: str, known: dict[str, int], out_type: pa.Schema) -> Iterator[pa.RecordBatch]:
-    words_of = word_pattern(expression).findall
-    numbers, again = _Numbers(known), True
+    cut, again = _Cutter(expression, known), True
     for b in batches:
         rows = texts(b)
         for x, y in _chunks([len(t) for t in rows]):
-            if len(numbers) > KEPT:
-                numbers, again = _Numbers(known), True
-            numbers.fresh = []
-            codes = [np.array([numbers[w] for w in words_of(t)], np.int32) for t in rows[x:y]]
-            ends = np.cumsum([len(c) for c in codes]).astype(np.int64)
+            if len(cut.whole) > KEPT:
+                cut.begin()
+                again = True
+            cut.fresh.clear()
+            codes, ends = cut(rows[x:y])
             ids = b.column("doc_id").slice(x, y - x)
             yield pa.RecordBatch.from_arrays([
                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                pa.array([np.concatenate(codes).tobytes()], pa.binary()), pa.array([ends.tobytes()], pa.binary()),
-                pa.array([again]), pa.array([numbers.fresh], pa.list_(pa.string()))], schema=out_type)
+                pa.array([codes.tobytes()], pa.binary()), pa.array([ends.tobytes()], pa.binary()),
+                pa.array([again]), pa.array([list(cut.fresh)], pa.list_(pa.string()))], schema=out_type)
             again = False
 
 
@@ -327,7 +382,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, expression: str |
     def folded(words: str) -> Column:
         return rank_map.bound(lambda rank: F.transform(words, lambda w: fold(w, rank, byte_pieces)))
 
-    sample = rows.limit(SAMPLE).repartition(shuffle_partitions(spark))
+    sample = rows.sample(min(1.0, SAMPLE / max(rows.count(), 1)), seed=0)
     counted = sample.mapInArrow(lambda it: _counts(it, expression), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "word").limit(FREQUENT).repartition(shuffle_partitions(spark))
     frequent = top.select("word", folded(F.array("word"))[0].alias("ids")).toArrow()

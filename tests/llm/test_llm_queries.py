@@ -38,7 +38,7 @@ def result(spark):
 
 
 def test_one_query_for_each_operator():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([k for k in entry.queries() if k.startswith(f"op{n}_")]) == 1
     assert "pipeline" in entry.queries() and 4 <= len(corpus_pipeline.STAGES) <= 5
     assert set(entry.oracle_sql()) <= set(entry.queries())
