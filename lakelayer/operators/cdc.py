@@ -2,12 +2,9 @@
 
 Both routers are column expressions over the message text; the output
 ``(topic, value)`` goes to a sink that writes each row to its own topic (or to a
-folder per topic in file form). The envelope is read with one ``json_tuple``
-pass; the record array is parsed only for the messages that pass the filter.
-
-Spark's JSON reader turns a number into a double before it gives it back as text. So numbers
-are shielded first (made strings between two marks) and set free again in the routed record:
-``1442.00`` and a number of forty digits pass as they were sent.
+folder per topic in file form). Type and table are read first; the records are parsed only
+for the messages that pass the filter. Numbers pass as they were sent (``json_numbers``), and
+so does any character of a text.
 """
 
 from __future__ import annotations
@@ -17,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.json_numbers import at_risk, freed, shielded
+
 # The tables the row-style router forwards.
 FACT_TABLES = ("order_info", "order_detail")
 DIM_TABLES = ("base_province", "user_info", "sku_info", "base_trademark", "base_category3", "spu_info")
@@ -25,22 +24,22 @@ TOPIC_PREFIX = "ods_"
 _EMPTY_OBJECT = r"^\s*\{\s*\}\s*$"
 
 
-_MARK = "\ue000"  # a private-use character
-# a string, or a number outside of strings
-_STRING_OR_NUMBER = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)'
-
-
-def _shielded(text: F.Column) -> F.Column:
-    marked = F.regexp_replace(text, _STRING_OR_NUMBER, f"$1{_MARK}$2{_MARK}")
-    return F.regexp_replace(F.replace(marked, F.lit(_MARK * 2), F.lit("")), f"{_MARK}([^{_MARK}]+){_MARK}", f'"{_MARK}$1{_MARK}"')
+def _envelope(df: DataFrame, value: str, passes: F.Column) -> DataFrame:
+    """type, table, data and ``risky`` (data is shielded) of the messages that pass a filter on type and table."""
+    head = df.select(F.col(value).alias("value"), F.json_tuple(value, "type", "table").alias("type", "table")).where(passes)
+    risky = head.withColumn("risky", at_risk(F.col("value")))
+    text = F.when(F.col("risky"), shielded(F.col("value"))).otherwise(F.col("value"))
+    return risky.select("type", "table", "risky", F.json_tuple(text, "data").alias("data"))
 
 
-def _freed(text: F.Column) -> F.Column:
-    return F.regexp_replace(text, f'"{_MARK}([^{_MARK}]*){_MARK}"', "$1")
+def _record(text: F.Column) -> F.Column:
+    return F.when(F.col("risky"), freed(text)).otherwise(text).alias("value")
 
 
-def _envelope(df: DataFrame, value: str) -> DataFrame:
-    return df.select(F.json_tuple(_shielded(F.col(value)), "type", "table", "data").alias("type", "table", "data"))
+def unreadable(df: DataFrame, value: str = "value") -> DataFrame:
+    """The messages that are not a JSON object."""
+    head = df.select("*", F.json_tuple(value, "type").alias("_type")).where("_type IS NULL").drop("_type")
+    return head.where(F.from_json(F.col(value), "map<string,string>").isNull())
 
 
 def topic_of(table_col) -> F.Column:
@@ -49,11 +48,11 @@ def topic_of(table_col) -> F.Column:
 
 def route_array_feed(df: DataFrame, value: str = "value") -> DataFrame:
     """Array-style feed: only ``INSERT`` (exact case); one output row per record, raw JSON kept."""
-    inserts = _envelope(df, value).where(F.col("type") == "INSERT")
+    inserts = _envelope(df, value, F.col("type") == "INSERT")
     return inserts.select(
-        topic_of(F.col("table")).alias("topic"),
+        topic_of(F.col("table")).alias("topic"), "risky",
         F.explode(F.from_json(F.col("data"), "array<string>")).alias("value"),
-    ).select("topic", _freed(F.col("value")).alias("value"))
+    ).select("topic", _record(F.col("value")))
 
 
 def route_row_feed(
@@ -68,13 +67,11 @@ def route_row_feed(
     ``drop_deletes=True`` stops dimension deletes from being forwarded (they
     would otherwise re-upsert the deleted row downstream).
     """
-    env = _envelope(df, value)
     data = F.col("data")
     non_empty = data.isNotNull() & F.ltrim(data).startswith("{") & ~data.rlike(_EMPTY_OBJECT)
     is_fact = F.col("table").isin(list(facts)) & (F.col("type") == "insert")
     is_dim = F.col("table").isin(list(dims))
     if drop_deletes:
         is_dim = is_dim & (F.col("type") != "delete")
-    return env.where(non_empty & (is_fact | is_dim)).select(
-        topic_of(F.col("table")).alias("topic"), _freed(data).alias("value")
-    )
+    return _envelope(df, value, is_fact | is_dim).where(non_empty).select(
+        topic_of(F.col("table")).alias("topic"), _record(data))

@@ -4,7 +4,8 @@ The warehouse's JSON library ignores unknown keys, leaves missing ones null,
 accepts quoted numbers and matches names regardless of case. ``from_json`` with
 a typed schema does none of the last two, so the text is read as a
 ``map<string,string>`` (any JSON value becomes its text) and each field is looked up by its
-lower-cased name, the last one counting where a name comes twice, and ``try_cast`` to its type. Unreadable text goes to a separate
+lower-cased name, the last one counting where a name comes twice, and ``try_cast`` to its type.
+Numbers keep their digits (``json_numbers``). Unreadable text goes to a separate
 quarantine frame instead of failing the batch or vanishing.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parse_time
+from ..functions.json_numbers import at_risk, freed, shielded
 
 _MAP = "map<string,string>"
 
@@ -34,8 +36,11 @@ def field_value(fields: Column, name: str, dtype: T.DataType) -> Column:
 
 def parsed_fields(value: Column) -> Column:
     """The fields of a JSON object as (lower-cased key, value text), in order; names may repeat."""
-    entries = F.map_entries(F.from_json(value, _MAP))
-    return F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    def entries(text: Column, own) -> Column:
+        return F.transform(F.map_entries(F.from_json(text, _MAP)),
+                           lambda e: F.struct(F.lower(own(e["key"])).alias("key"), own(e["value"]).alias("value")))
+
+    return F.when(at_risk(value), entries(shielded(value), freed)).otherwise(entries(value, lambda t: t))
 
 
 def decode(df: DataFrame, schema: T.StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:

@@ -3,8 +3,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakelayer.operators.cdc import route_array_feed, route_row_feed
+from lakelayer.operators.cdc import route_array_feed, route_row_feed, unreadable
 from lakelayer.operators.dau import dau_document, dau_first, start_log_calendar
 from lakelayer.operators.dedup import first_seen, latest_per_key
 from lakelayer.operators.dims import DIM_SPECS, append_changes, compact, read_dim
@@ -226,3 +227,39 @@ def test_cdc_routing_rules(spark):
     ], "value string")
     assert sorted(r["topic"] for r in route_row_feed(row).collect()) == ["ods_order_info", "ods_sku_info"]
     assert [r["topic"] for r in route_row_feed(row, drop_deletes=True).collect()] == ["ods_order_info"]
+
+
+E000 = ""
+
+
+@pytest.mark.parametrize("text", [f"{E000}12{E000}", f"a{E000}{E000}b", f"{E000}", "", "0", f"x\\\\{E000}1.5{E000}", "1,2.5 [3.4]",
+                                  "\\ue00012.0\\ue000", "\\\\ue0001.5"])
+@pytest.mark.parametrize("number", ["1442.00", "1234567890123456.78", "9" * 40, "-0.10e5", '"12.50"'])
+def test_records_and_fields_keep_every_text_and_number(spark, text, number):
+    """Private-use characters, raw or escaped, and long decimals come through both readers."""
+    import json
+
+    record = f'{{"id":"1","t":"{text}","n":{number}}}'
+    want = (json.loads(f'"{text}"'), number.strip('"'))
+    message = f'{{"database":"d","table":"order_info","type":"insert","ts":1,"data":{record}}}'
+    array = message.replace('"insert"', '"INSERT"').replace(f'"data":{record}', f'"data":[{record},{record}]')
+    out = [r["value"] for r in route_row_feed(spark.createDataFrame([(message,)], "value string")).collect()]
+    out += [r["value"] for r in route_array_feed(spark.createDataFrame([(array,)], "value string")).collect()]
+    assert len(out) == 3
+    for v in out:
+        assert json.loads(v)["t"] == want[0] and f'"n":{number}' in v
+    fields = decode(spark.createDataFrame([(record,)], "value string"), T.StructType([
+        T.StructField("t", T.StringType()), T.StructField("n", T.StringType())]))[0].first()
+    assert tuple(fields) == want
+
+
+def test_unquoted_decimals_are_exact(spark):
+    df = spark.createDataFrame([('{"id": 5, "final_total_amount": 1234567890123456.78, "feight_fee": 0.10}',)], "value string")
+    got = decode(df, ORDER_INFO_SCHEMA)[0].first()
+    assert (got["id"], got["final_total_amount"], got["feight_fee"]) == (5, Decimal("1234567890123456.78"), Decimal("0.10"))
+
+
+def test_unreadable_messages_are_told_apart(spark):
+    rows = ['{"type":"insert","table":"order_info","data":{"id":"1"}}', '{"a":1}', '{"type":"ins', "", "[1]", None]
+    got = [r["value"] for r in unreadable(spark.createDataFrame([(r,) for r in rows], "value string")).collect()]
+    assert sorted(map(str, got)) == sorted(['{"type":"ins', "", "[1]", "None"])
