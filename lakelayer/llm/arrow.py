@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +36,11 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def gather(values: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``which`` of ``values`` one after the other (run i begins at ``starts[i]``), and their running ends."""
+    sizes = starts[which + 1] - starts[which]
+    ends = np.cumsum(sizes)
+    pick = np.repeat(starts[which] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+    return values[pick], ends

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
-from .arrow import prepare, texts
+from .arrow import gather, prepare, texts
 from .registry import register, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -187,7 +187,7 @@ class _Cutter:
         whole = self.whole
         parts = [[whole[s] for s in stretches(t)] for t in rows]
         which = np.fromiter(chain.from_iterable(parts), np.int64)
-        codes, ends = _gather(np.array(self.codes, np.int32), np.array(self.ends, np.int64), which)
+        codes, ends = gather(np.array(self.codes, np.int32), np.array(self.ends, np.int64), which)
         return codes, np.concatenate([[0], ends])[np.cumsum([len(p) for p in parts])].astype(np.int64)
 
 
@@ -312,14 +312,6 @@ def fold(word: Column, rank: Lookup, byte_pieces: str) -> Column:
 
 # ------------------------------------------------------------------ ids
 
-def _gather(values: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs ``which`` of ``values`` one after the other, and their running ends."""
-    sizes = starts[which + 1] - starts[which]
-    ends = np.cumsum(sizes)
-    pick = np.repeat(starts[which] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-    return values[pick], ends
-
-
 class Pieces:
     """The bytes of each id."""
 
@@ -332,7 +324,7 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all ids, running end after each id)."""
-        return _gather(self.bytes, self.starts, ids)
+        return gather(self.bytes, self.starts, ids)
 
 
 def _put_together(batches: Iterator[pa.RecordBatch], pieces: Pieces, known: tuple[np.ndarray, np.ndarray], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -347,7 +339,7 @@ def _put_together(batches: Iterator[pa.RecordBatch], pieces: Pieces, known: tupl
             ids = np.concatenate([ids, fresh.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
             codes = np.frombuffer(b.column("codes")[r].as_py(), np.int32)
             text_ends = np.frombuffer(b.column("ends")[r].as_py(), np.int64)
-            own, ends = _gather(ids, starts, codes)
+            own, ends = gather(ids, starts, codes)
             offsets = np.concatenate([[0], np.concatenate([[0], ends])[text_ends]])
             data, data_ends = pieces.decode(own)
             data_offsets = np.concatenate([[0], data_ends])[offsets]

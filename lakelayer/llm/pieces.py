@@ -29,13 +29,15 @@ from __future__ import annotations
 import heapq
 import re
 from dataclasses import dataclass
+from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import map_batches, texts
+from .arrow import gather, map_batches, texts
 from .registry import register, table
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -125,38 +127,58 @@ class SuffixIndex:
         return where[keep], which[keep]
 
 
+class _Words(dict):
+    """Words between single spaces, as they are written, to the number of their stretch."""
+
+    def __init__(self, number) -> None:
+        super().__init__()
+        self.number = number
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = self.number(MARK + word)
+        return n
+
+
 class Encoder:
     def __init__(self, model: PieceModel) -> None:
         self.model = model
         self.ids = np.array([i for i, p in enumerate(model.pieces) if p])
         self.keys = PieceKeys([model.pieces[i] for i in self.ids])
-        self.cache: dict[str, int] = {}
+        self._begin()
+
+    def _begin(self) -> None:
+        self.cache: dict[str, int] = {}  # stretches met, with their number
+        self.fresh: list[str] = []  # of these the ones not segmented yet
+        self.words = _Words(self._number)
         self.starts, self.stored = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
+    def _number(self, stretch: str) -> int:
+        i = self.cache.get(stretch)
+        if i is None:
+            i = self.cache[stretch] = len(self.cache)
+            self.fresh.append(stretch)
+        return i
+
+    def _stretches(self, text: str) -> list[int]:
+        if not text:
+            return []
+        if MARK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+            words = self.words
+            return [words[w] for w in text.split(" ")]
+        return [self._number(s) for s in _STRETCH.findall(MARK + text.replace(" ", MARK))]
+
     def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of the texts)."""
         if len(self.cache) > CACHE:
-            self.cache, self.starts, self.stored = {}, np.zeros(1, np.int64), np.zeros(0, np.int32)
-        known, fresh, sequence, counts = self.cache, [], [], []
-        for text in batch:
-            stretches = _STRETCH.findall(MARK + text.replace(" ", MARK)) if text else []
-            counts.append(len(stretches))
-            for s in stretches:
-                i = known.get(s)
-                if i is None:
-                    i = known[s] = len(known)
-                    fresh.append(s)
-                sequence.append(i)
-        if fresh:
-            ids, ends = self._segment(fresh)
+            self._begin()
+        rows = [self._stretches(t) for t in batch]
+        if self.fresh:
+            ids, ends = self._segment(self.fresh)
             self.starts = np.concatenate([self.starts, self.starts[-1] + ends])
             self.stored = np.concatenate([self.stored, ids])
-        at = np.array(sequence, np.int64)
-        sizes = self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(sizes)
-        pick = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        per_text = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        return self.stored[pick], per_text
+            self.fresh = []
+        ids, ends = gather(self.stored, self.starts, np.fromiter(chain.from_iterable(rows), np.int64))
+        return ids, np.concatenate([[0], ends])[np.cumsum([0] + [len(r) for r in rows])].astype(np.int64)
 
     def _segment(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all stretches, running count of ids after each stretch)."""
@@ -240,45 +262,56 @@ class Encoder:
             offer(a)
 
 
-def decode_bytes(model: PieceModel) -> list[bytes]:
-    """The bytes of each id."""
-    mark, space = MARK.encode(), b" "
-    out = [p.replace(mark, space) for p in model.pieces]
-    for value, i in enumerate(model.byte_ids):
-        out[i] = bytes([value])
-    return out
-
-
-def decode(ids: list[int] | np.ndarray, parts: list[bytes]) -> str:
-    text = b"".join([parts[i] for i in ids])
-    return text[text[:1] == b" ":].decode(errors="replace")
-
+class Decoder:
+    """The bytes of each id; a space mark is a space."""
 
-def encode_documents(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
-    """doc_id, ids (array), decoded (the text that the ids give back)."""
+    def __init__(self, model: PieceModel) -> None:
+        parts = [p.replace(MARK.encode(), b" ") for p in model.pieces]
+        for value, i in enumerate(model.byte_ids):
+            parts[i] = bytes([value])
+        self.bytes = np.frombuffer(b"".join(parts), np.uint8)
+        self.starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """The bytes of every text, without the space mark that encoding puts first."""
+        data, ends = gather(self.bytes, self.starts, ids)
+        at = np.concatenate([[0], ends])[offsets].tolist()
+        data = data.tobytes()
+        return [data[x + (data[x: x + 1] == b" " and x < y): y] for x, y in zip(at, at[1:])]
+
+
+def _map_encoded(docs: DataFrame, model_file: str, columns: str, make) -> DataFrame:
+    """doc_id and ids of every document, and what ``make`` (texts, decoded bytes) gives for a batch."""
     model = read_model(model_file)
-    ready: list[tuple[Encoder, list[bytes]]] = []  # one per Python worker
+    ready: list[tuple[Encoder, Decoder]] = []  # one per Python worker
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         if not ready:
-            ready.append((Encoder(model), decode_bytes(model)))
-        encoder, parts = ready[0]
-        ids, offsets = encoder.encode(texts(b))
-        back = [decode(ids[x:y], parts) for x, y in zip(offsets, offsets[1:])]
+            ready.append((Encoder(model), Decoder(model)))
+        encoder, decoder = ready[0]
+        rows = texts(b)
+        ids, offsets = encoder.encode(rows)
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-        return pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), lists, pa.array(back, pa.string())],
-                                          ["doc_id", "text", "ids", "decoded"])
+        more = make(rows, decoder.decode(ids, offsets))
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), lists, *more.values()], ["doc_id", "ids", *more])
+
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, {columns}")
 
-    return map_batches(docs.select("doc_id", "text"), run,
-                       f"doc_id {dict(docs.dtypes)['doc_id']}, text string, ids array<int>, decoded string")
+
+def encode_documents(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
+    """doc_id, ids (array), decoded (the text that the ids give back)."""
+    return _map_encoded(docs, model_file, "decoded string", lambda rows, back: {
+        "decoded": pa.array([x.decode(errors="replace") for x in back], pa.string())})
 
 
 def encoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     """doc_id, n_tokens, ids, decoded_sha256, round_trip (the decoded text is the text)."""
-    plain = F.translate(F.coalesce("text", F.lit("")), MARK, " ")
-    return encode_documents(docs, model_file).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == plain).alias("round_trip"))
+    def compared(rows: list[str], back: list[bytes]) -> dict[str, pa.Array]:
+        return {"decoded_sha256": pa.array([sha256(x).hexdigest() for x in back], pa.string()),
+                "round_trip": pa.array([x == t.replace(MARK, " ").encode() for t, x in zip(rows, back)], pa.bool_())}
+
+    return _map_encoded(docs, model_file, "decoded_sha256 string, round_trip boolean", compared).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256", "round_trip")
 
 
 @register("op6_sentencepiece")
