@@ -7,7 +7,7 @@ the place of a row number (and back) from the row count and the seed alone.
 
 * Row numbers: rows are cut into ``buckets`` by a hash of the id, numbered inside
   each bucket by (id, size, crc), and offset by the sizes of the buckets before.
-  Only the bucket sizes (``buckets`` rows, a fixed bound) meet in one place.
+  Only the bucket sizes (``BUCKETS`` rows at most) meet in one place.
 * Feistel network over ``a * b >= rows`` with a mixed radix (a, b): alternately the
   left half is shifted by a keyed function of the right, modulo a, and the right by
   one of the left, modulo b, which is a permutation of the a * b numbers.
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from .registry import register, table
 
 SHARDS = 16
-BUCKETS = 4096
+BUCKET_ROWS = 250_000  # about, of a bucket that one task numbers
+BUCKETS = 1 << 17  # at most; their sizes meet in one place
 ROUNDS = 6
 
 
@@ -56,15 +57,22 @@ def place(row: Column, rows: Column, seed: int = 0, rounds: int = ROUNDS) -> Col
     """The shuffled place in [0, rows) of row number ``row``."""
     a = F.ceil(F.sqrt(rows.cast("double"))).cast("long")
     b = F.ceil(rows / a).cast("long")
-    once = _permuted(row, a, b, seed, rounds)
-    walk = F.aggregate(
-        F.sequence(F.lit(0).cast("long"), a * b - rows),
-        once, lambda y, _: F.when(y < rows, y).otherwise(_permuted(y, a, b, seed, rounds)))
-    return F.when(rows > 0, walk)
-
-
-def global_row_numbers(rows: DataFrame, key: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """``rows`` with ``row_no`` (0 .. n-1, no gaps) and ``n_rows``; the order is fixed by ``key``."""
+    def walked(once: Column) -> Column:
+        # only a row whose first image lies outside walks: about one in sqrt(rows)
+        walk = F.aggregate(
+            F.sequence(F.lit(1).cast("long"), a * b - rows),
+            once, lambda y, _: F.when(y < rows, y).otherwise(_permuted(y, a, b, seed, rounds)))
+        return F.when(once < rows, once).otherwise(walk)
+
+    # the image is computed once: the fold of no elements, whose end result is the walk
+    first = F.aggregate(F.array().cast("array<int>"), _permuted(row, a, b, seed, rounds), lambda y, _: y, walked)
+    return F.when(rows > 0, first)
+
+
+def global_row_numbers(rows: DataFrame, key: list[str], buckets: int | None = None) -> DataFrame:
+    """``rows`` with ``row_no`` (0 .. n-1, no gaps) and ``n_rows``; the order is fixed by ``key`` and the
+    number of buckets, by default one for ``BUCKET_ROWS`` rows."""
+    buckets = buckets or min(max(4096, -(-rows.count() // BUCKET_ROWS)), BUCKETS)
     b = rows.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)))
     sizes = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -80,7 +88,7 @@ def global_row_numbers(rows: DataFrame, key: list[str], buckets: int = BUCKETS)
             .drop("_bucket", "_before", "_inside"))
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 0, buckets: int = BUCKETS) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 0, buckets: int | None = None) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.col("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),

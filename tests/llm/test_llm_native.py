@@ -76,3 +76,18 @@ def test_shards(make_docs):
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 1, zlib.crc32(data), "rows", None)
     # the order is shuffled, not the order of ids
     assert [r["doc_id"] for r in sorted(out, key=lambda r: (r["slot"], r["shard"]))] != sorted(text)
+
+
+def test_the_cost_of_a_place_does_not_grow_with_the_rows(spark):
+    """The walk is evaluated only where the first image lies outside: as good as never at 10^10 + 1 rows."""
+    import time
+
+    def seconds(rows):
+        df = spark.range(2000).select(place(F.col("id") + F.lit(rows // 2), F.lit(rows).cast("long")).alias("p"))
+        df.agg(F.max("p")).collect()
+        t = time.perf_counter()
+        assert df.agg(F.max("p")).first()[0] < rows
+        return time.perf_counter() - t
+
+    # walking for every row took 80 times as long at the greater count
+    assert seconds(10**10 + 1) < 8 * seconds(10**4 + 1) + 1
