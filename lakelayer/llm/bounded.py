@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-BROADCAST_ROWS = 1_000_000  # of one integer key
+BROADCAST_ROWS = 1_000_000  # of one or two integers
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -21,7 +21,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 
 def counted(keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``keys`` (one integer column), for a join: broadcast if its counted rows are within the limit,
+    """``keys`` (one or two integer columns), for a join: broadcast if its counted rows are within the limit,
     else left to a shuffle join."""
     keys = saved(keys, "keys")
     return F.broadcast(keys) if keys.count() <= limit else keys

@@ -285,9 +285,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_I
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that leak an item; all columns stay."""
-    leaked = find_leaks(docs, benchmark).select("doc_id").distinct()
-    return filtered(docs, counted(leaked), [F.col("doc_id")], "left_anti")
+    """``docs`` without those that leak an item; all columns stay. Rows that share an id (or have none) are
+    judged each by its own text."""
+    row = F.xxhash64("text").alias("row")
+    leaked = find_leaks(docs.select(F.struct("doc_id", row).alias("doc_id"), "text"), benchmark).select("doc_id.*").distinct()
+    return filtered(docs, counted(leaked), [F.col("doc_id"), row], "left_anti")
 
 
 @register("op4_decontamination")

@@ -306,23 +306,29 @@ def links(docs: DataFrame, documents: DataFrame, entries: DataFrame) -> DataFram
     return labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable by links) for every document."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with ``row``, the hash that tells rows of one id apart."""
     documents, entries = signature_tables(docs)
     labels = links(docs, documents, pruned(entries))
     # a set without shingles (sid 0) has no component of its own
     named = documents.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "doc_id", "size", F.when(F.col("size") > 0, F.coalesce("label", "sid")).alias("label"))
+        "doc_id", "row", "size", F.when(F.col("size") > 0, F.coalesce("label", "sid")).alias("label"))
     least = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return named.join(least, "label", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"),
+        "doc_id", "row", F.col("size").alias("n_shingles"),
         F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id reachable by links) for every document."""
+    return _grouped(docs).drop("row")
+
+
 def keep_one_per_component(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that have a component mate of smaller id; all columns stay."""
-    gone = near_duplicates(docs).where("doc_id != component_id").select("doc_id").distinct()
-    return filtered(docs, counted(gone), [F.col("doc_id")], "left_anti")
+    """``docs`` without the documents that have a component mate of smaller id; all columns stay. Rows that
+    share an id are judged each by its own text."""
+    gone = _grouped(docs).where("doc_id != component_id").select("doc_id", "row").distinct()
+    return filtered(docs, counted(gone), [F.col("doc_id"), _row_key()], "left_anti")
 
 
 @register("op5_ngram_jaccard_join")

@@ -213,7 +213,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
         held: Counter = Counter()
         for b in batches:
             for t in texts(b):
-                held.update(_TERM.findall(t.lower()))
+                held.update(map(str.lower, _TERM.findall(t)))
                 if len(held) >= TERMS_HELD:
                     yield rows(held)
                     held.clear()

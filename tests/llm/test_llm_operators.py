@@ -48,6 +48,14 @@ def test_terms_that_disclose_an_entity_are_marked(make_docs):
     assert clean[0] == "filler words number 0 come here  writes to [EMAIL] about plain things" and clean[10] == far[0][1]
 
 
+@pytest.mark.parametrize("term", ["İstanbul", "ΟΔΟΣ'Α", "zanzibar"])
+def test_terms_are_lowered_alike_when_counted_and_when_met(make_docs, term):
+    docs = [(i, f"{term} writes ann@x.org") for i in range(5)] + [(10 + i, "some plain words of no one here") for i in range(40)]
+    got = {r["doc_id"]: r["added"] for r in pii.sanitisation_spans(make_docs(docs)).collect()}
+    first = pii._TERM.search(term).group()
+    assert all((0, len(first)) in {(x["s"], x["e"]) for x in got[i]} for i in range(5))
+
+
 def test_disclosing_terms_are_marked_wherever_they_occur(make_docs):
     filler = " filler words number come here about plain things writes to nobody" * 30
     docs = [(i, f"filler words number {i} come here zanzibar writes to ann@x.org about plain things") for i in range(5)]
@@ -77,16 +85,17 @@ def test_encoding_is_the_library_s(documents):
 
     library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL_FILE)
     model = pieces.read_model()
-    encoder, parts = pieces.Encoder(model), pieces.decode_bytes(model)
+    encoder, decoder = pieces.Encoder(model), pieces.Decoder(model)
     rnd = random.Random(3)
     made = ["", " ", "a  b", "▁a", "a\nb", "<s> x", "\x00z", "日本\U0001f600", "x" * 3000, "ab" * 2000 + " " * 300 + "é" * 99,
             "\t\t  \n;\r\n"]
     made += ["".join(rnd.choice("abetionhs  \n▁é日;\r") for _ in range(rnd.randint(0, 150))) for _ in range(1500)]
     for batch in (made, [t or "" for _, t in documents[1]], made[::-1]):
         ids, offsets = encoder.encode(batch)
-        for t, a, b, want in zip(batch, offsets, offsets[1:], library.encode(batch, num_threads=1)):
+        back = decoder.decode(ids, offsets)
+        for t, a, b, want, data in zip(batch, offsets, offsets[1:], library.encode(batch, num_threads=1), back):
             assert ids[a:b].tolist() == want, t
-            assert pieces.decode(ids[a:b], parts) == t.replace(pieces.MARK, " ")
+            assert data == t.replace(pieces.MARK, " ").encode()
 
 
 def test_encoded_documents_round_trip(documents):
@@ -348,3 +357,21 @@ def test_language_without_letters(make_docs):
                                                                     "fr": b"le chat est sur la table et le chien aboie"}).collect()}
     assert [got[i]["lang_pred"] for i in (1, 2, 3, 4)] == ["en", "fr", "und", "und"] and got[3]["score"] == 0
     assert {r["lang_pred"] for r in language_id.identify(docs, {}).collect()} == {"und"}
+
+
+def test_stages_judge_rows_of_one_id_each_by_its_text(spark, make_docs):
+    """Rows that share an id, or have none, stay or go by their own text."""
+    from lakelayer.llm.decontaminate import without_leaks
+    from lakelayer.llm.exact_dedup import keep_first_copies
+    from lakelayer.llm.near_dup import keep_one_per_component
+
+    leak = " ".join(f"secret{i}" for i in range(30))
+    clean = [" ".join(f"w{k}x{i}" for i in range(30)) for k in range(3)]
+    bench = spark.createDataFrame([(1, leak)], "item_id bigint, text string")
+    docs = make_docs([(5, leak), (5, clean[0]), (None, leak), (None, clean[1])])
+    assert sorted(map(str, (r["text"] for r in without_leaks(docs, bench).collect()))) == sorted(clean[:2])
+    copies = make_docs([(3, clean[0]), (5, clean[0] + " end"), (5, clean[1]), (None, clean[2])])
+    assert sorted((str(r["doc_id"]), r["text"]) for r in keep_one_per_component(copies).collect()) == sorted(
+        [("3", clean[0]), ("5", clean[1]), ("None", clean[2])])
+    same = make_docs([(3, clean[0]), (5, clean[0]), (5, clean[1])])
+    assert sorted((r["doc_id"], r["text"]) for r in keep_first_copies(same).collect()) == [(3, clean[0]), (5, clean[1])]
