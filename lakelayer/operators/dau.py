@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_text, wallclock_of_epoch_ms
@@ -22,8 +22,8 @@ def dau_first(logs: DataFrame) -> DataFrame:
     return first_seen(keyed, ["dt", "_mid"], order).drop("_mid")
 
 
-def dau_document(logs: DataFrame) -> DataFrame:
-    """Start log -> DAU document keyed by device (B8); minute is the constant '00'."""
+def dau_document(logs: DataFrame, *more: str | Column) -> DataFrame:
+    """Start log -> DAU document keyed by device (B8); minute is the constant '00'. ``more`` columns come along."""
     return logs.select(
         F.col("common.mid").alias("mid"),
         F.col("common.uid").alias("uid"),
@@ -34,4 +34,5 @@ def dau_document(logs: DataFrame) -> DataFrame:
         F.col("hr").cast("string").alias("hr"),
         F.lit("00").alias("mi"),
         F.col("ts"),
+        *more,
     )

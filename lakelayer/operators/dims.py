@@ -90,7 +90,7 @@ BATCH_COL = "_batch"
 ORDER_COL = "_ord"
 
 
-def _spec_cols(df: DataFrame, spec: DimSpec):
+def spec_columns(df: DataFrame, spec: DimSpec):
     return [F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in spec.columns]
 
 
@@ -102,7 +102,7 @@ def append_changes(df: DataFrame, spec: DimSpec, path: str, batch_id: int, order
     so a replayed batch rewrites the same rows instead of adding copies.
     """
     ordered = df.withColumn(ORDER_COL, F.col(order_col).cast("bigint"))
-    out = latest_per_key(ordered.select(*_spec_cols(ordered, spec), ORDER_COL), [spec.key], [ORDER_COL, *spec.columns])
+    out = latest_per_key(ordered.select(*spec_columns(ordered, spec), ORDER_COL), [spec.key], [ORDER_COL, *spec.columns])
     replace_batch(out, path, BATCH_COL, batch_id)
 
 

@@ -14,33 +14,38 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.money import as_double, exact_sum
 from ..operators.dau import start_log_calendar
+from ..operators.dim_store import DimStore
 from ..operators.dims import DIM_SPECS, append_changes, derive_user, read_dim
 from ..operators.orders import enrich_details
 from ..operators.stats import trademark_total
 from ..session import scratch_path
 from ..sinks.batches import replace_batch
-from ..sinks.docs import read_daily_docs
+from ..sinks.docs import latest_docs
+from ..sinks.manifest import Manifest
 from ..sources import feeds
 from ..sources import fixtures as fx
 from ..sources.decode import decode_start_log
 from ..sources.topics import read_topic
-from ..streaming.runs import finish, run_available
+from ..streaming.runs import LateRows, finish, run_available
 from ..streaming.staging import FILES, stage_by_time, stream_of, time_bounds
 from ..streaming.twins import (
-    OrderOutputs,
     enrich_stream,
     flag_first_order_stream,
     join_wide_stream,
+    once_a_sighting,
     read_dau,
     read_trademark_stat,
     run_dau,
     run_decoded,
     run_dim,
+    run_dim_store,
     run_ods,
     run_orders,
+    run_timed_totals,
     run_trademark_stat,
     run_wide,
     split_payment_stream,
+    status_store,
 )
 from . import warehouse as W
 from .catalog import ORACLE, register, wide_out
@@ -150,51 +155,207 @@ def stream_dim_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     stale = sku.where(F.col("id").cast("bigint") % 2 == 0).withColumn("tm_name", F.lit("stale"))
     append_changes(stale, spec, f"{root}/log", 0, "position")
     append_changes(sku, spec, f"{root}/log", 1, "position")
-    finish(enrich_stream(stream_of(spark, schema, root), lambda: read_dim(spark, spec, f"{root}/log"), f"{root}/out",
+    finish(enrich_stream(stream_of(spark, schema, root), lambda batch, number: read_dim(spark, spec, f"{root}/log"), f"{root}/out",
                          f"{root}/ckpt", enrich_details, available_now=True))
     d = spark.read.parquet(f"{root}/out")
     return d.select("id", "order_id", "sku_id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name",
                     "category3_name")
 
 
+# ------------------------------------------------------------------ keyed store
+
+@register("dim_lookup_keyed", """
+SELECT id, age_group, gender_name FROM user_dim WHERE id IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderkey % 100 = 7)""")
+def dim_lookup_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users of some orders from the keyed store, whose other buckets are not read (C6). Every second user is
+    in the store with an old row of an earlier batch as well."""
+    store = DimStore(spark, DIM_SPECS["user_info"], scratch_path(spark, "keyed"))
+    users = W.user_dim(spark, sf_dir).withColumn("position", F.lit(0))
+    store.append(users.where(F.col("id").cast("bigint") % 2 == 0).withColumn("gender_name", F.lit("old")), 0, "position")
+    store.append(users, 1, "position")
+    keys = fx.order_keys(spark, sf_dir).where(F.col("id") % 100 == 7).select(F.col("user_id").cast("string").alias("k")).distinct()
+    return store.read(keys).join(keys, F.col("id") == F.col("k")).select("id", "age_group", "gender_name")
+
+
+@_register_same("stream_dim_compact", "stream_dim_upsert")
+def stream_dim_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SKU versions over three micro-batches into the keyed store, which is compacted before each but the first."""
+    root = scratch_path(spark, "stream-compact")
+    versions = W.dim_versions(W.sku_dim(spark, sf_dir), "sku_name")
+    schema = stage_by_time(versions, "version", root, slices=3)
+    store = DimStore(spark, DIM_SPECS["sku_info"], f"{root}/store")
+    finish(run_dim_store(store, stream_of(spark, schema, root), f"{root}/ckpt", "version", compact_every=1, keep=0, available_now=True))
+    return store.read()
+
+
+@register("stream_dim_changing", """
+SELECT t.id, CASE WHEN s.id IS NULL THEN NULL ELSE 'v' || least((us - lo) // width, 2) END AS tm_name
+FROM (SELECT id, sku_id, epoch_us(create_time) AS us FROM order_detail) t
+CROSS JOIN (SELECT min(epoch_us(create_time)) AS lo, (max(epoch_us(create_time)) - min(epoch_us(create_time))) // 3 + 1 AS width
+            FROM order_detail) b LEFT JOIN sku_dim s ON CAST(t.sku_id AS VARCHAR) = s.id""")
+def stream_dim_changing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines over three micro-batches, enriched from a dimension that changes before each of them (H5).
+    The second batch fails after its output; the dimension changes once more before it is repeated,
+    and it still sees what it saw first."""
+    root = scratch_path(spark, "stream-changing")
+    schema = stage_by_time(fx.order_details(spark, sf_dir), "create_time", root, slices=3)
+    store = DimStore(spark, DIM_SPECS["sku_info"], f"{root}/store")
+    sku = W.sku_dim(spark, sf_dir).withColumn("position", F.lit(0))
+    seen: set[int] = set()
+
+    def snapshot(batch: DataFrame, number: int) -> DataFrame:
+        if number not in seen:
+            store.append(sku.withColumn("tm_name", F.lit(f"v{number}")), 10 * number, "position")
+        seen.add(number)
+        return store.pinned(f"{root}/pins", number, batch.select("sku_id"))
+
+    fail = {1}
+
+    def enrich(batch: DataFrame, dim: DataFrame) -> DataFrame:
+        out = enrich_details(batch, dim).select("id", "tm_name")
+        if seen == {0, 1} and fail:
+            fail.clear()
+            out.write.parquet(f"{root}/half")
+            store.append(sku.withColumn("tm_name", F.lit("in between")), 15, "position")
+            raise RuntimeError("stopped within the batch")
+        return out
+
+    for again in (True, False):
+        try:
+            finish(enrich_stream(stream_of(spark, schema, root), snapshot, f"{root}/out", f"{root}/ckpt", enrich, available_now=True))
+        except Exception:  # the planned failure only
+            if fail or not again:
+                raise
+    return spark.read.parquet(f"{root}/out").select("id", "tm_name")
+
+
 # ------------------------------------------------------------------ several outputs of one batch
 
-def _order_job(spark: SparkSession, sf_dir: str) -> OrderOutputs:
+def _order_job(spark: SparkSession, sf_dir: str, fail_after: tuple[str, ...] = ()) -> str:
     """The order job over all orders in two runs, each with a checkpoint of its own; the second knows the
-    first orders of the first only through the status log."""
+    first orders of the first only through the status store. After each output named in
+    ``fail_after`` the job fails once and is started again."""
     root = scratch_path(spark, "orders")
-    out = OrderOutputs(root)
     status = fx.user_statuses(spark, sf_dir).withColumn("position", F.lit(0))
-    append_changes(status, DIM_SPECS["user_status"], out.status, 0, "position")
+    status_store(spark, root).append(status, 0, "position")
     orders = fx.order_infos(spark, sf_dir)
     bounds = time_bounds(orders, "create_time")
+    left = list(fail_after)
+
+    def written(name: str) -> None:
+        if name in left:
+            left.remove(name)
+            raise RuntimeError("stopped between two outputs")
+
     for run, (first, last) in enumerate([(0, 1), (1, 2)]):
         where = f"{root}/run{run}"
         # the second run's base is its own copy, as another process would have it
         schema = stage_by_time(orders, "create_time", where, first=first, last=last, bounds=bounds, whole_base=True)
-        finish(run_orders(spark, stream_of(spark, schema, where), fx.provinces(spark, sf_dir), W.user_dim(spark, sf_dir), out,
-                          f"{where}/ckpt", first_batch=1 + 100 * run, available_now=True))
-    return out
+        while True:
+            todo = len(left)
+            try:
+                finish(run_orders(spark, stream_of(spark, schema, where), fx.provinces(spark, sf_dir), W.user_dim(spark, sf_dir), root,
+                                  f"{where}/ckpt", first_batch=1 + 100 * run, compact_every=101, written=written, available_now=True))
+                break
+            except Exception:  # a planned failure only
+                if len(left) == todo:
+                    raise
+    return root
+
+
+def _order_outputs(spark: SparkSession, root: str) -> DataFrame:
+    """The order index, with the number of messages that the topic has of each order."""
+    outputs = Manifest(spark, root)
+    sent = outputs.read("topics").where("topic = 'dwd_order_info'").groupBy(
+        F.col("key").cast("bigint").alias("id")).agg(F.count(F.lit(1)).cast("int").alias("n_topic"))
+    return latest_docs(outputs.read("index")).join(sent, "id", "left").select(
+        "id", "user_id", "create_date", "if_first_order", "province_name", "user_age_group", "n_topic")
 
 
 @register("stream_order_outputs", """
 SELECT id, user_id, create_date, if_first_order, province_name, user_age_group, 1 AS n_topic FROM order_dwd""")
 def stream_order_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order index, with the number of messages that the topic has of each order."""
-    out = _order_job(spark, sf_dir)
-    sent = spark.read.parquet(out.topics).where("topic = 'dwd_order_info'").groupBy(
-        F.col("key").cast("bigint").alias("id")).agg(F.count(F.lit(1)).cast("int").alias("n_topic"))
-    docs = read_daily_docs(spark, out.index)
-    return docs.join(sent, "id", "left").select(
-        "id", "user_id", "create_date", "if_first_order", "province_name", "user_age_group", "n_topic")
+    return _order_outputs(spark, _order_job(spark, sf_dir))
+
+
+@_register_same("stream_order_restart", "stream_order_outputs")
+def stream_order_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with a failure after the status is written, another between index and topic, and one after
+    both and before the manifest (A13): all of a batch is seen once."""
+    return _order_outputs(spark, _order_job(spark, sf_dir, ("status", "index", "topics")))
 
 
 @register("stream_order_status", """
 SELECT user_id, if_consumed FROM user_status
 UNION SELECT CAST(user_id AS VARCHAR), '1' FROM order_first WHERE if_first_order = '1'""")
 def stream_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user status log after both runs of the order job."""
-    return read_dim(spark, DIM_SPECS["user_status"], _order_job(spark, sf_dir).status)
+    """The user status after both runs of the order job."""
+    return status_store(spark, _order_job(spark, sf_dir)).read()
+
+
+@_register_same("stream_timed_totals", "trademark_amount_total")
+def stream_timed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timed run (H1): batches every second until all files are read, then stopped from outside. Amounts by
+    trademark, added up over the batches, each of which has one time (B16)."""
+    root = scratch_path(spark, "stream-timed")
+    schema = stage_by_time(W.paid_wide(spark, sf_dir), "create_time", root)
+    q = run_timed_totals(spark, stream_of(spark, schema, root), f"{root}/out", f"{root}/ckpt", trigger="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = Manifest(spark, f"{root}/out").read("totals")
+    if rows.groupBy("batch_id").agg(F.countDistinct("stat_time").alias("n")).where("n <> 1").count():
+        raise ValueError("a batch has several times")
+    t = rows.groupBy("trademark_id", "trademark_name").agg(exact_sum("amount").alias("amount"))
+    return t.select("trademark_id", "trademark_name", as_double("amount").alias("amount"))
+
+
+# ------------------------------------------------------------------ sightings and late rows
+
+@register("stream_line_sightings", """
+SELECT order_id, order_detail_id, after_s FROM wide_all CROSS JOIN (VALUES (0), (1020)) AS d(after_s)""")
+def stream_line_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line is delivered three times: at its time, 5 minutes later (a duplicate, which renews the memory) and
+    12 minutes after that (new, as the memory of 10 minutes is over, though it began 17 minutes before)."""
+    root = scratch_path(spark, "stream-sightings")
+    lines = W.wide_rows(spark, sf_dir, within_s=None).select("order_id", "order_detail_id", "create_time")
+    after = F.explode(F.array(*(F.lit(s) for s in (0, 300, 1020)))).alias("after_s")
+    sent = lines.select("*", after).withColumn("create_time", D.add_seconds("create_time", F.col("after_s")))
+    schema = stage_by_time(sent, "create_time", root)
+    rows = stream_of(spark, schema, root).withColumn("at", D.event_time("create_time"))
+    run_available(once_a_sighting(rows, ["order_id", "order_detail_id"], "at"), f"{root}/ckpt", path=f"{root}/out")
+    return spark.read.parquet(f"{root}/out").select("order_id", "order_detail_id", "after_s")
+
+
+@register("stream_late_rows", """
+SELECT count(*) AS dropped FROM order_detail WHERE id % 5 = 0""")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth order line comes after the watermark has passed it (H3): the windowed join drops it, and the
+    count of dropped rows says so."""
+    root = scratch_path(spark, "stream-late")
+    lines = W.dwd_details(spark, sf_dir).withColumn("turn", F.when(F.col("id") % 5 == 0, 2).otherwise(0))
+    orders = W.dwd_orders(spark, sf_dir).withColumn("turn", F.lit(0))
+
+    def pushed(df: DataFrame) -> DataFrame:
+        """The rows that come in time, then one far ahead, which moves the watermark, then the late ones."""
+        last = df.where("turn = 0").agg(F.max_by(F.struct(*df.columns), "create_time").alias("r")).select("r.*")
+        ahead = last.withColumn("id", F.lit(PROBE).cast(df.schema["id"].dataType)).withColumn("turn", F.lit(1)).withColumn(
+            "create_time", F.timestamp_add("DAY", F.lit(3650), F.col("create_time")))
+        return df.unionByName(ahead)
+
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        for turn in range(3):  # a run each, as the watermark of a batch drops rows of the next
+            part = {"slices": 3, "bounds": (0, 2), "first": turn, "last": turn + 1}
+            o_schema = stage_by_time(pushed(orders), "turn", f"{root}/o", **part)
+            d_schema = stage_by_time(pushed(lines), "turn", f"{root}/d", **part)
+            joined = join_wide_stream(stream_of(spark, o_schema, f"{root}/o"), stream_of(spark, d_schema, f"{root}/d"), dedup_delay=None)
+            late.wait(run_available(joined, f"{root}/ckpt", path=f"{root}/out"))
+    finally:
+        spark.streams.removeListener(late)
+    return late.rows(spark).agg(F.sum("dropped").alias("dropped"))
 
 
 @_register_same("stream_wide_outputs", "order_pay_split")

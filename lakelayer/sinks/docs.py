@@ -20,20 +20,26 @@ DAY_COL = "day"
 BATCH_COL = "batch_id"
 
 
+def daily_docs(df: DataFrame, day: str, doc_id: str, order: Sequence[str]) -> DataFrame:
+    """``df`` with its day and document id; the last row per (day, id) by ``order``."""
+    staged = df.withColumn(DAY_COL, F.col(day).cast("string")).withColumn("_doc_id", F.col(doc_id).cast("string"))
+    return latest_per_key(staged, [DAY_COL, "_doc_id"], order)
+
+
 def write_daily_docs(df: DataFrame, day: str, doc_id: str, path: str, batch_id: int, order: Sequence[str]) -> None:
     """Write one batch of documents; within the batch the last row per (day, id) by ``order`` wins.
 
     A replayed batch replaces what it wrote before, also where it has no rows for a day now.
     """
-    staged = df.withColumn(DAY_COL, F.col(day).cast("string")).withColumn(
-        "_doc_id", F.col(doc_id).cast("string")
-    ).withColumn(BATCH_COL, F.lit(int(batch_id)).cast("bigint"))
-    staged = latest_per_key(staged, [DAY_COL, "_doc_id"], order)
-    replace_batch(staged, path, BATCH_COL, batch_id, [DAY_COL])
+    replace_batch(daily_docs(df, day, doc_id, order), path, BATCH_COL, batch_id, [DAY_COL])
 
 
-def read_daily_docs(spark: SparkSession, path: str) -> DataFrame:
+def latest_docs(docs: DataFrame) -> DataFrame:
     """The current documents: latest batch per (day, id)."""
-    docs = spark.read.parquet(path).withColumn(DAY_COL, F.col(DAY_COL).cast("string"))
     latest = latest_per_key(docs, [DAY_COL, "_doc_id"], [BATCH_COL])
     return latest.drop("_doc_id", BATCH_COL)
+
+
+def read_daily_docs(spark: SparkSession, path: str) -> DataFrame:
+    """The current documents of an index folder."""
+    return latest_docs(spark.read.parquet(path).withColumn(DAY_COL, F.col(DAY_COL).cast("string")))

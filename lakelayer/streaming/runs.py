@@ -9,10 +9,12 @@ exactly once.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 # Fixed value: the warehouse's batch interval.
 BATCH_INTERVAL = "5 seconds"
@@ -58,3 +60,40 @@ def finish(q: StreamingQuery) -> StreamingQuery:
     if err is not None:
         raise RuntimeError(f"streaming query failed: {err}")
     return q
+
+
+class LateRows(StreamingQueryListener):
+    """Counts, by query and batch, the rows that stateful operators dropped as older than the watermark (H3).
+
+    Register with ``spark.streams.addListener`` before the query starts. ``rows`` gives the counts
+    as a table, a row a batch that dropped any, with the batch's watermark.
+    """
+
+    def __init__(self) -> None:
+        self.counts: dict[tuple[str, int], tuple[int, str]] = {}
+        self.ended: set[str] = set()  # run ids
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        dropped = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        if dropped:
+            self.counts[str(p.id), p.batchId] = (dropped, p.eventTime.get("watermark", ""))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def wait(self, query: StreamingQuery, seconds: float = 30.0) -> None:
+        """Until the events of a run that has ended are all here (they come a little later)."""
+        until = time.monotonic() + seconds
+        while str(query.runId) not in self.ended and time.monotonic() < until:
+            time.sleep(0.05)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([(q, b, n, w) for (q, b), (n, w) in sorted(self.counts.items())],
+                                     "query string, batch_id bigint, dropped bigint, watermark string")

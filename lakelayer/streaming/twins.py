@@ -8,58 +8,81 @@ starts take every row whenever it arrives.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.dates import event_time
+from ..functions.dates import elapsed, event_time, stamp, wallclock_of_epoch_ms
 from ..functions.money import MONEY, exact_sum
 from ..operators.cdc import route_row_feed
-from ..operators.dau import dau_document, dau_first, start_log_calendar
-from ..operators.dims import DIM_SPECS, DimSpec, append_changes, read_dim
+from ..operators.dau import dau_document, start_log_calendar
+from ..operators.dim_store import DimStore
+from ..operators.dims import DIM_SPECS, DimSpec, append_changes
 from ..operators.joins import key_set
 from ..operators.orders import enrich_province, enrich_user, flag_first_order, new_user_status, order_calendar
 from ..operators.split import cents, plain_share
-from ..operators.stats import trademark_stat
+from ..operators.stats import trademark_stat, trademark_total
 from ..operators.wide import detail_side, order_side, wide_columns, window_condition
 from ..session import ensure_state_provider
-from ..sinks.batches import exists, replace_batch
-from ..sinks.docs import write_daily_docs
+from ..sinks.batches import replace_batch
+from ..sinks.docs import daily_docs
+from ..sinks.manifest import Manifest
 from ..sinks.topics import to_topic, write_topics
-from .processors import SPLIT_TTL_MS, FirstOrderProcessor, PaySplitProcessor
+from .processors import (
+    DAY_KEEP_MS,
+    SIGHTING_MS,
+    SPLIT_TTL_MS,
+    FirstOrderProcessor,
+    FirstStartProcessor,
+    PaySplitProcessor,
+    SightingProcessor,
+)
 from .runs import start
 
 # Fixed value: state lifetime of the warehouse's join.
 JOIN_DEDUP_DELAY = "10 minutes"
-DAU_KEYS = "batch_id bigint, day string"
 
 
-def first_seen_stream(df: DataFrame, keys, event_col: str, delay: str) -> DataFrame:
-    """Keep the first arrival per key while the key is within ``delay`` of the watermark (F1, F2)."""
-    return df.withWatermark(event_col, delay).dropDuplicatesWithinWatermark(list(keys))
+def first_starts_stream(logs: DataFrame, zone: str = "UTC", keep_ms: int = DAY_KEEP_MS) -> DataFrame:
+    """The document of each device's first start of a day (F1). The memory is state by device: a day is
+    cleared ``keep_ms`` after its end, and rows as late as that are still judged by it."""
+    ensure_state_provider(logs.sparkSession)
+    wall = wallclock_of_epoch_ms(F.col("ts"), zone)
+    in_day = (elapsed(F.to_date(wall).cast("timestamp_ntz"), wall) * 1000).cast("bigint")
+    flat = start_log_calendar(logs, zone).select(
+        F.col("common.mid").alias("device"), "common", "dt", "hr", "ts", "event_id", (F.col("ts") - in_day + 86_400_000).alias("end_ms"))
+    docs = dau_document(flat, "device", "event_id", "end_ms", F.timestamp_millis(F.col("ts")).alias("at"))
+    first = docs.withWatermark("at", f"{keep_ms} milliseconds").groupBy("device").transformWithStateInPandas(
+        statefulProcessor=FirstStartProcessor(keep_ms), outputStructType=docs.schema, outputMode="Append", timeMode="EventTime")
+    return first.drop("device", "event_id", "end_ms", "at")
 
 
-def run_dau(spark: SparkSession, logs: DataFrame, path: str, checkpoint: str, zone: str = "UTC", **kw) -> StreamingQuery:
-    """First start per (day, device) (F1): the documents of a micro-batch that the daily index at ``path``
-    does not have yet, each batch as partitions of its own.
+def run_dau(spark: SparkSession, logs: DataFrame, path: str, checkpoint: str, zone: str = "UTC",
+            keep_ms: int = DAY_KEEP_MS, **kw) -> StreamingQuery:
+    """First start per (day, device) (F1) into the daily index at ``path``, each batch as partitions of its own.
 
     Inside a batch the least (time, event id) is first, so file order and the number of files do
-    not matter. The index is the memory: only the days of the batch are read, nothing expires and
-    no row is too late.
+    not matter. The memory is state; nothing that was written is read again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        docs = dau_document(dau_first(start_log_calendar(batch, zone)))
-        if exists(spark, path):
-            known = spark.read.schema(f"mid string, {DAU_KEYS}").parquet(path).where(F.col("batch_id") < batch_id)
-            docs = docs.join(known.select(F.col("day").alias("dt"), "mid"), ["dt", "mid"], "left_anti")
-        replace_batch(docs.withColumn("day", F.col("dt")), path, "batch_id", batch_id, ["day"])
+        replace_batch(batch.withColumn("day", F.col("dt")), path, "batch_id", batch_id, ["day"])
 
-    return start(logs, checkpoint, foreach_batch=write, **kw)
+    return start(first_starts_stream(logs, zone, keep_ms), checkpoint, foreach_batch=write, **kw)
+
+
+def once_a_sighting(rows: DataFrame, keys: Sequence[str], time_col: str, keep_ms: int = SIGHTING_MS) -> DataFrame:
+    """Rows whose key was not seen within ``keep_ms`` before (F2), each sighting renewing the memory. ``time_col`` is
+    a timestamp; rows later than ``keep_ms`` are dropped by the watermark. Lines of one order are
+    keys of their own, so an order of any size is spread."""
+    ensure_state_provider(rows.sparkSession)
+    staged = rows.withColumn("at_ms", F.unix_millis(time_col))
+    out = staged.withWatermark(time_col, f"{keep_ms} milliseconds").groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=SightingProcessor(keep_ms), outputStructType=staged.schema, outputMode="Append", timeMode="EventTime")
+    return out.drop("at_ms")
 
 
 def read_dau(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +132,8 @@ def split_payment_stream(wide: DataFrame, ttl_ms: int | None = SPLIT_TTL_MS, ord
 
 def join_wide_stream(orders: DataFrame, details: DataFrame, within_s: int = 20, batch_s: int = 5,
                      delay: str = "20 seconds", dedup_delay: str | None = JOIN_DEDUP_DELAY) -> DataFrame:
-    """Stream-stream join under the sliding-window condition, then one row per (order, line)."""
+    """Stream-stream join under the sliding-window condition, then one row per (order, line) (D6, F2). Rows older
+    than the watermark of the batch before are dropped; ``LateRows`` counts them."""
     o = order_side(orders).withColumn("o__et", event_time(F.col("o_create_time"))).withWatermark("o__et", delay)
     d = detail_side(details).withColumn("d__et", event_time(F.col("d__ts"))).withWatermark("d__et", delay)
     cond = (o.o_order_id == d.d__order_id) & window_condition(o.o__et, d.d__et, within_s, batch_s, instant=True)
@@ -154,53 +178,45 @@ def run_decoded(rows: DataFrame, decode: Callable[[DataFrame], tuple[DataFrame,
     return start(rows, checkpoint, foreach_batch=write, **kw)
 
 
-@dataclass(frozen=True)
-class OrderOutputs:
-    """Where the order job writes: user status log, daily order index, topic folders."""
-
-    root: str
-
-    @property
-    def status(self) -> str:
-        return f"{self.root}/status"
-
-    @property
-    def index(self) -> str:
-        return f"{self.root}/index"
-
-    @property
-    def topics(self) -> str:
-        return f"{self.root}/topics"
+STATUS = DIM_SPECS["user_status"]
 
 
-STATUS = DIM_SPECS["user_status"]
+def status_store(spark: SparkSession, root: str) -> DimStore:
+    """The user status of the order job at ``root``."""
+    return DimStore(spark, STATUS, f"{root}/status")
 
 
-def run_orders(spark: SparkSession, orders: DataFrame, provinces: DataFrame, users: DataFrame, out: OrderOutputs,
-               checkpoint: str, first_batch: int = 0, **kw) -> StreamingQuery:
-    """The order job (H8): calendar, first-order flag against the status log, province and user columns;
+def run_orders(spark: SparkSession, orders: DataFrame, provinces: DataFrame, users: DataFrame, root: str,
+               checkpoint: str, first_batch: int = 0, compact_every: int = 100,
+               written: Callable[[str], None] = lambda name: None, **kw) -> StreamingQuery:
+    """The order job (H8): calendar, first-order flag against the user status, province and user columns;
     then, from one persisted batch, new user status, the order index and the topic.
 
-    The status log is the memory of first orders, so a new run, also one with a new checkpoint,
-    knows the users of earlier runs; it gives its batches numbers from ``first_batch`` on. Each
-    output keeps a batch apart, and a repeated batch reads the status as it was before itself.
+    Index and topic become visible together, by the manifest at ``root``. The status store is the
+    memory of first orders, so a new run, also one with a new checkpoint, knows the users of
+    earlier runs; it gives its batches numbers from ``first_batch`` on. Only the buckets of the
+    batch's users are read, as they were before the batch, and every ``compact_every`` batches
+    the store is compacted. The status is written before the manifest: a batch that fails in
+    between is repeated, and its status replaced.
     """
+    manifest, store = Manifest(spark, root), status_store(spark, root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         number = first_batch + batch_id
-        o = order_calendar(batch)
-        if exists(spark, out.status):
-            o = flag_first_order(o, read_dim(spark, STATUS, out.status, before=number))
-        else:
-            o = flag_first_order(o)
-        o = enrich_user(enrich_province(o, provinces), users).persist()
+        if manifest.committed(number):
+            return
+        known = store.read(batch.select("user_id"), before=number)
+        o = enrich_user(enrich_province(flag_first_order(order_calendar(batch), known), provinces), users).persist()
         try:
-            new = new_user_status(o).withColumn("position", F.lit(0))
-            append_changes(new, STATUS, out.status, number, "position")
-            write_daily_docs(o, "create_date", "id", out.index, number, order=["create_time"])
-            write_topics(to_topic(o, "dwd_order_info", key="id"), path=out.topics, fmt="parquet", batch_id=number)
+            store.append(new_user_status(o).withColumn("position", F.lit(0)), number, "position")
+            written("status")
+            manifest.write(number, lambda: {
+                "index": daily_docs(o, "create_date", "id", ["create_time"]),
+                "topics": to_topic(o, "dwd_order_info", key="id")}, written=written)
         finally:
             o.unpersist()
+        if number % compact_every == 0:
+            store.compact(number)
 
     return start(orders, checkpoint, foreach_batch=write, **kw)
 
@@ -240,15 +256,44 @@ def run_dim(spark: SparkSession, spec: DimSpec, source: DataFrame, path: str, ch
     return start(source, checkpoint, foreach_batch=write, **kw)
 
 
-def enrich_stream(details: DataFrame, snapshot: Callable[[], DataFrame], path: str, checkpoint: str,
+def run_dim_store(store: DimStore, source: DataFrame, checkpoint: str, order_col: str, compact_every: int = 100, keep: int = 1,
+                  **kw) -> StreamingQuery:
+    """Upsert a dimension stream into a keyed store (H9, A8), compacted between its batches."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % compact_every == 0:
+            store.compact(batch_id, keep)  # the batches before this one are done
+        store.append(batch, batch_id, order_col)
+
+    return start(source, checkpoint, foreach_batch=write, **kw)
+
+
+def enrich_stream(details: DataFrame, snapshot: Callable[[DataFrame, int], DataFrame], path: str, checkpoint: str,
                   enrich: Callable[[DataFrame, DataFrame], DataFrame], **kw) -> StreamingQuery:
-    """Stream-static join inside ``foreachBatch``: the dimension snapshot is re-read each batch (H5).
+    """Stream-static join inside ``foreachBatch``: ``snapshot`` gives the dimension for a batch and its number (H5).
 
     Each batch replaces its own output folder, so a replayed batch is not doubled.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = enrich(batch, snapshot())
+        out = enrich(batch, snapshot(batch, batch_id))
         replace_batch(out, path, "batch_id", batch_id)
 
     return start(details, checkpoint, foreach_batch=write, **kw)
+
+
+def run_timed_totals(spark: SparkSession, wide: DataFrame, root: str, checkpoint: str,
+                     clock: Callable[[], str] | None = None, written: Callable[[str], None] = lambda name: None,
+                     **kw) -> StreamingQuery:
+    """Amount per trademark of each batch with the batch's time (H1, B16): one time for all rows of a batch, that of
+    its first attempt. ``clock`` gives the time as text; without it, the session's wall clock."""
+    manifest = Manifest(spark, root)
+    now = clock or (lambda: spark.range(1).select(stamp()).first()[0])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if manifest.committed(batch_id):
+            return
+        at = manifest.begin(batch_id, now())
+        manifest.write(batch_id, lambda: {"totals": trademark_total(batch).withColumn("stat_time", F.lit(at))}, at, written)
+
+    return start(wide, checkpoint, foreach_batch=write, **kw)
