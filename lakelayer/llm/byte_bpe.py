@@ -7,7 +7,7 @@ One pass over the documents, without a shuffle of their texts. Three steps follo
    becomes one row: the words that the task has not met before, and per document the numbers
    of its words.
 2. Fold (column expressions). ``transform`` over the array of distinct words; each word is an
-   array of bytes, one character a piece, held as a text. ``aggregate`` folds the ranked
+   array of bytes, one character a piece, held as a text, with the ranks of its byte pairs. ``aggregate`` folds the ranked
    merges over it: a step joins the neighbours of the lowest rank, leftmost first, and looks
    up the two pairs that arise. Ranks come from a literal map of the vocabulary, dealt over
    buckets so that a lookup reads some entries and not all. A word of more than ``LONG``
@@ -54,6 +54,7 @@ LONG = 96  # pieces; a longer word joins many places in a step
 FREQUENT = 1 << 18  # words folded once for all tasks
 SAMPLE = 16384  # documents whose words these are, about
 WORD_BYTES = 64  # of such a word, at most
+_START = pa.struct([("p", pa.string()), ("r", pa.string())])
 SPARK_SEED = 42  # of Spark's xxhash64
 _FIRST = 0x1000  # piece i is the character _FIRST + i, below the surrogates
 _APART = "\0"
@@ -163,6 +164,23 @@ def _stretch():
     return regex.compile(r"\s*\S+|\s+")
 
 
+class Starts:
+    """A word as the fold begins with it: its bytes as pieces, and the rank of each with the next one."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        char = {b: chr(_FIRST + ranks[bytes([b])]) for b in range(256)}
+        self.pieces = str.maketrans({chr(b): c for b, c in char.items()})
+        self.ranks = {char[p[0]] + char[p[1]]: chr(_FIRST + r) for p, r in ranks.items() if len(p) == 2}
+
+    def __call__(self, words: list[str]) -> pa.StructArray:
+        ps, rs, rank = [], [], self.ranks.get
+        for w in words:
+            p = w.encode().decode("latin-1").translate(self.pieces)
+            ps.append(f"{_NONE}{p}{_NONE}")
+            rs.append(_NONE + "".join([rank(p[i: i + 2], _NONE) for i in range(len(p) - 1)]) + _NONE + _NONE)
+        return pa.StructArray.from_arrays([pa.array(ps, pa.string()), pa.array(rs, pa.string())], ["p", "r"])
+
+
 class _Cutter:
     """Texts to numbers of words. A stretch met before is not cut again."""
 
@@ -215,7 +233,8 @@ def _counts(batches: Iterator[pa.RecordBatch], expression: str) -> Iterator[pa.R
         yield pa.RecordBatch.from_pydict({"word": pa.array(n, pa.string()), "n": pa.array(n.values(), pa.int64())})
 
 
-def _cut(batches: Iterator[pa.RecordBatch], expression: str, known: dict[str, int], out_type: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], expression: str, known: dict[str, int], starts: Starts,
+         out_type: pa.Schema) -> Iterator[pa.RecordBatch]:
     cut, again = _Cutter(expression, known), True
     for b in batches:
         rows = texts(b)
@@ -229,7 +248,8 @@ def _cut(batches: Iterator[pa.RecordBatch], expression: str, known: dict[str, in
             yield pa.RecordBatch.from_arrays([
                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                 pa.array([codes.tobytes()], pa.binary()), pa.array([ends.tobytes()], pa.binary()),
-                pa.array([again]), pa.array([list(cut.fresh)], pa.list_(pa.string()))], schema=out_type)
+                pa.array([again]), pa.ListArray.from_arrays(pa.array([0, len(cut.fresh)], pa.int32()), starts(cut.fresh))],
+                schema=out_type)
             again = False
 
 
@@ -291,23 +311,23 @@ def _join_all(s: Column, best: Column, rank: Lookup) -> Column:
     return let(F.replace(s["p"], pair, best), lambda q: F.struct(q.alias("p"), _ranks_of(q, rank).alias("r")))
 
 
-def fold(word: Column, rank: Lookup, byte_pieces: str) -> Column:
-    """The ids of one word (an array of int)."""
-    data = F.decode(word.cast("binary"), "ISO-8859-1")  # a character a byte
-    pieces = F.translate(data, "".join(map(chr, range(256))), byte_pieces)
-    start = let(F.concat(F.lit(_NONE), pieces, F.lit(_NONE)), lambda p: F.struct(p.alias("p"), _ranks_of(p, rank).alias("r")))
+def fold(start: Column, rank: Lookup) -> Column:
+    """The ids of one word (an array of int), given as ``Starts`` gives it."""
+    least = lambda s: F.array_min(F.split(s["r"], ""))
+
+    def one(s: Column, _: Column) -> Column:
+        return let(least(s), lambda best: F.when(best == _NONE, s).otherwise(_join_one(s, best, rank)))
 
-    def step(s: Column, _: Column) -> Column:
-        def go(best: Column) -> Column:
-            many = lambda: let(_join_all(s, best, rank), lambda t: F.when(
-                F.array_min(F.split(t["r"], "")) < best, _join_one(s, best, rank)).otherwise(t))
-            return F.when(best == _NONE, s).when(F.length(s["p"]) <= LONG, _join_one(s, best, rank)).otherwise(many())
+    def many(s: Column, _: Column) -> Column:
+        return let(least(s), lambda best: F.when(best == _NONE, s).otherwise(let(_join_all(s, best, rank), lambda t: F.when(
+            least(t) < best, _join_one(s, best, rank)).otherwise(t))))
 
-        return let(F.array_min(F.split(s["r"], "")), go)
+    def ids(s: Column) -> Column:
+        return F.transform(F.split(F.substring(s["p"], F.lit(2), F.length(s["p"]) - 2), ""), lambda c: F.ascii(c) - _FIRST)
 
-    ids = lambda s: F.transform(F.split(F.substring(s["p"], F.lit(2), F.length(s["p"]) - 2), ""),
-                                lambda c: F.ascii(c) - _FIRST)
-    return F.aggregate(F.sequence(F.lit(2), F.greatest(F.octet_length(word), F.lit(2))), start, step, ids)
+    size = F.length(start["p"])
+    steps = F.sequence(F.lit(1), F.greatest(size - 3, F.lit(1)))  # a word of n bytes is joined n - 1 times at most
+    return F.when(size <= LONG, F.aggregate(steps, start, one, ids)).otherwise(F.aggregate(steps, start, many, ids))
 
 
 # ------------------------------------------------------------------ ids
@@ -359,33 +379,37 @@ def encode_documents(docs: DataFrame, path: str | None = None, expression: str |
     pairs = pair_ranks(ranks)
     chars = {r: chr(_FIRST + r) for r in ranks.values()}
     rank_map = LiteralMap({chars[a] + chars[b]: chars[r] for (a, b), r in pairs.items()})
-    byte_pieces = "".join(chars[ranks[bytes([b])]] for b in range(256))
     if unreachable(ranks, pairs):
         raise ValueError("the vocabulary holds pieces that no merges give")
-    pieces = Pieces(ranks)
+    pieces, starts = Pieces(ranks), Starts(ranks)
 
     rows = docs.select("doc_id", "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
     arrow_id = rows.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
     cut_schema = pa.schema([("doc_ids", pa.list_(arrow_id)), ("codes", pa.binary()), ("ends", pa.binary()),
-                            ("again", pa.bool_()), ("fresh", pa.list_(pa.string()))])
+                            ("again", pa.bool_()), ("fresh", pa.list_(_START))])
     out_schema = pa.schema([("doc_id", arrow_id), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
 
-    def folded(words: str) -> Column:
-        return rank_map.bound(lambda rank: F.transform(words, lambda w: fold(w, rank, byte_pieces)))
+    def folded(words: Column) -> Column:
+        return rank_map.bound(lambda rank: F.transform(words, lambda w: fold(w, rank)))
+
+    def started(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("word"), starts(b.column("word").to_pylist())], ["word", "start"])
 
     sample = rows.sample(min(1.0, SAMPLE / max(rows.count(), 1)), seed=0)
     counted = sample.mapInArrow(lambda it: _counts(it, expression), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(FREQUENT).repartition(shuffle_partitions(spark))
-    frequent = top.select("word", folded(F.array("word"))[0].alias("ids")).toArrow()
+    top = counted.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").repartition(shuffle_partitions(spark))
+    top = top.mapInArrow(started, "word string, start struct<p:string,r:string>")
+    frequent = top.select("word", folded(F.array("start"))[0].alias("ids")).toArrow()
     lengths = frequent["ids"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False) if frequent.num_rows else []
     first = spark.sparkContext.broadcast((
         {w: i for i, w in enumerate(frequent["word"].to_pylist())},
         (np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), np.array(frequent["ids"].combine_chunks().flatten(), np.int32))))
 
-    cut = rows.mapInArrow(lambda it: _cut(it, expression, first.value[0], cut_schema),
-                          f"doc_ids array<{id_type}>, codes binary, ends binary, again boolean, fresh array<string>")
-    return cut.withColumn("fresh", folded("fresh")).mapInArrow(
+    cut = rows.mapInArrow(lambda it: _cut(it, expression, first.value[0], starts, cut_schema),
+                          f"doc_ids array<{id_type}>, codes binary, ends binary, again boolean, fresh array<struct<p:string,r:string>>")
+    return cut.withColumn("fresh", folded(F.col("fresh"))).mapInArrow(
         lambda it: _put_together(it, pieces, first.value[1], out_schema), f"doc_id {id_type}, ids array<int>, decoded binary")
 
 

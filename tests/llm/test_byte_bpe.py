@@ -61,7 +61,8 @@ def test_the_first_step_begins_anew(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": ["a b", None, "a c d e", "a b"]})
     schema = pa.schema([("doc_ids", pa.list_(pa.int64())), ("codes", pa.binary()), ("ends", pa.binary()), ("again", pa.bool_()),
                         ("fresh", pa.list_(pa.string()))])
-    got = [r for b in byte_bpe._cut(iter([batch]), byte_bpe.pattern(), {"a": 0}, schema) for r in b.to_pylist()]
+    starts = lambda words: pa.array(words, pa.string())
+    got = [r for b in byte_bpe._cut(iter([batch]), byte_bpe.pattern(), {"a": 0}, starts, schema) for r in b.to_pylist()]
     assert [(r["doc_ids"], np.frombuffer(r["codes"], np.int32).tolist(), np.frombuffer(r["ends"], np.int64).tolist(), r["again"], r["fresh"])
             for r in got] == [([1, 2], [0, 1], [2, 2], True, [" b"]), ([3], [0, 2, 3, 4], [4], False, [" c", " d", " e"]),
                               ([4], [0, 1], [2], True, [" b"])]
