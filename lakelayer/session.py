@@ -30,8 +30,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # No broadcast on the planner's size estimate (compressed file size); joins
-    # broadcast only after a row-count check (operators.joins) or when AQE has
-    # measured the materialized side.
+    # broadcast only when AQE has measured the materialized side.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import elapsed, event_time, stamp, wallclock_of_epoch_ms
 from ..functions.money import MONEY, exact_sum
-from ..operators.cdc import route_row_feed
+from ..operators.cdc import route_row_feed, unreadable
 from ..operators.dau import dau_document, start_log_calendar
 from ..operators.dim_store import DimStore
 from ..operators.dims import DIM_SPECS, DimSpec, append_changes
@@ -238,10 +238,12 @@ def run_wide(wide: DataFrame, path: str, checkpoint: str, ttl_ms: int | None = S
 
 def run_ods(feed: DataFrame, path: str, checkpoint: str, route: Callable[[DataFrame], DataFrame] = route_row_feed,
             **kw) -> StreamingQuery:
-    """The ODS job: a change feed routed to one topic per table, each batch in folders of its own."""
+    """The ODS job: a change feed routed to one topic per table, each batch in folders of its own.
+    Messages that are not a JSON object go to ``<path>-unreadable``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_topics(route(batch), path=path, fmt="parquet", batch_id=batch_id)
+        replace_batch(unreadable(batch).select("value"), f"{path}-unreadable", "batch_id", batch_id)
 
     return start(feed, checkpoint, foreach_batch=write, **kw)
 
