@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 
 import corpus_pipeline
-from lakelayer.llm import (decontaminate, exact_dedup, language_id, lm_score, near_dup, pieces, pii, quality, sharding,
-                           substring_dedup)
+from lakelayer.llm import (byte_bpe, decontaminate, exact_dedup, language_id, lm_score, merkle, near_dup, pieces, pii, quality,
+                           sharding, substring_dedup)
 
 
 @pytest.fixture(scope="module")
@@ -34,11 +34,13 @@ def operators(spark, sf):
         "exact_dedup": exact_dedup.exact_dedup,
         "language_id": lambda d: language_id.identify(d, language_id.learn_dictionaries(d)),
         "decontaminate": lambda d: decontaminate.find_leaks(d, benchmark),
+        "merkle": merkle.manifest,
+        "byte_bpe": byte_bpe.encode_documents,
     }
 
 
 NAMES = ["pii", "sharding", "lm_score", "near_dup", "pieces", "substring_dedup", "quality", "exact_dedup", "language_id",
-         "decontaminate"]
+         "decontaminate", "merkle", "byte_bpe"]
 
 
 @pytest.mark.parametrize("name", NAMES)
