@@ -242,7 +242,7 @@ def sanitisation_spans(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, ``base`` and ``added`` (arrays of kind, s, e); added
     kinds are ``generalise`` and ``remove``."""
     near = saved(find_contexts(docs), "pii")
-    pairs = disclosing_pairs(near, term_counts(docs))
+    pairs = disclosing_pairs(near, saved(term_counts(docs), "pii"))  # counted once, used twice
     # 'remove' sorts last
     terms = saved(pairs.groupBy("term").agg(F.max("action").alias("kind")), "pii")
     found = saved(find_entities(docs, slots_of(terms)).withColumn("row", F.monotonically_increasing_id()), "pii")
