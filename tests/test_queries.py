@@ -24,7 +24,7 @@ def test_every_query_has_reference_sql():
     assert set(QUERIES) == set(ORACLE) <= set(E.queries())
 
 
-WRITES = ("cdc_topic_counts", "daily_doc_index", "dim_scan")  # what they write is read back
+WRITES = ("cdc_topic_counts", "daily_doc_index", "dim_scan", "dim_lookup_keyed")  # what they write is read back
 
 
 @pytest.mark.parametrize("key", sorted(k for k in QUERIES if not k.startswith(("stream_", "src_topic")) and k not in (
