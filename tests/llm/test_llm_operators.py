@@ -80,6 +80,63 @@ def test_lm_scores(documents, order):
         assert got[d][:4] == want[d][:4] and got[d][4:] == pytest.approx(want[d][4:], abs=1e-6)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lm_automaton_walked_arc_by_arc(order):
+    """States, arcs and failure arcs against the formula, for learned and unknown words; pieces stand where whole texts do."""
+    import math
+    from collections import Counter
+
+    import numpy as np
+
+    rnd = random.Random(order)
+    learned = [" ".join(rnd.choice("abcde") for _ in range(rnd.randint(0, 12))) for _ in range(40)]
+    asked = learned[:5] + ["", "z", "a z b a b c", "a b c d e " * 300]
+    seen = Counter()
+    for t in learned:
+        w = ["<s>", *t.split(), "</s>"]
+        for k in range(1, order + 1):
+            seen.update(tuple(w[i - k + 1:i + 1]) for i in range(max(1, k - 1), len(w)))
+    tokens = lm_score.Tokens(asked, order)
+    told = [np.zeros(len(g), np.int64) for g in tokens.grams]
+    everything = [w for t in asked for w in [*t.split(), "</s>"]]
+    place = np.arange(len(everything)) - np.repeat(tokens.heads, tokens.sizes)
+    for k in range(1, order + 1):
+        for i in np.flatnonzero(tokens.there[k - 1]):
+            gram = ["<s>"] * int(place[i] == k - 2) + everything[max(i - k + 1, i - place[i]):i + 1]
+            told[k - 1][tokens.which[k - 1][i]] = seen[tuple(gram)]
+    n, v, prior = sum(c for g, c in seen.items() if len(g) == 1), sum(len(g) == 1 for g in seen), 7.0
+    machine = lm_score.Automaton(tokens, told, n, v, prior)
+    seen[("<s>",)] = len(learned)
+
+    def share(history, word):
+        p = (seen[(word,)] + 0.5) / (n + 0.5 * (v + 1))
+        for k in range(1, len(history) + 1):
+            p = (seen[(*history[-k:], word)] + prior * p) / (seen[tuple(history[-k:])] + prior)
+        return p
+
+    arcs = dict(zip(machine.key.tolist(), zip(machine.weight.tolist(), machine.to.tolist())))
+    assert len(arcs) == len(machine.key)
+    history_of, failed = {}, 0  # a state stands for one history, however it is reached
+    at, whole = 0, machine.traverse(tokens)
+    for t in asked:
+        state, before = machine.begin, ["<s>"]
+        for w in [*t.split(), "</s>"]:
+            longest = next((tuple(before[-k:]) for k in range(min(order - 1, len(before)), 0, -1) if seen[tuple(before[-k:])]), ())
+            assert history_of.setdefault(state, longest) == longest
+            weight, word = 0.0, int(tokens.which[0][at])
+            while state * machine.words + word not in arcs:
+                weight, state, failed = weight + machine.fail_weight[state], int(machine.fail[state]), failed + 1
+            arc, state = arcs[state * machine.words + word]
+            want = math.log10(share(before[-(order - 1):] if order > 1 else [], w))
+            assert weight + arc == pytest.approx(want, abs=1e-9) and whole[at] == pytest.approx(want, abs=1e-9)
+            before.append(w)
+            at += 1
+        assert state == machine.begin
+    assert at == len(whole) and (failed > 0) == (order > 1) and len(set(history_of.values())) == len(history_of)
+    for piece in (1, 2, 7, 10_000):
+        assert np.array_equal(machine.traverse(tokens, piece), whole)
+
+
 def test_encoding_is_the_library_s(documents):
     import sentencepiece
 
