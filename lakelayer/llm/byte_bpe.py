@@ -32,19 +32,19 @@ from __future__ import annotations
 
 import base64
 import json
-from collections import Counter
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
-from .arrow import gather, prepare, texts
+from .arrow import gather, prepare
 from .registry import register, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -58,7 +58,9 @@ _START = pa.struct([("p", pa.string()), ("r", pa.string())])
 SPARK_SEED = 42  # of Spark's xxhash64
 _FIRST = 0x1000  # piece i is the character _FIRST + i, below the surrogates
 _APART = "\0"
-_DOUBLE = ("  ", " \n", "\n ", "\n\n")
+#: Texts that are empty, begin or end with white space, hold two of it in a row, or other than blanks and line feeds.
+_UNEVEN = (r"\A\z|\A[ \n]|[ \n]\z|[ \n][ \n]|[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+           r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 _NONE = "퟿"  # no piece, no rank; above all others
 
 
@@ -146,15 +148,24 @@ class _Numbers(dict):
         return n
 
 
-def stretches(text: str) -> list[str]:
-    """``text`` in pieces that each begin with white space, or with the text. No match of the pattern reaches
-    from a character over the white space after it, so the pieces can be cut on their own."""
-    if _APART not in text and not any(double in text for double in _DOUBLE):
-        parts = text.replace(" ", _APART + " ").replace("\n", _APART + "\n").split(_APART)
-        words = text.split()
-        if len(parts) == len(words) and sum(map(len, words)) + len(parts) - 1 == len(text):  # no other white space
-            return parts
-    return _stretch().findall(text)
+def stretches(rows: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    """(distinct stretches, number of each stretch of all texts, running end of each text). A stretch begins
+    with white space, or with the text. No match of the pattern reaches from a character over the white space
+    after it, so stretches can be cut on their own."""
+    plain = pc.invert(pc.match_substring_regex(rows, _UNEVEN))
+    marked = rows.filter(plain)
+    for white in " \n":
+        marked = pc.replace_substring(marked, white, _APART + white)
+    cut = pc.split_pattern(marked, _APART)
+    odd = pa.array(map(_stretch().findall, rows.filter(pc.invert(plain)).to_pylist()), pa.list_(pa.string()))
+    both = pa.concat_arrays([cut.flatten(), odd.flatten()]).dictionary_encode()
+    sizes = pa.concat_arrays([cut.value_lengths(), odd.value_lengths()]).to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    place = np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")  # the plain texts came first
+    which = np.empty(len(place), np.int64)
+    which[place] = np.arange(len(place))
+    numbers, ends = gather(both.indices.to_numpy(zero_copy_only=False), starts, which)
+    return both.dictionary, numbers, ends
 
 
 @cache
@@ -182,7 +193,8 @@ class Starts:
 
 
 class _Cutter:
-    """Texts to numbers of words. A stretch met before is not cut again."""
+    """Texts to numbers of words. A stretch met before is not cut again; the words known at first, which the
+    pattern leaves whole, are stretches as well."""
 
     def __init__(self, expression: str, known: dict[str, int]) -> None:
         self.words_of, self.known = word_pattern(expression).findall, known
@@ -191,22 +203,26 @@ class _Cutter:
     def begin(self) -> None:
         self.fresh: list[str] = []  # words that are new since they were last taken
         self.words = _Numbers(self.known, lambda w: self.fresh.append(w))
-        self.codes: list[int] = []  # numbers of the words of all stretches met
-        self.ends: list[int] = [0]
-        self.whole = _Numbers({}, self._cut)
+        self.codes = array("i", range(len(self.known)))  # numbers of the words of all stretches met
+        self.ends = array("q", range(len(self.known) + 1))
+        self.whole = _Numbers(self.known, self._cut)
+
+    def full(self) -> bool:
+        return len(self.whole) - len(self.known) > KEPT
 
     def _cut(self, stretch: str) -> None:
         words = self.words
-        self.codes += [words[w] for w in self.words_of(stretch)]
+        self.codes.extend([words[w] for w in self.words_of(stretch)])
         self.ends.append(len(self.codes))
 
-    def __call__(self, rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, rows: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the words of all rows, running end of each row)."""
+        distinct, numbers, row_ends = stretches(rows)
         whole = self.whole
-        parts = [[whole[s] for s in stretches(t)] for t in rows]
-        which = np.fromiter(chain.from_iterable(parts), np.int64)
-        codes, ends = gather(np.array(self.codes, np.int32), np.array(self.ends, np.int64), which)
-        return codes, np.concatenate([[0], ends])[np.cumsum([len(p) for p in parts])].astype(np.int64)
+        met = np.array([whole[s] for s in distinct.to_pylist()], np.int64)
+        # copies: the arrays could not grow while numpy looks at them
+        codes, ends = gather(np.array(self.codes, np.int32), np.array(self.ends, np.int64), met[numbers])
+        return codes, np.concatenate([[0], ends])[row_ends].astype(np.int64)
 
 
 def _chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
@@ -221,14 +237,18 @@ def _chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def _texts(column: pa.Array) -> pa.StringArray:
+    return column.cast(pa.string()).fill_null("")
+
+
 def _counts(batches: Iterator[pa.RecordBatch], expression: str) -> Iterator[pa.RecordBatch]:
     words_of = word_pattern(expression).findall
     for b in batches:
-        whole = Counter(s for t in texts(b) for s in stretches(t))
-        n: Counter[str] = Counter()
-        for s, k in whole.items():
+        distinct, numbers, _ = stretches(_texts(b.column("text")))
+        n: dict[str, int] = {}
+        for s, k in zip(distinct.to_pylist(), np.bincount(numbers, minlength=len(distinct)).tolist()):
             for w in words_of(s):
-                n[w] += k
+                n[w] = n.get(w, 0) + k
         n = {w: k for w, k in n.items() if len(w.encode()) <= WORD_BYTES}
         yield pa.RecordBatch.from_pydict({"word": pa.array(n, pa.string()), "n": pa.array(n.values(), pa.int64())})
 
@@ -237,13 +257,13 @@ def _cut(batches: Iterator[pa.RecordBatch], expression: str, known: dict[str, in
          out_type: pa.Schema) -> Iterator[pa.RecordBatch]:
     cut, again = _Cutter(expression, known), True
     for b in batches:
-        rows = texts(b)
-        for x, y in _chunks([len(t) for t in rows]):
-            if len(cut.whole) > KEPT:
+        rows = _texts(b.column("text"))
+        for x, y in _chunks(pc.utf8_length(rows).to_pylist()):
+            if cut.full():
                 cut.begin()
                 again = True
             cut.fresh.clear()
-            codes, ends = cut(rows[x:y])
+            codes, ends = cut(rows.slice(x, y - x))
             ids = b.column("doc_id").slice(x, y - x)
             yield pa.RecordBatch.from_arrays([
                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
@@ -394,8 +414,10 @@ def encode_documents(docs: DataFrame, path: str | None = None, expression: str |
         return rank_map.bound(lambda rank: F.transform(words, lambda w: fold(w, rank)))
 
     def started(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_of = word_pattern(expression).findall
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("word"), starts(b.column("word").to_pylist())], ["word", "start"])
+            words = [w for w in b.column("word").to_pylist() if words_of(w) == [w]]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), starts(words)], ["word", "start"])
 
     sample = rows.sample(min(1.0, SAMPLE / max(rows.count(), 1)), seed=0)
     counted = sample.mapInArrow(lambda it: _counts(it, expression), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -403,14 +425,14 @@ def encode_documents(docs: DataFrame, path: str | None = None, expression: str |
     top = top.mapInArrow(started, "word string, start struct<p:string,r:string>")
     frequent = top.select("word", folded(F.array("start"))[0].alias("ids")).toArrow()
     lengths = frequent["ids"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False) if frequent.num_rows else []
-    first = spark.sparkContext.broadcast((
-        {w: i for i, w in enumerate(frequent["word"].to_pylist())},
-        (np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), np.array(frequent["ids"].combine_chunks().flatten(), np.int32))))
+    known = spark.sparkContext.broadcast({w: i for i, w in enumerate(frequent["word"].to_pylist())})
+    known_ids = spark.sparkContext.broadcast((np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64),
+                                              np.array(frequent["ids"].combine_chunks().flatten(), np.int32)))
 
-    cut = rows.mapInArrow(lambda it: _cut(it, expression, first.value[0], starts, cut_schema),
+    cut = rows.mapInArrow(lambda it: _cut(it, expression, known.value, starts, cut_schema),
                           f"doc_ids array<{id_type}>, codes binary, ends binary, again boolean, fresh array<struct<p:string,r:string>>")
     return cut.withColumn("fresh", folded(F.col("fresh"))).mapInArrow(
-        lambda it: _put_together(it, pieces, first.value[1], out_schema), f"doc_id {id_type}, ids array<int>, decoded binary")
+        lambda it: _put_together(it, pieces, known_ids.value, out_schema), f"doc_id {id_type}, ids array<int>, decoded binary")
 
 
 @register("op13_byte_bpe")

@@ -45,11 +45,20 @@ def test_awkward_rows(make_docs, awkward, library):
 
 
 def test_stretches_are_cut_as_the_whole_text():
+    import pyarrow as pa
+
     r = random.Random(5)
     words_of = byte_bpe.word_pattern(byte_bpe.pattern()).findall
-    for _ in range(3000):
-        t = "".join(r.choice("ab1.'  \n\t\x1c\x85\u3000é's") for _ in range(r.randint(0, 12)))
-        assert [w for s in byte_bpe.stretches(t) for w in words_of(s)] == words_of(t), repr(t)
+    made = ["", " ", "a b", " a", "a ", "a\nb\n", "a  b", "x\0y z"]
+    made += ["".join(r.choice("ab1.'  \n\t\x1c\x85\u3000é's\0") for _ in range(r.randint(0, 12))) for _ in range(3000)]
+    for rows in (made, made[:3], ["a b\nc"], []):
+        distinct, numbers, ends = byte_bpe.stretches(pa.array(rows, pa.string()))
+        names, a = distinct.to_pylist(), 0
+        assert len(set(names)) == len(names) and len(ends) == len(rows)
+        for t, b in zip(rows, ends):
+            assert [w for n in numbers[a:b] for w in words_of(names[n])] == words_of(t), repr(t)
+            a = b
+        assert a == len(numbers)
 
 
 def test_the_first_step_begins_anew(monkeypatch):
