@@ -109,6 +109,7 @@ def unreachable(ranks: dict[bytes, int], pairs: dict[tuple[int, int], int]) -> d
 
 # ------------------------------------------------------------------ words
 
+@cache
 def word_pattern(expression: str):
     """``expression`` compiled; characters that the library's Unicode tables do not count as letters or
     digits, but the newer tables here do, are taken out of the classes (both are asked about all)."""
