@@ -6,9 +6,21 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from lakelayer.session import ship_package
+from lakelayer.operators.split import split_payment
+from lakelayer.session import ROCKSDB_PROVIDER, ship_package
+from lakelayer.streaming import staging
 from lakelayer.streaming.runs import finish, run_available
-from lakelayer.streaming.twins import read_dau, read_trademark_stat, run_dau, run_trademark_stat, split_payment_stream
+from lakelayer.streaming.staging import stage_by_time, stream_of
+from lakelayer.streaming.twins import (
+    USER_BUCKETS,
+    flag_first_order_stream,
+    join_wide_stream,
+    read_dau,
+    read_trademark_stat,
+    run_dau,
+    run_trademark_stat,
+    split_payment_stream,
+)
 
 WIDE = ("order_detail_id long, order_id long, sku_price decimal(18,2), sku_num long, original_total_amount decimal(18,2), "
         "final_total_amount decimal(18,2), final_detail_amount decimal(18,2), tm_id long, tm_name string, create_time string")
@@ -61,3 +73,53 @@ def test_package_is_shipped_once(spark):
     ship_package(spark)
     ship_package(spark)
     assert spark.sparkContext._lakelayer_shipped
+
+
+def test_orders_share_states_and_nulls_split_as_in_the_batch_form(spark, tmp_path):
+    big = (1 << 53) + 1
+    price = lambda i: None if i % 7 == 0 else Decimal(i % 5)
+    rows = [(i, i % 40 if i % 11 else None, price(i), 1, Decimal(8) if i % 40 % 9 else None, Decimal(7) if i % 40 % 13 else None, None,
+             big if i % 3 else None, None, "2024-01-01 00:00:00") for i in range(200)]
+    stream = _batches(spark, str(tmp_path / "in"), [rows], WIDE)
+    run_available(split_payment_stream(stream, ttl_ms=None), str(tmp_path / "c"), path=str(tmp_path / "out"))
+    batch = split_payment(spark.read.parquet(str(tmp_path / "in")))
+    key = lambda r: r["order_detail_id"]
+    assert sorted(spark.read.parquet(str(tmp_path / "out")).collect(), key=key) == sorted(batch.collect(), key=key)
+
+
+def test_users_share_states(spark, tmp_path):
+    orders = [(i, i % 1500, f"2024-01-01 00:{i % 60:02d}:00") for i in range(3000)]
+    stream = _batches(spark, str(tmp_path / "in"), [orders[:2000], orders[2000:]], "id long, user_id long, create_time string")
+    status = spark.createDataFrame([(str(u), "1") for u in range(0, 1500, 5)], "user_id string, if_consumed string")
+    run_available(flag_first_order_stream(stream, status), str(tmp_path / "c"), path=str(tmp_path / "out"))
+    first = {}
+    for part in (orders[:2000], orders[2000:]):
+        here = {}
+        for i, user, at in part:
+            if user % 5 and user not in first:
+                here[user] = min(here.get(user, (at, i)), (at, i))
+        first |= here
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 3000
+    assert {r["id"] for r in got.where("if_first_order = '1'").collect()} == {i for _, i in first.values()}
+    assert spark.read.format("statestore").option("stateVarName", "consumed").load(str(tmp_path / "c")).count() <= USER_BUCKETS
+
+
+def test_a_slice_has_files_for_its_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "FILE_BYTES", 2000)
+    df = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), (F.col("id") * 1000).alias("ts"))
+    schema = stage_by_time(df, "ts", str(tmp_path / "in"))
+    batches = []
+    run_available(stream_of(spark, schema, str(tmp_path / "in")), str(tmp_path / "c"),
+                  foreach_batch=lambda b, n: batches.append(tuple(b.agg(F.min("id"), F.max("id"), F.count("id")).first())))
+    assert batches == [(0, 1999, 2000), (2000, 3999, 2000)]
+    assert len(spark.read.parquet(str(tmp_path / "in" / "files")).inputFiles()) > 4 * staging.FILES
+
+
+def test_the_join_keeps_its_state_on_disk(spark, tmp_path):
+    key, bound = "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    spark.conf.set(bound, "false")
+    source = spark.readStream.schema("id long, order_id long, create_time timestamp_ntz").parquet(str(tmp_path))
+    join_wide_stream(source.drop("order_id"), source)
+    assert spark.conf.get(key) == ROCKSDB_PROVIDER and spark.conf.get(bound) == "true"
