@@ -49,7 +49,7 @@ from .registry import register, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 KEPT = 1 << 20  # distinct stretches between white space a task remembers
-CHUNK = 1 << 22  # characters of text to a row of the first step
+CHUNK = 1 << 20  # characters of text to a row of the first step
 LONG = 96  # pieces; a longer word joins many places in a step
 FREQUENT = 1 << 18  # words folded once for all tasks
 SAMPLE = 16384  # documents whose words these are, about
@@ -333,22 +333,26 @@ def _join_all(s: Column, best: Column, rank: Lookup) -> Column:
 
 
 def fold(start: Column, rank: Lookup) -> Column:
-    """The ids of one word (an array of int), given as ``Starts`` gives it."""
+    """The ids of one word (an array of int), given as ``Starts`` gives it. The state holds the least rank, so
+    that the steps left when a word is done look at nothing."""
     least = lambda s: F.array_min(F.split(s["r"], ""))
 
+    def ranked(s: Column) -> Column:
+        return let(s, lambda t: F.struct(t["p"].alias("p"), t["r"].alias("r"), least(t).alias("best")))
+
     def one(s: Column, _: Column) -> Column:
-        return let(least(s), lambda best: F.when(best == _NONE, s).otherwise(_join_one(s, best, rank)))
+        return F.when(s["best"] == _NONE, s).otherwise(ranked(_join_one(s, s["best"], rank)))
 
     def many(s: Column, _: Column) -> Column:
-        return let(least(s), lambda best: F.when(best == _NONE, s).otherwise(let(_join_all(s, best, rank), lambda t: F.when(
-            least(t) < best, _join_one(s, best, rank)).otherwise(t))))
+        return F.when(s["best"] == _NONE, s).otherwise(let(ranked(_join_all(s, s["best"], rank)), lambda t: F.when(
+            t["best"] < s["best"], ranked(_join_one(s, s["best"], rank))).otherwise(t)))
 
     def ids(s: Column) -> Column:
         return F.transform(F.split(F.substring(s["p"], F.lit(2), F.length(s["p"]) - 2), ""), lambda c: F.ascii(c) - _FIRST)
 
     size = F.length(start["p"])
     steps = F.sequence(F.lit(1), F.greatest(size - 3, F.lit(1)))  # a word of n bytes is joined n - 1 times at most
-    return F.when(size <= LONG, F.aggregate(steps, start, one, ids)).otherwise(F.aggregate(steps, start, many, ids))
+    return F.when(size <= LONG, F.aggregate(steps, ranked(start), one, ids)).otherwise(F.aggregate(steps, ranked(start), many, ids))
 
 
 # ------------------------------------------------------------------ ids
