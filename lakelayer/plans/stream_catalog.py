@@ -27,7 +27,7 @@ from ..sources import fixtures as fx
 from ..sources.decode import decode_start_log
 from ..sources.topics import read_topic
 from ..streaming.runs import LateRows, finish, run_available
-from ..streaming.staging import files_a_slice, folder_bytes, stage_by_time, stream_of, time_bounds
+from ..streaming.staging import files_a_slice, stage_by_time, stream_of, time_bounds
 from ..streaming.twins import (
     enrich_stream,
     flag_first_order_stream,
@@ -51,7 +51,6 @@ from . import warehouse as W
 from .catalog import ORACLE, register, wide_out
 
 PROBE = -1
-RUN_SLICE_BYTES = 128 << 20  # of the orders' columns, compressed, to a batch of the order job
 
 
 def _same_as(batch_key: str) -> str:
@@ -244,7 +243,6 @@ def _order_job(spark: SparkSession, sf_dir: str, fail_after: tuple[str, ...] = (
     infos.write.parquet(f"{root}/orders")
     orders = spark.read.schema(infos.schema).parquet(f"{root}/orders")
     bounds = time_bounds(fx.order_keys(spark, sf_dir), "create_time")
-    parts = min(max(1, folder_bytes(spark, f"{root}/orders") // (2 * RUN_SLICE_BYTES)), 99)  # batches to a run
     left = list(fail_after)
 
     def written(name: str) -> None:
@@ -255,8 +253,7 @@ def _order_job(spark: SparkSession, sf_dir: str, fail_after: tuple[str, ...] = (
     for run in (0, 1):
         where = f"{root}/run{run}"
         # the second run's base is its own copy, as another process would have it
-        schema = stage_by_time(orders, "create_time", where, slices=2 * parts, first=run * parts, last=(run + 1) * parts, bounds=bounds,
-                               own_base=True)
+        schema = stage_by_time(orders, "create_time", where, first=run, last=run + 1, bounds=bounds, own_base=True)
         while True:
             todo = len(left)
             try:

@@ -112,8 +112,7 @@ def stage_by_time(
             row = row.withColumn(c, v.cast(base.schema[c].dataType))
         rows = rows.unionByName(row.withColumn(SLICE, F.lit(slices).cast(rows.schema[SLICE].dataType)))
     # a slice may hold all rows of a copy of few slices; what was dealt first fixes the number for later slices of the path
-    share = max(1, (last - first) // 2) if own_base else 1
-    files = int(write_once(spark, f"{path}/_files", str(max(FILES, -(-folder_bytes(spark, base_path) // share // FILE_BYTES)))))
+    files = int(write_once(spark, f"{path}/_files", str(max(FILES, -(-folder_bytes(spark, base_path) // FILE_BYTES)))))
     text = F.to_json(F.struct(*base.columns))
     dealt = rows.withColumn(FILE, F.pmod(F.xxhash64(text), F.lit(files)))
     dealt.repartition(files * (last - first), SLICE, FILE).write.mode("append").partitionBy(SLICE, FILE).parquet(f"{path}/files")
