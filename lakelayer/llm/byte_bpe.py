@@ -23,8 +23,8 @@ A piece is known by its id, as the rank of a piece is its id. A pair is any two
 bytes together are a piece, as the library looks pairs up by bytes.
 
 Defined cases: a null or empty text has no tokens and decodes to no bytes; null and repeated
-ids are kept; an empty table gives an empty result; extra columns are ignored. A task keeps at
-most ``KEPT`` stretches and then begins anew. A run of equal characters takes few steps, but a run
+ids are kept; an empty table gives an empty result; extra columns are ignored. A task keeps
+``KEPT`` stretches or ``KEPT_BYTES`` of them, as Arrow arrays, and then begins anew. A run of equal characters takes few steps, but a run
 of many thousand random letters without a space or digit takes one for each of its ranks.
 """
 
@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import base64
 import json
-from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -49,6 +48,7 @@ from .registry import register, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 KEPT = 1 << 20  # distinct stretches between white space a task remembers
+KEPT_BYTES = 1 << 26  # of these stretches
 CHUNK = 1 << 20  # characters of text to a row of the first step
 LONG = 96  # pieces; a longer word joins many places in a step
 FREQUENT = 1 << 18  # words folded once for all tasks
@@ -109,18 +109,29 @@ def unreachable(ranks: dict[bytes, int], pairs: dict[tuple[int, int], int]) -> d
 
 # ------------------------------------------------------------------ words
 
+@cache
+def compiled(expression: str):
+    import regex
+
+    return regex.compile(expression, regex.V1)
+
+
 @cache
 def word_pattern(expression: str):
     """``expression`` compiled; characters that the library's Unicode tables do not count as letters or
-    digits, but the newer tables here do, are taken out of the classes (both are asked about all)."""
+    digits, but the newer tables here do, are taken out of the classes (both are asked about all). The driver
+    does this once; tasks compile the pattern it gives."""
     import regex
     import tiktoken
 
-    every = "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
     for name in (r"\p{L}", r"\p{N}"):
         probe = tiktoken.Encoding("probe", pat_str=name, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
-        theirs = set(bytes(probe.encode_ordinary(every)).decode())
-        ours = set(regex.findall(name, every))
+        ours: set[str] = set()
+        theirs: set[str] = set()
+        for start in range(0, 0x110000, 0x10000):
+            some = "".join(chr(i) for i in range(start, start + 0x10000) if not 0xD800 <= i < 0xE000)
+            theirs.update(bytes(probe.encode_ordinary(some)).decode())
+            ours.update(regex.findall(name, some))
         if theirs - ours:
             raise ValueError(f"characters of {name} are unknown here")
         spans: list[list[int]] = []
@@ -133,20 +144,25 @@ def word_pattern(expression: str):
             gone = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans)
             mark = "\0"
             expression = expression.replace(name, mark).replace(f"?{mark}", f"?[{mark}]").replace(mark, f"[{name}--[{gone}]]")
-    return regex.compile(expression, regex.V1)
+    return compiled(expression)
 
 
-class _Numbers(dict):
-    """Keys to numbers; a new key gets the next one and is told to ``new``."""
+def _number(keys: pa.StringArray, known: pa.StringArray) -> tuple[np.ndarray, pa.StringArray]:
+    """(number of each of the distinct ``keys``, those that are new); the new ones follow the known ones. The keys
+    are hashed, not the known ones, which are many."""
+    place = pc.fill_null(pc.index_in(known, value_set=keys), -1).to_numpy(zero_copy_only=False)
+    met = np.flatnonzero(place >= 0)
+    numbers = np.full(len(keys), -1, np.int64)
+    numbers[place[met]] = met
+    new = numbers < 0
+    numbers[new] = len(known) + np.arange(np.count_nonzero(new))
+    return numbers, keys.filter(pa.array(new))
 
-    def __init__(self, known: dict[str, int], new: Callable[[str], None]) -> None:
-        super().__init__(known)
-        self.new = new
 
-    def __missing__(self, key: str) -> int:
-        n = self[key] = len(self)
-        self.new(key)
-        return n
+def _release() -> None:
+    """Give back to the system what Arrow and numpy have freed; a worker lives on after its task, in either step."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
 
 
 def stretches(rows: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
@@ -180,50 +196,59 @@ class Starts:
     """A word as the fold begins with it: its bytes as pieces, and the rank of each with the next one."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
-        char = {b: chr(_FIRST + ranks[bytes([b])]) for b in range(256)}
-        self.pieces = str.maketrans({chr(b): c for b, c in char.items()})
-        self.ranks = {char[p[0]] + char[p[1]]: chr(_FIRST + r) for p, r in ranks.items() if len(p) == 2}
-
-    def __call__(self, words: list[str]) -> pa.StructArray:
-        ps, rs, rank = [], [], self.ranks.get
-        for w in words:
-            p = w.encode().decode("latin-1").translate(self.pieces)
-            ps.append(f"{_NONE}{p}{_NONE}")
-            rs.append(_NONE + "".join([rank(p[i: i + 2], _NONE) for i in range(len(p) - 1)]) + _NONE + _NONE)
-        return pa.StructArray.from_arrays([pa.array(ps, pa.string()), pa.array(rs, pa.string())], ["p", "r"])
+        self.pieces = np.array([_FIRST + ranks[bytes([b])] for b in range(256)], np.int32)
+        self.ranks = np.full((256, 256), ord(_NONE), np.int32)
+        for p, r in ranks.items():
+            if len(p) == 2:
+                self.ranks[p[0], p[1]] = _FIRST + r
+
+    def __call__(self, words: pa.StringArray) -> pa.StructArray:
+        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        data = np.frombuffer(b"".join(pc.cast(words, pa.binary()).to_pylist()), np.uint8)
+        at = np.arange(len(data)) + 2 * np.repeat(np.arange(len(sizes)), sizes) + 1  # _NONE before and after each word
+        ends = np.concatenate([[0], np.cumsum(sizes + 2)])
+        p, r = (np.full(ends[-1], ord(_NONE), np.int32) for _ in range(2))
+        p[at] = self.pieces[data]
+        r[at[:-1]] = np.where(np.diff(at) == 1, self.ranks[data[:-1], data[1:]], ord(_NONE))
+        return pa.StructArray.from_arrays([_of_characters(p, ends), _of_characters(r, ends)], ["p", "r"])
+
+
+def _of_characters(codes: np.ndarray, ends: np.ndarray) -> pa.StringArray:
+    """Texts of characters that take three bytes each (0x800 to 0xFFFF)."""
+    utf8 = np.empty((len(codes), 3), np.uint8)
+    utf8[:, 0], utf8[:, 1], utf8[:, 2] = 0xE0 | codes >> 12, 0x80 | codes >> 6 & 0x3F, 0x80 | codes & 0x3F
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer((3 * ends).astype(np.int32)), pa.py_buffer(utf8))
 
 
 class _Cutter:
     """Texts to numbers of words. A stretch met before is not cut again; the words known at first, which the
-    pattern leaves whole, are stretches as well."""
+    pattern leaves whole, are stretches as well. Stretches and words are looked up by Arrow, all of a chunk at once:
+    kept as Python's texts and numbers they take ten times the memory."""
 
-    def __init__(self, expression: str, known: dict[str, int]) -> None:
-        self.words_of, self.known = word_pattern(expression).findall, known
+    def __init__(self, expression: str, known: pa.StringArray) -> None:
+        self.words_of, self.known = compiled(expression).findall, known
         self.begin()
 
     def begin(self) -> None:
-        self.fresh: list[str] = []  # words that are new since they were last taken
-        self.words = _Numbers(self.known, lambda w: self.fresh.append(w))
-        self.codes = array("i", range(len(self.known)))  # numbers of the words of all stretches met
-        self.ends = array("q", range(len(self.known) + 1))
-        self.whole = _Numbers(self.known, self._cut)
+        self.words = self.whole = self.known
+        self.codes = np.arange(len(self.known), dtype=np.int32)  # numbers of the words of all stretches met
+        self.ends = np.arange(len(self.known) + 1)
 
     def full(self) -> bool:
-        return len(self.whole) - len(self.known) > KEPT
-
-    def _cut(self, stretch: str) -> None:
-        words = self.words
-        self.codes.extend([words[w] for w in self.words_of(stretch)])
-        self.ends.append(len(self.codes))
+        return len(self.whole) - len(self.known) > KEPT or self.whole.nbytes - self.known.nbytes > KEPT_BYTES
 
-    def __call__(self, rows: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of the words of all rows, running end of each row)."""
+    def __call__(self, rows: pa.StringArray) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+        """(numbers of the words of all rows, running end of each row, words that are new)."""
         distinct, numbers, row_ends = stretches(rows)
-        whole = self.whole
-        met = np.array([whole[s] for s in distinct.to_pylist()], np.int64)
-        # copies: the arrays could not grow while numpy looks at them
-        codes, ends = gather(np.array(self.codes, np.int32), np.array(self.ends, np.int64), met[numbers])
-        return codes, np.concatenate([[0], ends])[row_ends].astype(np.int64)
+        met, new = _number(distinct, self.whole)
+        cut = [self.words_of(s) for s in new.to_pylist()]
+        words = pa.array([w for some in cut for w in some], pa.string()).dictionary_encode()
+        own, fresh = _number(words.dictionary, self.words)
+        self.codes = np.concatenate([self.codes, own[words.indices.to_numpy(zero_copy_only=False)].astype(np.int32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(some) for some in cut], dtype=np.int64)])
+        self.whole, self.words = pa.concat_arrays([self.whole, new]), pa.concat_arrays([self.words, fresh])
+        codes, ends = gather(self.codes, self.ends, met[numbers])
+        return codes, np.concatenate([[0], ends])[row_ends].astype(np.int64), fresh
 
 
 def _chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
@@ -243,7 +268,7 @@ def _texts(column: pa.Array) -> pa.StringArray:
 
 
 def _counts(batches: Iterator[pa.RecordBatch], expression: str) -> Iterator[pa.RecordBatch]:
-    words_of = word_pattern(expression).findall
+    words_of = compiled(expression).findall
     for b in batches:
         distinct, numbers, _ = stretches(_texts(b.column("text")))
         n: dict[str, int] = {}
@@ -254,24 +279,24 @@ def _counts(batches: Iterator[pa.RecordBatch], expression: str) -> Iterator[pa.R
         yield pa.RecordBatch.from_pydict({"word": pa.array(n, pa.string()), "n": pa.array(n.values(), pa.int64())})
 
 
-def _cut(batches: Iterator[pa.RecordBatch], expression: str, known: dict[str, int], starts: Starts,
+def _cut(batches: Iterator[pa.RecordBatch], expression: str, known: pa.StringArray, starts: Starts,
          out_type: pa.Schema) -> Iterator[pa.RecordBatch]:
-    cut, again = _Cutter(expression, known), True
+    cut, again = _Cutter(expression, pa.array(known, pa.string())), True
     for b in batches:
         rows = _texts(b.column("text"))
         for x, y in _chunks(pc.utf8_length(rows).to_pylist()):
             if cut.full():
                 cut.begin()
                 again = True
-            cut.fresh.clear()
-            codes, ends = cut(rows.slice(x, y - x))
+            codes, ends, fresh = cut(rows.slice(x, y - x))
             ids = b.column("doc_id").slice(x, y - x)
             yield pa.RecordBatch.from_arrays([
                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                 pa.array([codes.tobytes()], pa.binary()), pa.array([ends.tobytes()], pa.binary()),
-                pa.array([again]), pa.ListArray.from_arrays(pa.array([0, len(cut.fresh)], pa.int32()), starts(cut.fresh))],
+                pa.array([again]), pa.ListArray.from_arrays(pa.array([0, len(fresh)], pa.int32()), starts(fresh))],
                 schema=out_type)
             again = False
+            _release()
 
 
 # ------------------------------------------------------------------ the fold
@@ -333,19 +358,19 @@ def _join_all(s: Column, best: Column, rank: Lookup) -> Column:
 
 
 def fold(start: Column, rank: Lookup) -> Column:
-    """The ids of one word (an array of int), given as ``Starts`` gives it. The state holds the least rank, so
-    that the steps left when a word is done look at nothing."""
-    least = lambda s: F.array_min(F.split(s["r"], ""))
+    """The ids of one word (an array of int), given as ``Starts`` gives it. The state holds the least rank
+    (empty: none), so that the steps left when a word is done look at nothing."""
+    least = lambda s: F.array_min(F.split(F.replace(s["r"], F.lit(_NONE), F.lit("")), ""))
 
     def ranked(s: Column) -> Column:
         return let(s, lambda t: F.struct(t["p"].alias("p"), t["r"].alias("r"), least(t).alias("best")))
 
     def one(s: Column, _: Column) -> Column:
-        return F.when(s["best"] == _NONE, s).otherwise(ranked(_join_one(s, s["best"], rank)))
+        return F.when(s["best"] == "", s).otherwise(ranked(_join_one(s, s["best"], rank)))
 
     def many(s: Column, _: Column) -> Column:
-        return F.when(s["best"] == _NONE, s).otherwise(let(ranked(_join_all(s, s["best"], rank)), lambda t: F.when(
-            t["best"] < s["best"], ranked(_join_one(s, s["best"], rank))).otherwise(t)))
+        return F.when(s["best"] == "", s).otherwise(let(ranked(_join_all(s, s["best"], rank)), lambda t: F.when(
+            (t["best"] != "") & (t["best"] < s["best"]), ranked(_join_one(s, s["best"], rank))).otherwise(t)))
 
     def ids(s: Column) -> Column:
         return F.transform(F.split(F.substring(s["p"], F.lit(2), F.length(s["p"]) - 2), ""), lambda c: F.ascii(c) - _FIRST)
@@ -364,12 +389,13 @@ class Pieces:
         by_id = [b""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             by_id[rank] = piece
-        self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
-        self.starts = np.concatenate([[0], np.cumsum([len(p) for p in by_id])])
+        self.by_id = pa.array(by_id, pa.binary())
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(bytes of all ids, running end after each id)."""
-        return gather(self.bytes, self.starts, ids)
+    def decode(self, ids: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+        """(bytes of all ids, where each id begins, and the end of the last)."""
+        got = self.by_id.take(pa.array(ids))
+        _, ends, data = got.buffers()
+        return data or pa.py_buffer(b""), np.frombuffer(ends, np.int32)[: len(got) + 1] if len(got) else np.zeros(1, np.int32)
 
 
 def _put_together(batches: Iterator[pa.RecordBatch], pieces: Pieces, known: tuple[np.ndarray, np.ndarray], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -387,19 +413,21 @@ def _put_together(batches: Iterator[pa.RecordBatch], pieces: Pieces, known: tupl
             own, ends = gather(ids, starts, codes)
             offsets = np.concatenate([[0], np.concatenate([[0], ends])[text_ends]])
             data, data_ends = pieces.decode(own)
-            data_offsets = np.concatenate([[0], data_ends])[offsets]
+            data_offsets = data_ends[offsets]
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_ids").slice(r, 1).flatten(),
                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(own, pa.int32())),
                 pa.Array.from_buffers(pa.binary(), len(text_ends),
-                                      [None, pa.py_buffer(data_offsets.astype(np.int32)), pa.py_buffer(data)])], schema=schema)
+                                      [None, pa.py_buffer(data_offsets), data])], schema=schema)
+            del codes, text_ends, own, ends, offsets, data, data_ends, data_offsets
+            _release()
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, expression: str | None = None) -> DataFrame:
     """doc_id, ids (array of int), decoded (the bytes that the ids give back)."""
     spark: SparkSession = docs.sparkSession
     prepare(spark)
-    expression = expression or pattern()
+    expression = word_pattern(expression or pattern()).pattern
     ranks = read_ranks(path or vocabulary_file())
     pairs = pair_ranks(ranks)
     chars = {r: chr(_FIRST + r) for r in ranks.values()}
@@ -419,10 +447,10 @@ def encode_documents(docs: DataFrame, path: str | None = None, expression: str |
         return rank_map.bound(lambda rank: F.transform(words, lambda w: fold(w, rank)))
 
     def started(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = word_pattern(expression).findall
+        words_of = compiled(expression).findall
         for b in batches:
-            words = [w for w in b.column("word").to_pylist() if words_of(w) == [w]]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), starts(words)], ["word", "start"])
+            words = pa.array([w for w in b.column("word").to_pylist() if words_of(w) == [w]], pa.string())
+            yield pa.RecordBatch.from_arrays([words, starts(words)], ["word", "start"])
 
     sample = rows.sample(min(1.0, SAMPLE / max(rows.count(), 1)), seed=0)
     counted = sample.mapInArrow(lambda it: _counts(it, expression), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -430,7 +458,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, expression: str |
     top = top.mapInArrow(started, "word string, start struct<p:string,r:string>")
     frequent = top.select("word", folded(F.array("start"))[0].alias("ids")).toArrow()
     lengths = frequent["ids"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False) if frequent.num_rows else []
-    known = spark.sparkContext.broadcast({w: i for i, w in enumerate(frequent["word"].to_pylist())})
+    known = spark.sparkContext.broadcast(pa.array(frequent["word"].to_pylist(), pa.string()))
     known_ids = spark.sparkContext.broadcast((np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64),
                                               np.array(frequent["ids"].combine_chunks().flatten(), np.int32)))
 

@@ -77,6 +77,50 @@ def test_the_first_step_begins_anew(monkeypatch):
                               ([4], [0, 1], [2], True, [" b"])]
 
 
+def test_what_a_task_remembers_is_small():
+    """Stretches and words are kept as Arrow arrays: 100000 known and 100000 new words take some MB."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    known = pa.array([f" {i:x}" for i in range(100_000)], pa.string())
+    schema = pa.schema([("doc_ids", pa.list_(pa.int64())), ("codes", pa.binary()), ("ends", pa.binary()), ("again", pa.bool_()),
+                        ("fresh", pa.list_(pa.string()))])
+    letters = str.maketrans("0123456789", "abcdefghij")
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1000)), "text": [
+        " ".join(str(i).translate(letters) for i in range(d * 100, d * 100 + 100)) for d in range(1000)]})
+    started = tracemalloc.start() or pa.total_allocated_bytes()
+    steps = byte_bpe._cut(iter([batch]), byte_bpe.pattern(), known, lambda words: pa.array(words, pa.string()), schema)
+    first = next(steps)
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - started - first.nbytes
+    tracemalloc.stop()
+    assert len(first.column("fresh")[0]) > 90_000
+    assert held < 24_000_000
+
+
+def test_many_bytes_of_stretches_begin_anew(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(byte_bpe, "KEPT_BYTES", 100)
+    monkeypatch.setattr(byte_bpe, "CHUNK", 8)
+    schema = pa.schema([("doc_ids", pa.list_(pa.int64())), ("codes", pa.binary()), ("ends", pa.binary()), ("again", pa.bool_()),
+                        ("fresh", pa.list_(pa.string()))])
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["a" * 200, "b", "a" * 200]})
+    got = [r for b in byte_bpe._cut(iter([batch]), byte_bpe.pattern(), [], lambda words: pa.array(words, pa.string()), schema) for r in b.to_pylist()]
+    assert [(r["again"], r["fresh"]) for r in got] == [(True, ["a" * 200]), (True, ["b"]), (False, ["a" * 200])]
+
+
+def test_words_start_with_their_pieces_and_ranks():
+    import pyarrow as pa
+
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"bc": 257}
+    none, char = byte_bpe._NONE, lambda i: chr(byte_bpe._FIRST + i)
+    words = pa.array(["x", "", "abc", "é"]).slice(1)
+    assert byte_bpe.Starts(ranks)(words).to_pylist() == [
+        {"p": none * 2, "r": none * 2}, {"p": none + "".join(map(char, b"abc")) + none, "r": none + char(256) + char(257) + none * 2},
+        {"p": none + "".join(map(char, "é".encode())) + none, "r": none * 4}]
+
+
 def test_the_ids_of_a_chunk_come_from_its_own_task():
     """_put_together keeps the words of earlier rows and drops them when the first step began anew."""
     import pyarrow as pa
