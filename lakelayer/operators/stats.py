@@ -37,10 +37,11 @@ def trademark_stat(wide: DataFrame, every: str = "5 seconds", ts_col: str = "cre
     give the same rows. ``stat_time`` is the bucket start as text unless a fixed
     stamp is given.
     """
-    g = wide.groupBy(F.window(F.col(ts_col), every).alias("_w"), *_keys()).agg(
+    # the start says all of a bucket, so its end is not shuffled
+    g = wide.groupBy(F.window(F.col(ts_col), every)["start"].alias("_start"), *_keys()).agg(
         exact_sum("final_detail_amount").alias("amount")
     )
-    start = F.col("_w.start")
+    start = F.col("_start")
     if isinstance(wide.schema[ts_col].dataType, T.TimestampType):
         start = utc_wallclock(start)  # event-time instants are shown as UTC wall clock
     at = F.lit(stat_time) if stat_time else time_text(start)

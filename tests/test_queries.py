@@ -112,3 +112,14 @@ def test_results_do_not_depend_on_session_zone(spark, con, key, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r["status"] == "OK", r
+
+
+def test_rows_are_shuffled_without_what_is_computed_from_them(spark):
+    found, left = [], [QUERIES["trademark_amount_stat"](spark, SMALL)._jdf.queryExecution().optimizedPlan()]
+    while left:
+        node = left.pop()
+        if node.nodeName() == "RepartitionByExpression":
+            found.append({node.output().apply(i).name() for i in range(node.output().size())})
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    assert len(found) >= 2  # the lines' numbers and the split
+    assert not any(name.startswith("_") for names in found for name in names)
