@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from lakelayer.plans import catalog
+from lakelayer.streaming import staging
 from oracle_check import compare, duck
 
 SMALL = "/root/testdata/sf0.001"
@@ -123,3 +124,10 @@ def test_rows_are_shuffled_without_what_is_computed_from_them(spark):
         left += [node.children().apply(i) for i in range(node.children().size())]
     assert len(found) >= 2  # the lines' numbers and the split
     assert not any(name.startswith("_") for names in found for name in names)
+
+
+@pytest.mark.parametrize("key", ["stream_pay_split", "stream_order_wide", "stream_late_rows"])
+def test_more_slices_give_the_same_rows(spark, con, key, monkeypatch):
+    monkeypatch.setattr(staging, "SLICE_BYTES", 80_000)
+    r = compare(spark, con, key, QUERIES[key], ORACLE[key], SMALL)
+    assert r["status"] == "OK", r

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from lakelayer.operators.split import split_payment
-from lakelayer.session import ROCKSDB_PROVIDER, ship_package
+from lakelayer.session import ROCKSDB_PROVIDER, ensure_state_provider, ship_package
 from lakelayer.streaming import staging
 from lakelayer.streaming.runs import finish, run_available
 from lakelayer.streaming.staging import stage_by_time, stream_of
@@ -123,3 +124,41 @@ def test_the_join_keeps_its_state_on_disk(spark, tmp_path):
     source = spark.readStream.schema("id long, order_id long, create_time timestamp_ntz").parquet(str(tmp_path))
     join_wide_stream(source.drop("order_id"), source)
     assert spark.conf.get(key) == ROCKSDB_PROVIDER and spark.conf.get(bound) == "true"
+
+
+def _shuffle_blocks(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return sum(blocks.apply(i).isShuffle() for i in range(blocks.size()))
+
+
+def test_a_large_table_is_staged_in_slices_of_its_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "SLICE_BYTES", 40_000)
+    at = F.when(F.col("id") < 2000, F.col("id")).when(F.col("id") < 2005, F.col("id") + 1500).otherwise(F.col("id") + 3000) * 1000
+    df = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), at.alias("ts"))
+    spark._jvm.System.gc()
+    schema, before = stage_by_time(df, "ts", str(tmp_path / "in"), slices=None), _shuffle_blocks(spark)
+    assert not (tmp_path / "in" / "_base").exists()
+    batches = []
+    run_available(stream_of(spark, schema, str(tmp_path / "in")), str(tmp_path / "c"),
+                  foreach_batch=lambda b, n: batches.append(tuple(b.agg(F.min("id"), F.max("id"), F.count("id")).first())))
+    assert len(batches) == len(list((tmp_path / "in" / "files").glob("_slice=*"))) > 3
+    assert (2000, 2004, 5) in batches  # a slice with fewer rows than files is a batch of its own
+    assert sum(n for _, _, n in batches) == 4000 and all(a[1] < b[0] for a, b in zip(batches, batches[1:]))
+    assert _shuffle_blocks(spark) <= before
+
+
+def test_shuffles_of_staging_are_deleted(spark, tmp_path):
+    spark._jvm.System.gc()
+    time.sleep(1)
+    before = _shuffle_blocks(spark)
+    df = spark.range(2000).select((F.col("id") % 1000).alias("id"), F.col("id").alias("ts")).repartition(4, "id")
+    stage_by_time(df, "ts", str(tmp_path / "in"))
+    until = time.monotonic() + 10
+    while _shuffle_blocks(spark) > before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert _shuffle_blocks(spark) <= before
+
+
+def test_old_state_is_not_kept(spark):
+    ensure_state_provider(spark)
+    assert spark.conf.get("spark.sql.streaming.minBatchesToRetain") == "2"
